@@ -2,7 +2,7 @@
 
 import importlib
 
-FAMILIES = ["inputs", "features"]
+FAMILIES = ["inputs", "tables", "clean", "quality", "features", "marts"]
 
 
 def load_all() -> None:

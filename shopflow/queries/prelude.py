@@ -86,6 +86,13 @@ VIEWS = {
           timestamp '2024-01-01' + to_days((date_diff('day', date '1992-01-01', o_orderdate::date) % 30)::int) order_timestamp
         from orders left join (select order_id, sum(gross) gross_amount, sum(discount_amount) discount_amount,
           sum(line_amount) net_amount from order_items group by 1) i on i.order_id = 'o'||o_orderkey""",
+    "cdc_events": f"""
+        select event_id, event_timestamp, user_id, product_id, event_type,
+          case event_type when 'view' then 1 when 'cart' then 2 when 'purchase' then 3 else 0 end event_type_id,
+          case when draw between 10 and 14 then 0 else category_id end category_id, brand_id,
+          case when draw between 15 and 19 then price_bucket::double else price::double end price, price_bucket,
+          coalesce(request_id,'') request_id, coalesce(impression_id,'') impression_id, payload_hash, ingestion_ts record_timestamp
+        from (select *, {h("'cdc:'||event_id")} % 100 draw from behavior_events) where draw >= 10 or draw = 4""",
     "predictions": f"""
         select *, round({h("'score:'||prediction_id")} / 4294967296.0::double, 3) score from (
         select l_orderkey||':'||l_linenumber||':'||l_partkey||':'||l_suppkey||':'||strftime(l_shipdate,'%Y%m%d') prediction_id,

@@ -283,6 +283,29 @@ class Shop:
             F.col("l_shipdate").cast("timestamp").alias("prediction_ts"),
         )
 
+    @cached_property
+    def cdc_records(self) -> DataFrame:
+        """Change records of the events: mostly enveloped, some deletes, bare rows and broken fields."""
+        draw = bucket(F.concat(F.lit("cdc:"), "event_id"))
+        row = F.struct(
+            F.col("event_id"),
+            F.date_format("event_timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("event_timestamp"),
+            F.col("user_id"),
+            F.when(~draw.between(5, 7), F.col("product_id")).alias("product_id"),
+            F.when(draw.between(8, 9), "").otherwise(F.col("event_type")).alias("event_type"),
+            F.when(~draw.between(10, 14), F.col("category_id")).alias("category_id"),
+            F.col("brand_id"),
+            F.when(draw.between(15, 19), "n/a").otherwise(F.col("price").cast("string")).alias("price"),
+            F.col("price_bucket"),
+            "request_id",
+            "impression_id",
+            "payload_hash",
+        )
+        operation = F.when(draw < 3, "d").when(draw < 4, "t").when(draw < 50, "u").otherwise("c")
+        wrapped = F.to_json(F.struct(F.struct(operation.alias("op"), row.alias("after")).alias("payload")))
+        value = F.when(draw.between(20, 29), F.to_json(row)).otherwise(wrapped)
+        return self.behavior_events.select(value.alias("value"), F.col("ingestion_ts").alias("record_timestamp"))
+
     @cached_property
     def embeddings(self) -> DataFrame:
         return self.table("embeddings")
