@@ -175,7 +175,7 @@ def funnel_stages(mart: DataFrame) -> DataFrame:
 
 def weighted_rate(top: str, bottom: str) -> Column:
     """Percentage of two sums, null for an empty bottom."""
-    return F.lit(100.0) * ratio(F.sum(top), F.sum(bottom))
+    return ratio(F.lit(100.0) * F.sum(top), F.sum(bottom))
 
 
 def group_totals(mart: DataFrame, keys: list[str], sums: list[str], k: int | None = None) -> DataFrame:

@@ -6,6 +6,7 @@ written last, so readers never see half a version.
 
 import json
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -76,12 +77,10 @@ class VersionedTable:
         self.spark, self.root, self.keys, self.order = spark, root.rstrip("/"), keys, order
 
     def commits(self) -> DataFrame:
-        folder = f"{self.root}/_commits"
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
-        files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not files.exists(path):
+        try:
+            log = self.spark.read.schema(COMMIT_SCHEMA).json(f"{self.root}/_commits")
+        except AnalysisException:  # no commit yet, so no folder
             return self.spark.createDataFrame([], COMMIT_SCHEMA)
-        log = self.spark.read.schema(COMMIT_SCHEMA).json(folder)
         # A savepoint is a second line for the version with saved set.
         return log.groupBy("version").agg(
             *[F.first(c, True).alias(c) for c in ("run_id", "upserts", "deletes", "rows")], F.max("saved").alias("saved")

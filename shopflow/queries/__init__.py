@@ -2,7 +2,7 @@
 
 import importlib
 
-FAMILIES = ["inputs", "tables", "clean", "quality", "features", "marts"]
+FAMILIES = ["inputs", "tables", "clean", "quality", "features", "marts", "training", "metrics"]
 
 
 def load_all() -> None:
