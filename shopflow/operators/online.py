@@ -47,11 +47,14 @@ def pool_updates(items: DataFrame) -> DataFrame:
     category = F.col("category_id").cast("string")
     score = trending_score(F.col("views_1h"), F.col("carts_1h"), F.col("purchases_24h"))
     popular = F.coalesce(F.col("popularity_score"), score)
+    pools = {
+        "candidate:trending:1h": (F.lit(""), score),
+        "candidate:trending:category:": (category, score),
+        "candidate:popular:global": (F.lit(""), popular),
+        "candidate:popular:category:": (category, popular),
+    }
     entries = F.array(
-        F.struct(F.lit("candidate:trending:1h").alias("pool_key"), score.alias("score")),
-        F.struct(F.concat(F.lit("candidate:trending:category:"), category), score),
-        F.struct(F.lit("candidate:popular:global"), popular),
-        F.struct(F.concat(F.lit("candidate:popular:category:"), category), popular),
+        *[F.struct(F.concat(F.lit(n), part).alias("pool_key"), value.alias("score")) for n, (part, value) in pools.items()]
     )
     return items.select("product_id", "feature_timestamp", "event_id", F.inline(entries))
 

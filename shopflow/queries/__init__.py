@@ -2,7 +2,7 @@
 
 import importlib
 
-FAMILIES = ["inputs", "tables", "clean", "quality", "features", "marts", "training", "metrics"]
+FAMILIES = ["inputs", "tables", "clean", "quality", "features", "marts", "training", "metrics", "rag"]
 
 
 def load_all() -> None:

@@ -119,11 +119,11 @@ def psi_open(shop):
     "k5_drift_alerts",
     """select strftime(feature_date, '%Y-%m-%d') alert_date, feature feature_name, round(psi, 8) psi_value,
       round(1.0::double + least((feature_date - date '2024-01-15') / 10.0::double, 1.0::double), 8) drift_factor
-    from open_psi where psi >= 0.02 and feature_date >= date '2024-01-15'""",
+    from open_psi where psi >= 0.0005 and feature_date >= date '2024-01-15'""",
     DAILY,
 )
 def alerts(shop):
-    rows = drift.drift_alerts(monitored(shop), "2024-01-15", threshold=0.02)
+    rows = drift.drift_alerts(monitored(shop), "2024-01-15", threshold=0.0005)
     return rows.select(F.col("alert_date").cast("string").alias("alert_date"), "feature_name", F.round("psi_value", 8).alias("psi_value"), "drift_factor")
 
 
@@ -178,7 +178,8 @@ def conversion(shop):
     return drift.conversion_rate(shop.behavior_events, "2024-01-10", "2024-01-20")
 
 
-@query("h27_nearest_rank_percentiles", """select user_id, p probability, quantile_disc(price, p)::double quantile from (select user_id, price from behavior_events), (values (0.5::double), (0.95::double)) t(p) group by 1, 2""")
+@query("h27_nearest_rank_percentiles", """select user_id, 0.5::double probability, quantile_disc(price, 0.5)::double quantile from behavior_events group by 1
+    union all select user_id, 0.95::double, quantile_disc(price, 0.95)::double from behavior_events group by 1""")
 def nearest_rank(shop):
     rows = shop.behavior_events.select("user_id", "price")
     return quantiles(rows, ["user_id"], "price", [0.5, 0.95], nearest_rank=True)
@@ -205,7 +206,8 @@ GROUPS = {
 
 @query("e11_position_in_group", "select prediction_id, group_id, place as position from places", GROUPS)
 def positions(shop):
-    return ranking.rank_in_group(shop.predictions.select("prediction_id", "group_id", "score"), ["group_id"], "prediction_id")
+    rows = shop.predictions.select("prediction_id", "group_id", "score")
+    return ranking.rank_in_group(rows, ["group_id"], "prediction_id").drop("score")
 
 
 @query("k13_auc", "select (select sum(label)::bigint from predictions) positives, (select sum(1 - label)::bigint from predictions) negatives, round(auc, 10) auc from overall", GROUPS)
@@ -248,14 +250,6 @@ def first_per_class(shop):
     return ranking.first_per_class(shop.predictions.select("prediction_id", "label"), "label", [F.asc("prediction_id")], 50)
 
 
-@query("e12_adjacent_similarity", """select vec_id, round(list_dot_product(embedding::double[], previous::double[]), 6) similarity from (select vec_id, embedding, lag(embedding) over (partition by label order by vec_id) previous from embeddings) where previous is not null""")
-def adjacent(shop):
-    from shopflow.operators.retrieval import adjacent_similarity
-
-    rows = adjacent_similarity(shop.embeddings, ["label"], "vec_id", "embedding")
-    return rows.filter("similarity is not null").select("vec_id", F.round("similarity", 6).alias("similarity"))
-
-
 # Experiments
 
 ARMS = {
