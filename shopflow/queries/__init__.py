@@ -2,7 +2,7 @@
 
 import importlib
 
-FAMILIES = ["inputs", "tables", "clean", "quality", "features", "marts", "training", "metrics", "rag"]
+FAMILIES = ["inputs", "tables", "clean", "quality", "features", "marts", "training", "metrics", "rag", "streaming"]
 
 
 def load_all() -> None:

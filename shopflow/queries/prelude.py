@@ -93,6 +93,20 @@ VIEWS = {
           case when draw between 15 and 19 then price_bucket::double else price::double end price, price_bucket,
           coalesce(request_id,'') request_id, coalesce(impression_id,'') impression_id, payload_hash, ingestion_ts record_timestamp
         from (select *, {h("'cdc:'||event_id")} % 100 draw from behavior_events) where draw >= 10 or draw = 4""",
+    "stream_records": f"""
+        select event_id, event_timestamp, user_id, product_id, event_type,
+          case event_type when 'view' then 1 when 'cart' then 2 when 'purchase' then 3 else 0 end event_type_id,
+          case when draw between 10 and 14 then 0 else category_id end category_id, brand_id,
+          case when draw between 15 and 19 then price_bucket::double else price::double end price, price_bucket,
+          coalesce(request_id,'') request_id, coalesce(impression_id,'') impression_id, payload_hash, ingestion_ts record_timestamp
+        from (select *, {h("'cdc:'||event_id")} % 100 draw from raw_events) where draw >= 10 or draw = 4""",
+    "watermarks": """
+        select *, max((epoch_us(event_timestamp)//1000)) over (order by record_timestamp, payload_hash, event_id rows unbounded preceding) - 3600000 wm,
+          row_number() over (partition by event_id order by record_timestamp, payload_hash) > 1 is_duplicate, (epoch_us(event_timestamp)//1000) ms from stream_records""",
+    "flagged": """
+        select * exclude (wm, ms), greatest(wm - ms, 0) / 1000.0::double late_by_seconds, ms <= wm is_late, wm >= (ms // 60000 + 1) * 60000 + 300000 is_too_late
+        from watermarks""",
+    "kept": "select * from flagged where not is_duplicate and not is_too_late",
     "predictions": f"""
         select *, round({h("'score:'||prediction_id")} / 4294967296.0::double, 3) score from (
         select l_orderkey||':'||l_linenumber||':'||l_partkey||':'||l_suppkey||':'||strftime(l_shipdate,'%Y%m%d') prediction_id,

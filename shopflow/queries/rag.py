@@ -233,7 +233,7 @@ def index_validation(shop):
 
 
 RUN = {
-    "tried": f"""select doc_id, case when {h("'t1:'||doc_id")} % 100 < 80 then 'done' else 'failed' end first, case when {h("'t2:'||doc_id")} % 100 < 50 then 'done' else 'failed' end second from documents""",
+    "tried": f"""select doc_id, case when {h("'t1:'||doc_id")} % 100 < 80 then 'done' else 'failed' end one, case when {h("'t2:'||doc_id")} % 100 < 50 then 'done' else 'failed' end two from documents""",
 }
 
 
@@ -247,15 +247,15 @@ def run_outcomes(shop):
     return targets, retrieval.record_outcomes(first, second, "doc_id")
 
 
-@query("k37_resumed_outcomes", "select doc_id, case when first = 'done' then 'done' else second end status, case when first = 'done' then 1 else 2 end attempt from tried", RUN)
+@query("k37_resumed_outcomes", "select doc_id, case when one = 'done' then 'done' else two end status, case when one = 'done' then 1 else 2 end attempt from tried", RUN)
 def resumed(shop):
     return run_outcomes(shop)[1]
 
 
 @query(
     "k37_run_status",
-    """select count(*) filter (first = 'done' or second = 'done') done, count(*) filter (first <> 'done' and second <> 'done') failed,
-      count(*) filter (first <> 'done' and second <> 'done') as open, case when count(*) filter (first <> 'done' and second <> 'done') = 0 then 'complete' else 'partial' end status from tried""",
+    """select count(*) filter (one = 'done' or two = 'done') done, count(*) filter (one <> 'done' and two <> 'done') failed,
+      count(*) filter (one <> 'done' and two <> 'done') as open, case when count(*) filter (one <> 'done' and two <> 'done') = 0 then 'complete' else 'partial' end status from tried""",
     RUN,
 )
 def run_status(shop):

@@ -42,6 +42,9 @@ def streaming_session(spark: SparkSession) -> SparkSession:
     sibling = spark.newSession()
     prepare(sibling)
     sibling.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    # State that expires by the clock would otherwise ask for empty batches without end, and a replay
+    # that stops at the newest record would never stop.
+    sibling.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
     # The partition count of a stateful query is fixed by its first run. Take the
     # cluster's setting, bounded by the cores there are to run the partitions.
     wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))

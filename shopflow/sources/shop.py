@@ -283,8 +283,11 @@ class Shop:
             F.col("l_shipdate").cast("timestamp").alias("prediction_ts"),
         )
 
-    @cached_property
+    @property
     def cdc_records(self) -> DataFrame:
+        return self.change_records(self.behavior_events)
+
+    def change_records(self, events: DataFrame) -> DataFrame:
         """Change records of the events: mostly enveloped, some deletes, bare rows and broken fields."""
         draw = bucket(F.concat(F.lit("cdc:"), "event_id"))
         row = F.struct(
@@ -304,7 +307,7 @@ class Shop:
         operation = F.when(draw < 3, "d").when(draw < 4, "t").when(draw < 50, "u").otherwise("c")
         wrapped = F.to_json(F.struct(F.struct(operation.alias("op"), row.alias("after")).alias("payload")))
         value = F.when(draw.between(20, 29), F.to_json(row)).otherwise(wrapped)
-        return self.behavior_events.select(value.alias("value"), F.col("ingestion_ts").alias("record_timestamp"))
+        return events.select(value.alias("value"), F.col("ingestion_ts").alias("record_timestamp"))
 
     @cached_property
     def embeddings(self) -> DataFrame:
