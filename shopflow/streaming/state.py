@@ -17,21 +17,20 @@ class _SeenIds(StatefulProcessor):
     """Flags rows whose id was met in an earlier batch; an id expires a fixed time after its first sight.
 
     A key is a bucket of ids, so that Python sees frames of many rows and asks the state once per
-    distinct id. Of each new id one row is marked as candidate. Rows on a pass-through route stay as they are.
+    distinct id. Only candidate rows ask; the other copies pass through.
     """
 
-    def __init__(self, ttl_seconds: int, final: bool, keys: list[str]):
-        self.ttl_seconds, self.final, self.keys = ttl_seconds, final, keys
+    def __init__(self, ttl_seconds: int):
+        self.ttl_seconds = ttl_seconds
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.seen = handle.getMapState("seen", "event_id string", "flag boolean", self.ttl_seconds * 1000)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        own = dict(zip(self.keys, key))  # frames come without their key columns
-        judged = self.final and key[1] >= 0
+        own = {"_bucket": key[0], "_route": key[1]}  # frames come without their key columns
         fresh: set[str] = set()  # ids first met in this batch
         for batch in rows:
-            if judged:
+            if key[1] >= 0:
                 yield batch.assign(**own)
                 continue
             known = {}
@@ -39,35 +38,34 @@ class _SeenIds(StatefulProcessor):
                 known[name] = name not in fresh and self.seen.containsKey((name,))
                 if not known[name] and name not in fresh:
                     self.seen.updateValue((name,), (True,))
-            seen = batch["event_id"].map(known).astype(bool)
-            candidate = ~seen & ~batch["event_id"].isin(fresh) & ~batch["event_id"].duplicated()
-            fresh.update(name for name, old in known.items() if not old)
-            yield batch.assign(seen_before=seen, candidate=False if self.final else candidate, **own)
+                    fresh.add(name)
+            yield batch.assign(seen_before=batch["event_id"].map(known).astype(bool), **own)
 
     def close(self) -> None:
         pass
 
 
+def _first_copies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Route -1 for the first copy of an id in a batch of rows; other copies keep a route of their own."""
+    for batch in batches:
+        yield batch.assign(_route=batch["_route"].where(batch["event_id"].duplicated(), -1))
+
+
 def mark_seen(events: DataFrame, config: StreamConfig) -> DataFrame:
     """Add seen_before: the id occurred in an earlier batch within the time to live.
 
-    A first stage judges rows per bucket of ids and salt, so copies of a hot id are spread over tasks.
-    Only one candidate per id and salt goes on to the second stage, which knows the id as a whole; the
-    other rows keep their salt as route and stay spread.
+    Before the shuffle each task lets one copy per id and batch of rows through to the state; the
+    remaining copies only ride along, spread over salts. A hot id thus reaches its task in single rows.
+    The flag of an id is the one of any of its copies.
     """
-    tagged = events.withColumn("seen_before", F.lit(False)).withColumn("candidate", F.lit(False))
-    names = tagged.columns
     bucket = F.pmod(F.xxhash64("event_id"), F.lit(config.dedup_buckets)).cast("int")
     salt = F.pmod(F.xxhash64(*events.columns), F.lit(config.dedup_salts)).cast("int")
-    spread = tagged.withColumn("_bucket", bucket).withColumn("_salt", salt)
-    first = spread.groupBy("_bucket", "_salt").transformWithStateInPandas(
-        _SeenIds(config.dedup_ttl_seconds, False, ["_bucket", "_salt"]), spread.schema, "Append", "ProcessingTime"
-    )
-    routed = first.withColumn("_route", F.when(F.col("candidate"), -1).otherwise(F.col("_salt"))).drop("_salt")
-    second = routed.groupBy("_bucket", "_route").transformWithStateInPandas(
-        _SeenIds(config.dedup_ttl_seconds, True, ["_bucket", "_route"]), routed.schema, "Append", "ProcessingTime"
+    tagged = events.withColumn("seen_before", F.lit(False)).withColumn("_bucket", bucket).withColumn("_route", salt)
+    routed = tagged.mapInPandas(_first_copies, tagged.schema)
+    judged = routed.groupBy("_bucket", "_route").transformWithStateInPandas(
+        _SeenIds(config.dedup_ttl_seconds), tagged.schema, "Append", "ProcessingTime"
     )
-    return second.select(*[c for c in names if c != "candidate"])
+    return judged.drop("_bucket", "_route")
 
 
 PANE_TOTALS = "views int, carts int, purchases int, viewed_cents bigint, categories array<bigint>"
