@@ -35,6 +35,14 @@ def test_text_without_sentences_is_cut_by_words():
     assert {w for p in parts for w in p.split()} == set(words)
 
 
+def test_long_sentences_are_cut_and_whole():
+    words = [f"w{i}" for i in range(30)]
+    text = "Short one. " + " ".join(words) + ". Last words here."
+    parts = chunking.pack(text, ENCODER, ChunkLimits(target=6, least=2, most=8, overlap=3))
+    assert all(len(p.split()) <= 8 for p in parts)
+    assert {w.strip(".") for p in parts for w in p.split()} == {w.strip(".") for w in text.split()}
+
+
 def test_overlap_repeats_the_last_sentence():
     text = "a1 a2 a3 a4. b1 b2. c1 c2 c3 c4 c5. d1 d2 d3 d4 d5."
     parts = chunking.pack(text, ENCODER, ChunkLimits(target=6, least=6, most=9, overlap=2))
