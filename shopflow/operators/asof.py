@@ -59,42 +59,15 @@ def asof_join(
         ).dropna(subset=[*names, "_ts"])
         stream = stream.unionByName(rows, allowMissingColumns=True)
 
-    stream = with_blocks(stream, names, "_ts", rows_per_task)
+    stream, split = with_blocks(stream, names, "_ts", rows_per_task)
     order = [F.desc("_ts"), F.asc("_turn"), F.desc("_tie")] if forward else [F.asc("_ts"), F.asc("_turn"), F.asc("_tie")]
     inside = Window.partitionBy(*names, "_block").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    pick = F.min_by if forward else F.max_by
-    carried = (
-        stream.filter("_hot")
-        .groupBy(*names, "_block")
-        .agg(
-            *[
-                pick(f"_v_{v.prefix}", F.when(F.col(f"_v_{v.prefix}").isNotNull(), F.struct("_ts", "_tie"))).alias(
-                    f"_c_{v.prefix}"
-                )
-                for v in views
-            ]
-        )
-    )
-    blocks = Window.partitionBy(*names).orderBy(F.desc("_block") if forward else F.asc("_block"))
-    blocks = blocks.rowsBetween(Window.unboundedPreceding, -1)
-    carried = carried.select(
-        *names,
-        "_block",
-        *[F.last(f"_c_{v.prefix}", ignorenulls=True).over(blocks).alias(f"_c_{v.prefix}") for v in views],
-    )
-    found = (
-        stream.join(carried, [*names, "_block"], "left")
-        .select(
-            "_left",
-            *[
-                F.coalesce(F.last(f"_v_{v.prefix}", ignorenulls=True).over(inside), F.col(f"_c_{v.prefix}")).alias(
-                    f"_v_{v.prefix}"
-                )
-                for v in views
-            ],
-        )
-        .filter(F.col("_left").isNotNull())
-    )
+    match = {v.prefix: F.last(f"_v_{v.prefix}", ignorenulls=True).over(inside) for v in views}
+    if split:
+        stream = stream.join(_carried(stream, names, views, forward), [*names, "_block"], "left")
+        match = {prefix: F.coalesce(value, F.col(f"_c_{prefix}")) for prefix, value in match.items()}
+    found = stream.select("_left", *[value.alias(f"_v_{prefix}") for prefix, value in match.items()])
+    found = found.filter(F.col("_left").isNotNull())
     columns = [F.col(f"_left.{c}").alias(c) for c in left.columns]
     for view in views:
         match = F.col(f"_v_{view.prefix}")
@@ -107,6 +80,21 @@ def asof_join(
     return found.select(*columns)
 
 
+def _carried(stream: DataFrame, names: list[str], views: list[FeatureView], forward: bool) -> DataFrame:
+    """Per block of a hot key: the nearest row of each view in the blocks before it."""
+    pick = F.min_by if forward else F.max_by
+    nearest = [
+        pick(f"_v_{v.prefix}", F.when(F.col(f"_v_{v.prefix}").isNotNull(), F.struct("_ts", "_tie"))).alias(f"_c_{v.prefix}")
+        for v in views
+    ]
+    blocks = Window.partitionBy(*names).orderBy(F.desc("_block") if forward else F.asc("_block"))
+    before = blocks.rowsBetween(Window.unboundedPreceding, -1)
+    per_block = stream.filter("_hot").groupBy(*names, "_block").agg(*nearest)
+    return per_block.select(
+        *names, "_block", *[F.last(f"_c_{v.prefix}", ignorenulls=True).over(before).alias(f"_c_{v.prefix}") for v in views]
+    )
+
+
 def scd_join(
     facts: DataFrame, dimension: DataFrame, key: str, timestamp: str, how: str = "left"
 ) -> DataFrame:
@@ -160,14 +148,17 @@ def interval_counts(
     hits = right.select(
         *[F.col(k).alias(n) for k, n in zip(keys.values(), names)], F.col(right_timestamp).alias("_ts"), F.lit(1).alias("_one")
     ).dropna(subset=names)
-    points = with_blocks(probes.unionByName(hits, allowMissingColumns=True), names, "_ts", rows_per_task)
-    per_block = points.filter("_hot").groupBy(*names, "_block").agg(F.sum("_one").alias("_n"))
-    earlier = Window.partitionBy(*names).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_block.select(*names, "_block", F.sum("_n").over(earlier).alias("_before"))
+    points, split = with_blocks(probes.unionByName(hits, allowMissingColumns=True), names, "_ts", rows_per_task)
     inside = Window.partitionBy(*names, "_block").orderBy("_ts").rangeBetween(Window.unboundedPreceding, 0)
+    total = F.sum("_one").over(inside)
+    if split:
+        per_block = points.filter("_hot").groupBy(*names, "_block").agg(F.sum("_one").alias("_n"))
+        earlier = Window.partitionBy(*names).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = per_block.select(*names, "_block", F.sum("_n").over(earlier).alias("_before"))
+        points = points.join(offsets, [*names, "_block"], "left")
+        total = F.coalesce("_before", F.lit(0)) + total
     counted = (
-        points.join(offsets, [*names, "_block"], "left")
-        .withColumn("_total", F.coalesce("_before", F.lit(0)) + F.sum("_one").over(inside))
+        points.withColumn("_total", total)
         .filter(F.col("_id").isNotNull())
         .groupBy(F.col("_id").alias(identity))
         .agg(F.sum(F.col("_total") * F.col("_sign")).alias(name))

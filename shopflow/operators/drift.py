@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from shopflow.functions.dates import drift_factor, drift_status
 from shopflow.operators.clean import numeric_feature_columns, recent_rows
 from shopflow.plans.quantiles import quantiles
+from shopflow.plans.storage import materialize
 
 EPSILON = 1e-4
 THRESHOLD = 0.15
@@ -66,7 +67,7 @@ def psi(
     of the current rows, such as days, against the same edges. approximate swaps exact deciles for a sketch.
     """
     by = by or []
-    edges = _edges(baseline, current, closed, buckets, approximate)
+    edges = materialize(_edges(baseline, current, closed, buckets, approximate), "edges")  # read by several branches
 
     def histogram(frame: DataFrame, keys: list[str]) -> DataFrame:
         placed = frame.join(F.broadcast(edges), "feature")  # one row per feature column
@@ -77,8 +78,7 @@ def psi(
     expected = histogram(baseline, [])
     actual = histogram(current, by)
     total = lambda frame, keys, name: frame.groupBy(*keys, "feature").agg(F.sum("n").alias(name))
-    first = 0
-    cells = edges.withColumn("bucket", F.explode(F.sequence(F.lit(first), F.size("edges") - (2 if closed else 0)))).select(
+    cells = edges.withColumn("bucket", F.explode(F.sequence(F.lit(0), F.size("edges") - (2 if closed else 0)))).select(
         "feature", "bucket"
     )
     e = cells.join(expected.withColumnRenamed("n", "e"), ["feature", "bucket"], "left").join(total(expected, [], "e_all"), "feature", "left")

@@ -9,8 +9,7 @@ running totals per horizon.
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopflow.plans.hot_keys import ROWS_PER_TASK, hot_keys, with_blocks
-from shopflow.plans.joins import null_safe_join
+from shopflow.plans.hot_keys import ROWS_PER_TASK, hot_keys, null_safe_join, with_blocks
 
 # A RANGE frame re-reads its rows for every row, so large keys leave that route early.
 ROWS_PER_FRAME_KEY = 20_000
@@ -24,6 +23,7 @@ def rolling(
     distincts: dict[str, tuple[str, int]] | None = None,
     *,
     exclusive: bool = False,
+    rsd: float | None = None,
     rows_per_key: int = ROWS_PER_FRAME_KEY,
     block_seconds: int = 3600,
 ) -> DataFrame:
@@ -31,7 +31,8 @@ def rolling(
 
     sums maps a new column to (expression, seconds); distincts to (column, seconds). Time counts in
     whole seconds and peers of the same second are included. exclusive=True works on microseconds
-    and opens the lower end, (t - seconds, t].
+    and opens the lower end, (t - seconds, t]. rsd switches the distinct counts of ordinary keys to a
+    sketch with that relative deviation.
     """
     distincts = distincts or {}
     scale = 1 if exclusive else 1_000_000
@@ -42,17 +43,23 @@ def rolling(
     for name, (value, _) in sums.items():
         prepared = prepared.withColumn(measures[name], value)
 
-    hot = hot_keys(prepared, keys, F.unix_micros(timestamp), rows_per_key).select(*keys)
-    ordinary = null_safe_join(prepared, hot, keys, "left_anti")
+    hot = hot_keys(events, keys, rows_per_key)
+    ordinary = prepared if hot is None else null_safe_join(prepared, hot, keys, "left_anti")
     whole = Window.partitionBy(*keys).orderBy("_tick")
     framed = ordinary.select(
         *events.columns,
         *[F.sum(measures[n]).over(whole.rangeBetween(-lower[s], 0)).alias(n) for n, (_, s) in sums.items()],
         *[
-            F.size(F.collect_set(c).over(whole.rangeBetween(-lower[s], 0))).alias(n)
+            (
+                F.size(F.collect_set(c).over(whole.rangeBetween(-lower[s], 0)))
+                if rsd is None
+                else F.approx_count_distinct(c, rsd).over(whole.rangeBetween(-lower[s], 0)).cast("int")
+            ).alias(n)
             for n, (c, s) in distincts.items()
         ],
     )
+    if hot is None:
+        return framed
     large = null_safe_join(prepared, hot, keys, "left_semi")
     return framed.unionByName(
         _by_running_totals(large, events.columns, keys, sums, distincts, measures, lower, ticks_per_second, block_seconds)
@@ -148,7 +155,22 @@ def trailing_rows(
     Every block of a hot key starts from the last n rows before it; n non-empty blocks always hold
     them, so the carry is exact.
     """
-    blocked = with_blocks(events.withColumn("_row", row), keys, timestamp, rows_per_task)
+    prepared = events.withColumn("_row", row)
+    blocked, split = with_blocks(prepared, keys, timestamp, rows_per_task, null_keys_match=True)
+    last = 0 if include_current else -1
+    inside = Window.partitionBy(*keys, "_block").orderBy(timestamp, tie_break).rowsBetween(last - n + 1, last)
+    rows = F.collect_list("_row").over(inside)
+    if not split:
+        return blocked.withColumn(name, rows).drop("_row", "_block")
+    carried = _tails(blocked, keys, timestamp, tie_break, n)
+    joined = null_safe_join(blocked, carried, [*keys, "_block"], "left")
+    joined = joined.withColumn(name, F.concat(F.coalesce("_carry", F.array().cast(_array_of(blocked, "_row"))), rows))
+    trimmed = F.when(F.size(name) > n, F.slice(name, -n, n)).otherwise(F.col(name))
+    return joined.withColumn(name, trimmed).drop("_row", "_hot", "_block", "_carry")
+
+
+def _tails(blocked: DataFrame, keys: list[str], timestamp: str, tie_break: str, n: int) -> DataFrame:
+    """Per block of a hot key: the last n rows of the blocks before it, oldest first."""
     block = [*keys, "_block"]
     newest = Window.partitionBy(*block).orderBy(F.desc(timestamp), F.desc(tie_break))
     tails = (
@@ -160,15 +182,7 @@ def trailing_rows(
     )
     before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(-n, -1)
     carried = tails.select(*block, F.flatten(F.collect_list("_tail").over(before)).alias("_carry"))
-    carried = carried.select(*block, F.transform("_carry", lambda x: x["_row"]).alias("_carry"))
-
-    last = 0 if include_current else -1
-    inside = Window.partitionBy(*block).orderBy(timestamp, tie_break).rowsBetween(last - n + 1, last)
-    joined = blocked.join(carried, block, "left")
-    rows = F.concat(F.coalesce("_carry", F.array().cast(_array_of(blocked, "_row"))), F.collect_list("_row").over(inside))
-    return joined.withColumn(name, rows).withColumn(
-        name, F.when(F.size(name) > n, F.slice(name, -n, n)).otherwise(F.col(name))
-    ).drop("_row", "_hot", "_block", "_carry")
+    return carried.select(*block, F.transform("_carry", lambda x: x["_row"]).alias("_carry"))
 
 
 def _array_of(frame: DataFrame, column: str) -> str:

@@ -5,65 +5,64 @@ in block 0. Block widths follow the density of each key. What a block needs from
 (a latest value, a running total, a tail of rows) is carried in from one summary row per block.
 """
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shopflow.plans.storage import materialize
+
 ROWS_PER_TASK = 1_000_000
 
 
-def epoch_micros(column: str | Column) -> Column:
-    return F.unix_micros(column)
+def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Join that treats null keys as equal and keeps the left key columns once."""
+    renamed = right.select(
+        *[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys]
+    )
+    same = reduce(lambda a, b: a & b, [left[k].eqNullSafe(renamed[f"_r_{k}"]) for k in keys])
+    return left.join(renamed, same, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def hot_keys(frame: DataFrame, keys: list[str], micros: Column, rows_per_task: int) -> DataFrame:
-    """Keys above the limit with their first instant and block width.
+def hot_keys(frame: DataFrame, keys: list[str], limit: int, *extra: Column) -> DataFrame | None:
+    """Keys with more than limit rows, their count _n and further aggregates; None where there are none.
 
-    At most rows/limit keys qualify. The count is combined map-side, so the pass moves one row
-    per key and map task however hot a key is.
+    The count reads the key columns alone and combines map-side, so it moves one row per key and map
+    task however hot a key is. It runs at once: without hot keys, which is the usual case, the plan
+    that follows needs neither a join nor a second branch. At most rows/limit keys qualify.
     """
-    return (
-        frame.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"), F.min(micros).alias("_low"), F.max(micros).alias("_high"))
-        .filter(F.col("_n") > rows_per_task)
-        .select(
-            *keys,
-            "_low",
-            F.greatest(
-                F.lit(1), F.floor((F.col("_high") - F.col("_low") + 1) / F.ceil(F.col("_n") / F.lit(rows_per_task)))
-            )
-            .cast("bigint")
-            .alias("_width"),
-        )
-    )
+    rows = F.count(F.lit(1)).alias("_n")
+    if frame.groupBy(*keys).agg(rows).filter(F.col("_n") > limit).isEmpty():
+        return None
+    return materialize(frame.groupBy(*keys).agg(rows, *extra).filter(F.col("_n") > limit), "hot")
 
 
 def with_blocks(
-    frame: DataFrame, keys: list[str], timestamp: str, rows_per_task: int = ROWS_PER_TASK
-) -> DataFrame:
-    """Add _hot and _block. (keys, _block) is a safe window partition for ordered work.
+    frame: DataFrame, keys: list[str], timestamp: str, rows_per_task: int = ROWS_PER_TASK, *, null_keys_match: bool = False
+) -> tuple[DataFrame, bool]:
+    """Add _block, and _hot where some key is split; also returns whether one is.
 
-    Rows with a null key never match anything; they are spread over blocks of their own.
+    (keys, _block) is a safe window partition for ordered work. Unless null keys match each other, rows
+    with a null key have no partners and are spread over blocks of their own.
     """
-    micros = epoch_micros(timestamp)
-    hot = hot_keys(frame.dropna(subset=keys), keys, micros, rows_per_task)
-    has_key = F.lit(True)
-    for key in keys:
-        has_key = has_key & F.col(key).isNotNull()
-    return (
-        frame.join(hot, keys, "left")
-        .withColumn("_hot", F.col("_width").isNotNull())
-        .withColumn(
-            "_block",
-            F.when(~has_key, F.pmod(F.xxhash64(timestamp, *[F.col(c) for c in _plain(frame)]), F.lit(4096)))
-            .when(F.col("_hot"), F.floor((micros - F.col("_low")) / F.col("_width")))
-            .otherwise(F.lit(0))
-            .cast("bigint"),
-        )
-        .drop("_low", "_width")
-    )
-
-
-def _plain(frame: DataFrame) -> list[str]:
+    micros = F.unix_micros(timestamp)
+    known = frame if null_keys_match else frame.dropna(subset=keys)
+    hot = hot_keys(known, keys, rows_per_task, F.min(micros).alias("_low"), F.max(micros).alias("_high"))
+    block = F.lit(0).cast("bigint")
+    split = frame
+    if hot is not None:
+        parts = F.ceil(F.col("_n") / F.lit(rows_per_task))
+        width = F.greatest(F.lit(1), F.floor((F.col("_high") - F.col("_low") + 1) / parts)).cast("bigint")
+        split = null_safe_join(frame, hot.select(*keys, "_low", width.alias("_width")), keys, "left")
+        split = split.withColumn("_hot", F.col("_width").isNotNull())
+        block = F.when(F.col("_hot"), F.floor((micros - F.col("_low")) / F.col("_width"))).otherwise(block)
+    if not null_keys_match:
+        has_key = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+        block = F.when(has_key, block).otherwise(F.pmod(F.xxhash64(timestamp, *_hashable(frame)), F.lit(4096)))
+    return split.withColumn("_block", block.cast("bigint")).drop("_low", "_width"), hot is not None
+
+
+def _hashable(frame: DataFrame) -> list[str]:
     return [f.name for f in frame.schema.fields if f.dataType.simpleString() in ("string", "bigint", "int")]
 
 
@@ -73,7 +72,5 @@ def top_k(frame: DataFrame, keys: list[str], order: list, k: int, name: str = "r
     Spark prunes to k rows per group and map task before the shuffle (WindowGroupLimit), so a hot
     group never reaches one task whole.
     """
-    from pyspark.sql import Window
-
     ranked = frame.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     return ranked.filter(F.col(name) <= k)

@@ -1,20 +1,9 @@
-"""Joins that hold up under hot and null keys."""
-
-from functools import reduce
+"""Equi joins that hold up under hot keys."""
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopflow.plans.hot_keys import ROWS_PER_TASK
-
-
-def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
-    """Join that treats null keys as equal and keeps the left key columns once."""
-    renamed = right.select(
-        *[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys]
-    )
-    same = reduce(lambda a, b: a & b, [left[k].eqNullSafe(renamed[f"_r_{k}"]) for k in keys])
-    return left.join(renamed, same, how).drop(*[f"_r_{k}" for k in keys])
+from shopflow.plans.hot_keys import ROWS_PER_TASK, hot_keys
 
 
 def salted_join(
@@ -26,12 +15,10 @@ def salted_join(
     repeats its choice); their few right rows are copied once per salt. how: inner, left,
     left_semi or left_anti.
     """
-    hot = (
-        left.dropna(subset=keys)
-        .groupBy(*keys)
-        .agg(F.ceil(F.count(F.lit(1)) / F.lit(rows_per_task)).cast("int").alias("_salts"))
-        .filter(F.col("_salts") > 1)
-    )
+    found = hot_keys(left.dropna(subset=keys), keys, rows_per_task)
+    if found is None:
+        return left.join(right, keys, how)
+    hot = found.select(*keys, F.ceil(F.col("_n") / F.lit(rows_per_task)).cast("int").alias("_salts"))
     spread = left.join(hot, keys, "left").withColumn(
         "_salt", F.pmod(F.xxhash64(*_hashable(left)), F.coalesce("_salts", F.lit(1)))
     )

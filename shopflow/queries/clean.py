@@ -158,7 +158,7 @@ def parsed_timestamps(shop):
 
 
 @query(
-    "h2_h6_time_columns",
+    "h2_h6_h28_time_columns",
     """select event_id, strftime(event_timestamp, '%Y-%m-%dT%H:%M:%SZ') iso, epoch_us(event_timestamp)//1000000 epoch_seconds,
       event_timestamp + interval 24 hours next_day, strftime(event_timestamp, '%Y-%m-%d') event_day, event_timestamp - interval 2 days two_days_before,
       time_bucket(interval 60 seconds, event_timestamp) window_start, time_bucket(interval 60 seconds, event_timestamp) + interval 60 seconds window_end,

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shopflow.operators import quality
+from shopflow.operators import aggregates, quality
 from shopflow.operators.quality import Check
 from shopflow.queries.registry import query
 
@@ -164,3 +164,17 @@ def integrity(shop):
             "orders": shop.orders, "order_items": shop.order_items,
         }
     )
+
+
+@query(
+    "d28_mergeable_totals",
+    """select user_id, count(*) n, sum(price)::double total, min(price)::double low, max(price)::double high, arg_max(price, (event_timestamp, price))::double newest,
+      sum(price)::double / count(*) mean from behavior_events group by 1""",
+)
+def mergeable(shop):
+    """Hourly partial totals merged per user equal totals of all events."""
+    hourly = aggregates.partial_totals(
+        shop.behavior_events, ["user_id", F.date_trunc("hour", "event_timestamp").alias("hour")], "price", "event_timestamp"
+    )
+    out = aggregates.result(aggregates.merge_totals(hourly, ["user_id"]), ["user_id"], "price")
+    return out.select("user_id", "n", *[F.col(c).cast("double").alias(c) for c in ("total", "low", "high", "newest")], "mean")
