@@ -13,12 +13,12 @@ from shopflow.plans.storage import materialize
 _BITS = 33  # monotonically_increasing_id keeps the row index in the low 33 bits
 
 
-def range_ordered(frame: DataFrame, *order) -> DataFrame:
+def range_ordered(frame: DataFrame, *order, scratch: str | None = None) -> DataFrame:
     """Stored copy in global order, with _part (partition rank) and _row (position inside it)."""
     ordered = frame.repartitionByRange(*order).sortWithinPartitions(*order)
     tagged = ordered.withColumn("_position", F.monotonically_increasing_id())
     return (
-        materialize(tagged, "ordered")
+        materialize(tagged, "ordered", scratch)
         .withColumn("_part", F.shiftright("_position", _BITS))
         .withColumn("_row", F.col("_position").bitwiseAND(F.lit((1 << _BITS) - 1)))
         .drop("_position")
@@ -44,9 +44,11 @@ def with_row_number(frame: DataFrame, *order, name: str = "row_number") -> DataF
     )
 
 
-def with_running(frame: DataFrame, order: list, totals: dict[str, tuple[str, Column]]) -> DataFrame:
+def with_running(
+    frame: DataFrame, order: list, totals: dict[str, tuple[str, Column]], scratch: str | None = None
+) -> DataFrame:
     """Running sum or max over the global order; totals maps a new column to (kind, expression)."""
-    ordered = range_ordered(frame, *order)
+    ordered = range_ordered(frame, *order, scratch=scratch)
     combine = {"sum": F.sum, "max": F.max}
     per_part = ordered.groupBy("_part").agg(
         *[combine[kind](value).alias(name) for name, (kind, value) in totals.items()]

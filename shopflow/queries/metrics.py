@@ -401,13 +401,13 @@ def lookup(shop):
     return online.lookup_with_fallback(shop.users.select("user_id"), realtime, batch, "user_id")
 
 
-ASKED = {**ONLINE, "asked": "select request_id, list(candidate_product_id order by impression_id) ids from impressions group by 1"}
+ASKED = {**ONLINE, "asked": "select event_id request_id, [product_id, category_id, product_id, brand_id, product_id + category_id] ids from behavior_events"}
 
 
 def asked(shop):
-    """Candidate lists of the requests; a request holds at most its few impressions."""
-    listed = shop.impressions.groupBy("request_id").agg(F.sort_array(F.collect_list(F.struct("impression_id", "candidate_product_id"))).alias("l"))
-    return listed.select("request_id", F.col("l")["candidate_product_id"].alias("ids"))
+    """A list of wanted ids per event, with repeats."""
+    ids = F.array("product_id", "category_id", "product_id", "brand_id", F.col("product_id") + F.col("category_id"))
+    return shop.behavior_events.select(F.col("event_id").alias("request_id"), ids.alias("ids"))
 
 
 @query("c17_ordered_lookup", "select request_id, o - 1 as position, x product_id, p.brand_name from (select request_id, unnest(ids) x, generate_subscripts(ids, 1)::int o from asked) left join products p on p.product_id = x", ASKED)

@@ -36,12 +36,14 @@ class StreamJob:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
 
-    def _markers(self, hop: str) -> list:
+    def _progress(self, hop: str, batch: int | None = None) -> tuple[bool, int | None]:
+        """Whether the batch is done, and the highest event time (ms) of all done batches."""
         try:
-            reader = self.spark.read.schema(MARKER_SCHEMA).option("recursiveFileLookup", "true")
-            return reader.json(self.path(f"_done/{hop}")).collect()  # one row per batch
+            markers = self.spark.read.schema(MARKER_SCHEMA).option("recursiveFileLookup", "true").json(self.path(f"_done/{hop}"))
         except AnalysisException:  # nothing done yet
-            return []
+            return False, None
+        facts = markers.agg(F.max(F.col("batch") == F.lit(batch)).alias("done"), F.max("highest_ms").alias("highest")).first()
+        return bool(facts["done"]), facts["highest"]
 
     def _finish(self, hop: str, batch: int, highest: int | None = None, rows: int = 0) -> None:
         line = self.spark.createDataFrame([(batch, highest, rows)], MARKER_SCHEMA)
@@ -68,14 +70,12 @@ class StreamJob:
         return self._start(seen, "events", self._flag_batch, "append", replay)
 
     def _flag_batch(self, batch: DataFrame, batch_id: int) -> None:
-        done = {m["batch"]: m for m in self._markers("events")}
-        if batch_id in done:
+        done, before = self._progress("events", batch_id)
+        if done:
             return
-        earlier = [m["highest_ms"] for m in done.values() if m["highest_ms"] is not None]
-        before = max(earlier) if earlier else None
         batch.persist()
         try:
-            flagged = lateness.classify(lateness.mark_duplicates(batch), self.config, before)
+            flagged = lateness.classify(lateness.mark_duplicates(batch), self.config, before, self.path("_scratch/arrival"))
             columns = [part.split()[0] for part in EVENT_SCHEMA.split(", ")]
             self._write(flagged.select(*columns), "stream_behavior_events", batch_id)
             written = batch.sparkSession.read.parquet(f"{self.path('stream_behavior_events')}/batch_id={batch_id}")
@@ -137,7 +137,7 @@ class StreamJob:
         """Append-only feature log per batch, for the sinks that the job's role asks for."""
 
         def write(batch: DataFrame, batch_id: int) -> None:
-            if any(m["batch"] == batch_id for m in self._markers(name)):
+            if self._progress(name, batch_id)[0]:
                 return
             if name.startswith("streaming") or self.config.offline or self.config.online:
                 self._write(batch, name, batch_id)
@@ -147,7 +147,7 @@ class StreamJob:
 
     def with_finality(self, features: DataFrame) -> DataFrame:
         """is_final: the watermark has passed the last instant of the feature row's window."""
-        highest = max([m["highest_ms"] for m in self._markers("events") if m["highest_ms"] is not None], default=None)
+        highest = self._progress("events")[1]
         if highest is None:
             return features.withColumn("is_final", F.lit(False))
         watermark = highest - self.config.watermark_delay_seconds * 1000

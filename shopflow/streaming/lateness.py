@@ -44,14 +44,16 @@ def mark_duplicates(events: DataFrame) -> DataFrame:
     )
 
 
-def classify(events: DataFrame, config: StreamConfig, highest_before: int | None = None) -> DataFrame:
+def classify(
+    events: DataFrame, config: StreamConfig, highest_before: int | None = None, scratch: str | None = None
+) -> DataFrame:
     """Lateness against the watermark that stood when each event arrived.
 
     The watermark is the highest event time so far minus the delay; highest_before (epoch ms) carries it
     over from earlier batches, so results do not depend on how the stream was cut.
     """
     at = F.unix_millis("event_timestamp")
-    running = with_running(events.withColumn("_ms", at), [*ARRIVAL, "event_id"], {"_highest": ("max", F.col("_ms"))})
+    running = with_running(events.withColumn("_ms", at), [*ARRIVAL, "event_id"], {"_highest": ("max", F.col("_ms"))}, scratch)
     highest = F.col("_highest")
     if highest_before is not None:
         highest = F.greatest(highest, F.lit(highest_before))

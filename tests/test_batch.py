@@ -526,3 +526,24 @@ def test_pools_and_fallback(spark):
     users = spark.createDataFrame([(10,), (11,)], "user_id bigint")
     got = rows(online.candidates(users, online.user_pools(pools, touched, 2), pools, 2).select("user_id", "position", "product_id"))
     assert got == [(10, 1, 3), (11, 1, 2), (11, 2, 1)]
+
+
+def test_model_schema_name():
+    assert [marts.schema_name(c, "dev") for c in (None, "", " core ")] == ["dev", "dev", "core"]
+
+
+def test_catalog_table_is_created_and_appended(spark):
+    spark.sql("drop table if exists shopflow_ids")
+    for mode in ("append", "append", "overwrite"):
+        files.save_catalog_table(spark.range(3), "shopflow_ids", mode)
+    assert files.read_catalog_table(spark, "shopflow_ids").count() == 3
+    files.save_catalog_table(spark.range(3), "shopflow_ids", "append")
+    assert files.read_catalog_table(spark, "shopflow_ids").count() == 6
+    spark.sql("drop table shopflow_ids")
+
+
+def test_bronze_ingest_counts(spark, tmp_path):
+    written = files.ingest({"a": spark.range(4), "b": spark.range(7)}, str(tmp_path), "run", "2024-01-01")
+    assert written == {"a": 4, "b": 7}
+    back = spark.read.parquet(str(tmp_path / "bronze_b"))
+    assert back.columns == ["id", "source_run_id", "lakehouse_ingestion_ts"] and back.count() == 7
