@@ -271,9 +271,9 @@ def popularity_intervals(items: DataFrame, item: str, alpha: float) -> tuple[Dat
     spreads over its many cells.
     """
     weighted = items.select(item, F.pow(F.col("n_events").cast("double"), F.lit(alpha)).alias("_w"))
-    running = materialize(with_running(weighted, [item], {"_cum": ("sum", F.col("_w"))}), "popularity")
+    running = with_running(weighted, [item], {"_cum": ("sum", F.col("_w"))})
     total = running.agg(F.max("_cum").alias("_all"))
-    cells = running.count()
+    cells = items.count()
     low, high = (F.col("_cum") - F.col("_w")) / F.col("_all"), F.col("_cum") / F.col("_all")
     spans = running.crossJoin(F.broadcast(total)).select(item, low.alias("_low"), high.alias("_high"))  # one row
     at = lambda c: F.least(F.greatest(F.floor(F.col(c) * cells), F.lit(0)), F.lit(cells - 1))

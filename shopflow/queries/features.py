@@ -227,12 +227,19 @@ def latest_earlier_item(shop):
     return joined.select("impression_id", "candidate_product_id", "item_event_id")
 
 
-def training_inputs(shop):
-    """Labels and feature tables, each computed once and stored before the joins read them twice."""
+ID_ARRAYS = ["hist_item_ids", "hist_event_type_ids", "hist_category_ids", "hist_brand_ids", "hist_price_bucket_ids"]
+
+
+def training_inputs(shop, arrays=ID_ARRAYS):
+    """Labels and feature tables, each computed once and stored before the joins read them twice.
+
+    Storing ends Catalyst's pruning, so the wide history arrays are cut to those the caller reads.
+    """
     events = shop.behavior_events
+    sequences = features.user_sequence_features(events).select("user_id", "event_id", "feature_timestamp", *arrays)
     tables = (
         labels.ranking_labels(shop.impressions, events),
-        features.user_sequence_features(events),
+        sequences,
         features.user_aggregate_features(events),
         features.item_features(events, shop.product_snapshots),
     )
@@ -267,7 +274,7 @@ def training(shop):
     VIEWS,
 )
 def training_ttl(shop):
-    joined = labels.join_feature_views(*training_inputs(shop), ttl_days={"seq": 1, "agg": 1, "item": 7})
+    joined = labels.join_feature_views(*training_inputs(shop, []), ttl_days={"seq": 1, "agg": 1, "item": 7})
     return joined.select("impression_id", "seq_event_id", "agg_views_30m", "item_event_id")
 
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from shopflow.functions import arrays
 from shopflow.operators import features, labels, training
 from shopflow.queries.features import VIEWS as FEATURE_VIEWS
-from shopflow.queries.features import text, training_inputs
+from shopflow.queries.features import ID_ARRAYS, text, training_inputs
 from shopflow.queries.prelude import h
 from shopflow.queries.registry import query
 
@@ -121,7 +121,7 @@ def folded(shop):
     HISTORICAL,
 )
 def historical(shop):
-    joined = labels.join_feature_views(*training_inputs(shop), ttl_days={"seq": 1, "agg": 1, "item": 7})
+    joined = labels.join_feature_views(*training_inputs(shop, [*ID_ARRAYS, "hist_event_timestamps"]), ttl_days={"seq": 1, "agg": 1, "item": 7})
     rows = training.historical_training_rows(joined)
     return rows.select("impression_id", "user_id", text("hist_item_id"), text("hist_time"), "target_category", "label", "views_30m")
 
