@@ -5,8 +5,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopflow.llm import exact_dedup, mixing, secrets, topk_search
-from shopflow.llm.common import bounded_batches, table
+from shopflow.llm import bpe, exact_dedup, lang_id, lm_score, mixing, secrets, topk_search
+from shopflow.llm.common import bounded_batches, fold_is, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -80,3 +80,34 @@ def _span_sql() -> str:
 )
 def secret_scan(spark, folder):
     return secrets.scan_report(table(spark, folder, "documents"))
+
+
+def word_vocabulary() -> str:
+    """Where the public word vocabulary lies on this machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op3_bpe_tree")
+def encoded(spark, folder):
+    return bpe.token_report(table(spark, folder, "documents"), word_vocabulary())
+
+
+@query("op6_lm_automaton")
+def scored(spark, folder):
+    return lm_score.score(table(spark, folder, "documents"))
+
+
+def language_model(docs: DataFrame):
+    """Languages learned from the labelled texts outside the held-out fold."""
+    return lang_id.learn(docs.filter(~fold_is(F.col("doc_id"), 4, 2)), "text", "lang")
+
+
+@query("op7_language_spans")
+def languages(spark, folder):
+    docs = table(spark, folder, "documents")
+    found = lang_id.label_languages(docs, language_model(docs))
+    return found.select(
+        F.col("_id").alias("doc_id"), fold_is(F.col("_id"), 4, 2).alias("held_out"), "lang_pred", "score", F.size("spans").alias("n_spans")
+    )
