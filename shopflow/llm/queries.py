@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopflow.llm import bpe, exact_dedup, lang_id, lm_score, mixing, secrets, topk_search
+from shopflow.llm import bpe, exact_dedup, lang_id, lm_score, mixing, near_dedup, secrets, topk_search
 from shopflow.llm.common import bounded_batches, fold_is, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -111,3 +111,9 @@ def languages(spark, folder):
     return found.select(
         F.col("_id").alias("doc_id"), fold_is(F.col("_id"), 4, 2).alias("held_out"), "lang_pred", "score", F.size("spans").alias("n_spans")
     )
+
+
+@query("op4_near_dedup")
+def near(spark, folder):
+    classes = near_dedup.near_classes(table(spark, folder, "documents"))
+    return classes.select(F.col("_id").alias("doc_id"), "class_id", "class_size", "kept")
