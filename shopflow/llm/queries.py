@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopflow.llm import bpe, exact_dedup, lang_id, lm_score, mixing, near_dedup, secrets, topk_search
+from shopflow.llm import bpe, exact_dedup, lang_id, lm_score, mixing, near_dedup, quality, secrets, topk_search
 from shopflow.llm.common import bounded_batches, fold_is, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -117,3 +117,8 @@ def languages(spark, folder):
 def near(spark, folder):
     classes = near_dedup.near_classes(table(spark, folder, "documents"))
     return classes.select(F.col("_id").alias("doc_id"), "class_id", "class_size", "kept")
+
+
+@query("op1_quality_mil")
+def quality_scores(spark, folder):
+    return quality.quality_report(table(spark, folder, "documents"), table(spark, folder, "labels"))
