@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopflow.llm import bpe, exact_dedup, lang_id, lm_score, mixing, near_dedup, quality, secrets, topk_search
+from shopflow.llm import bpe, exact_dedup, html_extract, lang_id, lm_score, mixing, near_dedup, quality, secrets, topk_search
 from shopflow.llm.common import bounded_batches, fold_is, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -122,3 +122,10 @@ def near(spark, folder):
 @query("op1_quality_mil")
 def quality_scores(spark, folder):
     return quality.quality_report(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op2_html_trees")
+def main_texts(spark, folder):
+    pages = table(spark, folder, "pages")
+    found = html_extract.extract(pages, html_extract.learn(pages))
+    return found.withColumnsRenamed({"_id": "page_id", "_url": "url"})
