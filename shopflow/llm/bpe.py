@@ -21,6 +21,8 @@ from tokenizers import Tokenizer
 from shopflow.llm.common import bounded_batches
 
 WORD = re.compile(r"[^ \t-\r]+")
+# A word of Latin letters and signs behind them: the pre-tokenizer parts them, and the normalizer lowers the letters.
+PARTS = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+)([.,;:!?*%$&#|()]+)?")
 AGREE = 4  # tokens in a row that must be the same on either side of a join
 REMEMBERED = 300_000  # words whose encoding a task keeps
 AT_ONCE = 4096
@@ -37,6 +39,11 @@ class TreeEncoder:
         self.tokenizer.no_padding()
         self.leaf, self.window = max(2, leaf), window
         self.known: dict[str, tuple[tuple[int, ...], str]] = {}
+        self.pieces: dict[str, tuple[tuple[int, ...], str]] = {}
+        self.parted = self._ids(["Ab!", "ÉCOLE.*"]) == [sum(self._ids(p), []) for p in (["ab", "!"], ["école", ".*"])]
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [f.ids for f in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _encoded(self, texts: list[str], begins: list[int]) -> list[Tokens]:
         found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
@@ -98,22 +105,35 @@ class TreeEncoder:
         return None
 
     def _remember(self, words: Iterable[str]) -> None:
+        """Note the encoding of all these words; a word is the concatenation of its parts."""
         distinct = dict.fromkeys(words)
         new = [w for w in distinct if w not in self.known]
         if len(self.known) + len(new) > REMEMBERED:
-            self.known = {}
+            self.known.clear()
+            self.pieces.clear()
             new = list(distinct)
-        for start in range(0, len(new), AT_ONCE):
-            part = new[start : start + AT_ONCE]
-            short = [w for w in part if len(w) <= self.leaf]
-            ids = [f.ids for f in self.tokenizer.encode_batch_fast(short, add_special_tokens=False)]
-            self._note(short, ids)
-            long = [w for w in part if len(w) > self.leaf]
-            self._note(long, [[t[0] for t in self.run_tokens(w)] for w in long])
-
-    def _note(self, words: list[str], ids: list[list[int]]) -> None:
+        split = [self._parts(w) for w in new]
+        pieces = [p for p in dict.fromkeys(chain.from_iterable(split)) if p not in self.pieces]
+        for start in range(0, len(pieces), AT_ONCE):
+            part = pieces[start : start + AT_ONCE]
+            short = [p for p in part if len(p) <= self.leaf]
+            self._note(short, self._ids(short))
+            long = [p for p in part if len(p) > self.leaf]
+            self._note(long, [[t[0] for t in self.run_tokens(p)] for p in long])
+        for word, parts in zip(new, split, strict=True):
+            found = [self.pieces[p] for p in parts]
+            self.known[word] = found[0] if len(found) == 1 else (found[0][0] + found[1][0], f"{found[0][1]} {found[1][1]}")
+
+    def _parts(self, word: str) -> tuple[str, ...]:
+        match = PARTS.fullmatch(word) if self.parted else None
+        if match is None:
+            return (word,)
+        letters, signs = match.groups()
+        return (letters.lower(), signs) if signs else (letters.lower(),)
+
+    def _note(self, pieces: list[str], ids: list[list[int]]) -> None:
         decoded = self.tokenizer.decode_batch(ids, skip_special_tokens=False)
-        self.known.update(zip(words, zip(map(tuple, ids), decoded, strict=True), strict=True))
+        self.pieces.update(zip(pieces, zip(map(tuple, ids), decoded, strict=True), strict=True))
 
     def encode_many(self, texts: list[str]) -> tuple[list[list[tuple[int, ...]]], list[str]]:
         """Per text the ids of its words, in order, and the decoded text."""

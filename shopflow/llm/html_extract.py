@@ -45,6 +45,7 @@ SPLIT = re.compile(r"[^a-z0-9]+")
 NAMED = ("class", "id", "role", "itemprop", "itemtype", "aria-label")
 GROUPS = [MAIN_TAGS, {"section"}, {"div"}, {"p", "pre", "blockquote"}, HEADINGS, {"ul", "ol", "dl"}, {"li", "dt", "dd"}, {"table", "tbody", "thead", "tr", "td", "th"}, OTHER_TAGS, {"body", "html"}]
 OTHER_ORDER, WORD_ORDER, MAIN_ORDER = sorted(OTHER_TAGS), sorted(OTHER_WORDS), sorted(MAIN_WORDS)
+ARTICLE_PARTS = ["p", "blockquote", "div", "h2", "h3", "pre", "ul li", "ol li", "table tr td", "section h2", "div p", "figure figcaption"]
 # Features before this one stay when the marks of a page are hidden.
 PLAIN = 15
 WIDTH = PLAIN + 5 + len(GROUPS)
@@ -228,19 +229,30 @@ def weak_labels(page: Page, by_words: bool = False) -> np.ndarray | None:
 
 
 def disturbed(html: str, paragraphs: list[str], random: np.random.Generator) -> str:
-    """A training page with blocks that hold the article's own sentences but are marked as something else.
+    """A training page whose article has further parts of its own, and blocks of its own sentences marked as something else.
 
-    They stand inside the article and around it, so the marks and not the density tell them from it. The article itself
-    may be marked by a name instead of its element.
+    The marked blocks stand inside the article and around it, so the marks and not the density tell them from it. The
+    article itself may be marked by a name instead of its element, and may stand alone.
     """
 
+    def pick(options):
+        return options[int(random.integers(len(options)))]
+
+    def some_text() -> str:
+        text = pick(paragraphs)
+        return text[: int(random.integers(1, len(text) + 1))] if random.random() < 0.7 else text
+
+    def own_part() -> str:
+        outer, _, last = pick(ARTICLE_PARTS).rpartition(" ")
+        tags = outer.split()
+        items = "".join(f"<{last}>{some_text()}</{last}>" for _ in range(int(random.integers(1, 5)) if tags else 1))
+        return "".join(f"<{t}>" for t in tags) + items + "".join(f"</{t}>" for t in reversed(tags))
+
     def block() -> str:
-        text = paragraphs[int(random.integers(len(paragraphs)))]
-        if random.random() < 0.4:
-            tag = OTHER_ORDER[int(random.integers(len(OTHER_ORDER)))]
-            return f"<{tag}><div><p>{text}</p></div></{tag}>"
-        word = WORD_ORDER[int(random.integers(len(WORD_ORDER)))]
-        return f'<div class="{word}"><p>{text}</p></div>'
+        if random.random() < 0.3:
+            return ""
+        inner = own_part() if random.random() < 0.7 else some_text()
+        return f"<{t}>{inner}</{t}>" if random.random() < 0.4 and (t := pick(OTHER_ORDER)) else f'<div class="{pick(WORD_ORDER)}">{inner}</div>'
 
     open_tag = re.search(r"<(article|main)\b[^>]*>", html, re.I)
     if not open_tag or not paragraphs:
@@ -248,19 +260,24 @@ def disturbed(html: str, paragraphs: list[str], random: np.random.Generator) ->
     close = re.compile(f"</{open_tag[1]}>", re.I).search(html, open_tag.end())
     end = close.start() if close else len(html)
     inner = html[open_tag.end() : end]
-    cuts = [m.end() for m in re.finditer(r"</p>", inner)]
-    for at in sorted({cuts[int(i)] for i in random.integers(len(cuts), size=2)} if cuts else {len(inner)}, reverse=True):
-        inner = inner[:at] + block() + inner[at:]
-    before, after = html[: open_tag.start()] + block(), block() + html[end + (len(close[0]) if close else 0) :]
-    if random.random() < 0.5:
-        return f'{before}<div class="{MAIN_ORDER[int(random.integers(len(MAIN_ORDER)))]}">{inner}</div>{after}'
+    ends = [m.end() for m in re.finditer(r"</p>", inner)] or [len(inner)]
+    if random.random() < 0.4:  # a short article
+        inner, ends = inner[: ends[0]], ends[:1]
+    for at in sorted({pick(ends) for _ in range(4)}, reverse=True):
+        inner = inner[:at] + own_part() + block() + inner[at:]
+    before, after = html[: open_tag.start()], html[end + (len(close[0]) if close else 0) :]
+    if random.random() < 0.4:
+        before, after = "<html><body>", "</body></html>"
+    before, after = before + block(), block() + after
+    if random.random() < 0.4:
+        return f'{before}<div class="{pick(MAIN_ORDER)}">{inner}</div>{after}'
     return f"{before}{open_tag[0]}{inner}</{open_tag[1]}>{after}"
 
 
 class BoostedTrees:
     """Logistic boosting of small trees on binned features."""
 
-    def __init__(self, rounds: int = 40, depth: int = 4, rate: float = 0.3, bins: int = 32, least: float = 1.0):
+    def __init__(self, rounds: int = 50, depth: int = 4, rate: float = 0.3, bins: int = 32, least: float = 1.0):
         self.rounds, self.depth, self.rate, self.bins, self.least = rounds, depth, rate, bins, least
         self.base, self.trees = 0.0, []
 
@@ -344,6 +361,16 @@ def main_text(page: Page, text: list[bool]) -> str:
     return " ".join("".join(piece if node >= 0 and text[node] else " " if node < 0 else "" for node, piece, _ in page.pieces).split())
 
 
+def without_marks(rows: np.ndarray) -> np.ndarray:
+    """The features as if article and menu elements were like any other and no name told anything."""
+    out = rows.copy()
+    out[:, PLAIN : PLAIN + 5] = 0
+    for marks in (0, len(GROUPS) - 2):
+        out[:, PLAIN + 7] += out[:, PLAIN + 5 + marks]
+        out[:, PLAIN + 5 + marks] = 0
+    return out
+
+
 def training_rows(html: str) -> list[tuple[np.ndarray, np.ndarray]]:
     """Features and weak labels of a marked page: as it is, with its marks hidden, and disturbed."""
     page = Page(html)
@@ -351,17 +378,20 @@ def training_rows(html: str) -> list[tuple[np.ndarray, np.ndarray]]:
     if labels is None:
         return []
     plain = features([page])
-    hidden = plain.copy()
-    hidden[:, PLAIN : PLAIN + 5] = 0
-    for marks in (0, len(GROUPS) - 2):  # article and menu elements look like any other
-        hidden[:, PLAIN + 7] += hidden[:, PLAIN + 5 + marks]
-        hidden[:, PLAIN + 5 + marks] = 0
+    hidden = without_marks(plain)
     paragraphs = [text for node, text, _ in page.pieces if node >= 0 and labels[node] and len(text) > 20]
-    other = Page(disturbed(html, paragraphs, np.random.default_rng(len(html))))
-    return [(plain, labels), (hidden, labels), (features([other]), weak_labels(other, by_words=True))]
+    random = np.random.default_rng(len(html))
+    others = [Page(disturbed(html, paragraphs, random)) for _ in range(3)]
+    alone = Page(f"<article>{''.join(f'<p>{p}</p>' for p in paragraphs[: int(random.integers(1, 6))])}</article>")
+    return [
+        (plain, labels),
+        (hidden, labels),
+        (without_marks(features([alone])), weak_labels(alone)),
+        *[(features([o]), weak_labels(o, by_words=True)) for o in others],
+    ]
 
 
-def learn(pages: DataFrame, page_id: str = "page_id", html: str = "html", sample: int = 400, most_chars: int = 200_000) -> BoostedTrees:
+def learn(pages: DataFrame, page_id: str = "page_id", html: str = "html", sample: int = 250, most_chars: int = 200_000) -> BoostedTrees:
     """Trees fitted on the marked pages among `sample` pages (smallest hashes of the id) of up to `most_chars` characters.
 
     Without a marked page among them the trees are empty and every page's text is what decoding keeps of even odds: none.
