@@ -22,13 +22,13 @@ EVENT_COLUMNS = [
 
 @query("b1_optional_column_defaults", "select event_id, coalesce(device_type, 'unknown') device_type, 'none' page_context from behavior_events")
 def optional_defaults(shop):
-    rows = clean.with_default(shop.behavior_events, "device_type", F.lit("unknown"))
-    return clean.with_default(rows, "page_context", F.lit("none")).select("event_id", "device_type", "page_context")
+    wanted = clean.Contract("events", (), {"device_type": clean.Field(default="unknown"), "page_context": clean.Field(default="none")})
+    return clean.conform(shop.behavior_events, wanted)[0].select("event_id", "device_type", "page_context")
 
 
 @query("b2_clean_behavior_events", f"select {', '.join(EVENT_COLUMNS)} from clean_events", VIEWS)
 def clean_events(shop):
-    return clean.clean_behavior_events(shop.raw_events)[0].select(*EVENT_COLUMNS)
+    return clean.conform(shop.raw_events, clean.EVENTS)[0].select(*EVENT_COLUMNS)
 
 
 @query(
@@ -36,13 +36,13 @@ def clean_events(shop):
     "select event_id, schema_version, payload_hash, 'unsupported_schema_version' rejection_reason from raw_events where schema_version > 2",
 )
 def rejected_events(shop):
-    return clean.clean_behavior_events(shop.raw_events)[1].select("event_id", "schema_version", "payload_hash", "rejection_reason")
+    return clean.conform(shop.raw_events, clean.EVENTS)[1].select("event_id", "schema_version", "payload_hash", "rejection_reason")
 
 
 @query("b4_clean_impressions", "select impression_id, impression_timestamp, user_id, candidate_product_id from impressions")
 def clean_impressions(shop):
     twice = shop.impressions.unionByName(shop.impressions)
-    return clean.clean_impressions(twice).select("impression_id", "impression_timestamp", "user_id", "candidate_product_id")
+    return clean.conform(twice, clean.IMPRESSIONS)[0].select("impression_id", "impression_timestamp", "user_id", "candidate_product_id")
 
 
 @query(
@@ -50,17 +50,19 @@ def clean_impressions(shop):
     "select request_id, request_timestamp, user_id, coalesce(request_context, '{}') request_context from recommendation_requests",
 )
 def clean_requests(shop):
-    return clean.clean_requests(shop.recommendation_requests).select("request_id", "request_timestamp", "user_id", "request_context")
+    return clean.conform(shop.recommendation_requests, clean.REQUESTS)[0].select("request_id", "request_timestamp", "user_id", "request_context")
 
 
 @query("b6_product_scd", "select product_id, valid_from, valid_to, price_bucket from product_snapshots")
 def product_scd(shop):
-    return clean.product_scd(shop.product_snapshots, shop.products).select("product_id", "valid_from", "valid_to", "price_bucket")
+    raw = {"product_snapshots": shop.product_snapshots, "products": shop.products}
+    return clean.from_zone(raw, clean.VALIDITY)[0].select("product_id", "valid_from", "valid_to", "price_bucket")
 
 
 @query("b6_product_scd_fallback", "select product_id, created_ts valid_from, null::timestamp valid_to from products")
 def product_scd_fallback(shop):
-    return clean.product_scd(shop.users, shop.products).select("product_id", "valid_from", "valid_to")
+    raw = {"product_snapshots": shop.product_snapshots.drop("valid_from"), "products": shop.products}
+    return clean.from_zone(raw, clean.VALIDITY)[0].select("product_id", "valid_from", "valid_to")
 
 
 @query(

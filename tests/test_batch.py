@@ -108,7 +108,7 @@ def test_clean_events(spark):
         ("b", "broken", "2024-01-01 00:00:05", "tap", None, "h", "tv"),
         ("c", "2024-01-01 00:00:00", "2024-01-01 00:00:05", "cart", 3, "h", None),
     ]
-    good, rejected = clean.clean_behavior_events(spark.createDataFrame(data, schema))
+    good, rejected = clean.conform(spark.createDataFrame(data, schema), clean.EVENTS)
     got = {r["event_id"]: r for r in good.collect()}
     assert set(got) == {"a", "b"} and got["a"]["payload_hash"] == "h1"
     assert (got["a"]["device_type"], got["a"]["campaign_id"], got["a"]["event_type_id"]) == ("unknown", "none", 1)
