@@ -1,18 +1,15 @@
 """Trailing sums and distinct counts per entity, and trailing row histories.
 
-Keys of ordinary size use Spark's own RANGE frames: one shuffle per entity. Keys above the limit
-would make those frames quadratic and fill one task, so they take a linear route: totals per tick
-(combined map-side), running totals per time block plus block offsets, and a difference of two
-running totals per horizon.
+A trailing total is the difference of two running totals: the one at an event and the one just before its horizon begins.
+Rows are first combined per entity and tick, map-side; running totals go over range partitions that split an entity by
+its rows. So every entity takes the same linear route, whatever its number of rows.
 """
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopflow.plans.hot_keys import ROWS_PER_TASK, hot_keys, null_safe_join, with_blocks
-
-# A RANGE frame re-reads its rows for every row, so large keys leave that route early.
-ROWS_PER_FRAME_KEY = 20_000
+from shopflow.plans.hot_keys import ROWS_PER_TASK, null_safe_join, with_blocks
+from shopflow.plans.ordering import with_running_in_group
 
 
 def rolling(
@@ -23,94 +20,54 @@ def rolling(
     distincts: dict[str, tuple[str, int]] | None = None,
     *,
     exclusive: bool = False,
-    rsd: float | None = None,
-    rows_per_key: int = ROWS_PER_FRAME_KEY,
-    block_seconds: int = 3600,
 ) -> DataFrame:
     """Add trailing totals over [t - seconds, t] to every event.
 
-    sums maps a new column to (expression, seconds); distincts to (column, seconds). Time counts in
-    whole seconds and peers of the same second are included. exclusive=True works on microseconds
-    and opens the lower end, (t - seconds, t]. rsd switches the distinct counts of ordinary keys to a
-    sketch with that relative deviation.
+    sums maps a new column to (expression, seconds), where the expression is a whole number or a decimal, so that
+    differences are exact; distincts to (column, seconds). A sum over no value but nulls is null, a count of no value 0.
+    Time counts in whole seconds and peers of the same second are included. exclusive=True works on microseconds and
+    opens the lower end, (t - seconds, t].
     """
     distincts = distincts or {}
     scale = 1 if exclusive else 1_000_000
     ticks_per_second = 1_000_000 // scale
     lower = {s: s * ticks_per_second - (1 if exclusive else 0) for _, s in [*sums.values(), *distincts.values()]}
-    measures = {name: f"_m_{name}" for name in sums}
+    spans = sorted(set(lower.values()))
     prepared = events.withColumn("_tick", F.floor(F.unix_micros(timestamp) / F.lit(scale)).cast("bigint"))
-    for name, (value, _) in sums.items():
-        prepared = prepared.withColumn(measures[name], value)
-
-    hot = hot_keys(events, keys, rows_per_key)
-    ordinary = prepared if hot is None else null_safe_join(prepared, hot, keys, "left_anti")
-    whole = Window.partitionBy(*keys).orderBy("_tick")
-    framed = ordinary.select(
-        *events.columns,
-        *[F.sum(measures[n]).over(whole.rangeBetween(-lower[s], 0)).alias(n) for n, (_, s) in sums.items()],
-        *[
-            (
-                F.size(F.collect_set(c).over(whole.rangeBetween(-lower[s], 0)))
-                if rsd is None
-                else F.approx_count_distinct(c, rsd).over(whole.rangeBetween(-lower[s], 0)).cast("int")
-            ).alias(n)
-            for n, (c, s) in distincts.items()
-        ],
-    )
-    if hot is None:
-        return framed
-    large = null_safe_join(prepared, hot, keys, "left_semi")
-    return framed.unionByName(
-        _by_running_totals(large, events.columns, keys, sums, distincts, measures, lower, ticks_per_second, block_seconds)
+    measured = prepared.select(*keys, "_tick", *[value.alias(f"_m_{name}") for name, (value, _) in sums.items()])
+    per_tick = measured.groupBy(*keys, "_tick").agg(
+        F.count(F.lit(1)).alias("_rows"), *[F.sum(f"_m_{n}").alias(n) for n in sums], *[F.count(f"_m_{n}").alias(f"_values_{n}") for n in sums]
     )
+    kinds = {n: per_tick.schema[n].dataType for n in sums}
 
-
-def _by_running_totals(large, kept, keys, sums, distincts, measures, lower, ticks_per_second, block_seconds):
-    names = [*sums, *distincts]
-    spans = sorted(set(lower.values()))
-    per_tick = large.groupBy(*keys, "_tick").agg(*[F.sum(measures[n]).alias(n) for n in sums])
-
-    # One probe at the tick itself and one just before the start of every horizon.
-    probes = F.array(
-        F.struct(F.col("_tick").alias("_at"), F.lit(-1).cast("bigint").alias("_span")),
-        *[F.struct((F.col("_tick") - s - 1).alias("_at"), F.lit(s).cast("bigint").alias("_span")) for s in spans],
-    )
-    points = per_tick.withColumn("_probe", F.explode(probes)).select(
-        *keys,
-        F.col("_tick").alias("_origin"),
-        "_probe.*",
-        *[F.when(F.col("_probe._span") == -1, F.col(n)).alias(n) for n in sums],
-    )
+    # What an event adds comes before what it asks at the same tick: at the tick itself and before every horizon.
+    points = per_tick.drop("_rows").withColumnRenamed("_tick", "_at").withColumn("_asks", F.lit(False))
     for name, (column, span) in distincts.items():
-        points = points.unionByName(
-            _cover_steps(large, keys, column, lower[span], name), allowMissingColumns=True
-        )
-    points = points.withColumn("_block", F.floor(F.col("_at") / F.lit(block_seconds * ticks_per_second)))
-
-    totals = points.groupBy(*keys, "_block").agg(*[F.sum(n).alias(f"_t_{n}") for n in names])
-    earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*keys, "_block", *[F.sum(f"_t_{n}").over(earlier).alias(f"_o_{n}") for n in names])
-    inside = Window.partitionBy(*keys, "_block").orderBy("_at").rangeBetween(Window.unboundedPreceding, 0)
-    running = null_safe_join(points, offsets, [*keys, "_block"], "left").select(
-        *keys,
-        "_origin",
-        "_span",
-        *[
-            (F.coalesce(f"_o_{n}", F.lit(0)) + F.coalesce(F.sum(n).over(inside), F.lit(0))).alias(n) for n in names
-        ],
+        steps = _cover_steps(prepared, keys, column, lower[span], name).withColumn("_asks", F.lit(False))
+        points = points.unionByName(steps, allowMissingColumns=True)
+    asked = [F.struct(F.col("_tick").alias("_at"), F.lit(-1).cast("bigint").alias("_span"))]
+    asked += [F.struct((F.col("_tick") - s - 1).alias("_at"), F.lit(s).cast("bigint").alias("_span")) for s in spans]
+    questions = per_tick.select(*keys, F.col("_tick").alias("_origin"), F.explode(F.array(*asked)).alias("_ask"))
+    questions = questions.select(*keys, "_origin", "_ask.*").withColumn("_asks", F.lit(True))
+    points = points.unionByName(questions, allowMissingColumns=True)
+
+    counted = [*sums, *[f"_values_{n}" for n in sums], *distincts]
+    running = with_running_in_group(points, keys, ["_at", "_asks"], counted).filter("_asks")
+    span_of = {**{n: lower[s] for n, (_, s) in sums.items()}, **{f"_values_{n}": lower[s] for n, (_, s) in sums.items()}}
+
+    def at(name: str, span: int) -> Column:
+        return F.max(F.when(F.col("_span") == span, F.col(name)))
+
+    found = running.groupBy(*keys, F.col("_origin").alias("_tick")).agg(
+        *[(at(n, -1) - at(n, s)).alias(n) for n, s in span_of.items()], *[at(n, -1).cast("int").alias(n) for n in distincts]
     )
-    at = {n: F.max(F.when(F.col("_span") == -1, F.col(n))) for n in names}
-    before = {n: F.max(F.when(F.col("_span") == lower[s], F.col(n))) for n, (_, s) in sums.items()}
-    result = (
-        running.filter(F.col("_origin").isNotNull())
-        .groupBy(*keys, F.col("_origin").alias("_tick"))
-        .agg(*[(at[n] - before[n]).alias(n) for n in sums], *[at[n].cast("int").alias(n) for n in distincts])
+    found = found.select(
+        *keys, "_tick", *[F.when(F.col(f"_values_{n}") > 0, F.col(n)).cast(kinds[n]).alias(n) for n in sums], *distincts
     )
-    return null_safe_join(large.select(*kept, "_tick"), result, [*keys, "_tick"], "inner").drop("_tick")
+    return null_safe_join(prepared, found, [*keys, "_tick"], "inner").drop("_tick")
 
 
-def _cover_steps(large: DataFrame, keys: list[str], column: str, span: int, name: str) -> DataFrame:
+def _cover_steps(events: DataFrame, keys: list[str], column: str, span: int, name: str) -> DataFrame:
     """Steps of the distinct count: +1 when a value enters the horizon, -1 after it has left.
 
     Within one day-long slice a value never leaves (horizons are longer), so first and last tick per
@@ -118,7 +75,7 @@ def _cover_steps(large: DataFrame, keys: list[str], column: str, span: int, name
     """
     slice_ticks = max(1, span // 2)
     value = [*keys, column]
-    slices = large.groupBy(*value, F.floor(F.col("_tick") / F.lit(slice_ticks)).alias("_slice")).agg(
+    slices = events.groupBy(*value, F.floor(F.col("_tick") / F.lit(slice_ticks)).alias("_slice")).agg(
         F.min("_tick").alias("_first"), F.max("_tick").alias("_last")
     )
     line = Window.partitionBy(*value).orderBy("_slice")

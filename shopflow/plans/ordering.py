@@ -97,3 +97,26 @@ def with_rank_in_group(frame: DataFrame, keys: list[str], order: list, name: str
         .withColumn(name, F.coalesce("_offset", F.lit(0)) + F.col("_local"))
         .drop("_part", "_row", "_local", "_p", "_offset", *[f"_k_{k}" for k in keys])
     )
+
+
+def with_running_in_group(frame: DataFrame, keys: list[str], order: list, sums: list[str]) -> DataFrame:
+    """Running sums over the rows of each group, in order, in place of the given columns; nulls add nothing.
+
+    Groups may have any size: range partitions split them by rows, and only the group that opens a partition has a total
+    to carry, so at most one row per partition is broadcast.
+    """
+    ordered = range_ordered(frame, *keys, *order)
+    totals = ordered.groupBy("_part", *keys).agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])
+    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    openers = (
+        totals.withColumns({"_parts": F.count(F.lit(1)).over(earlier), **{f"_o_{c}": F.sum(f"_t_{c}").over(earlier) for c in sums}})
+        .filter(F.col("_parts") > 0)
+        .select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_part").alias("_p"), *[f"_o_{c}" for c in sums])
+    )
+    same = F.col("_part") == F.col("_p")
+    for key in keys:
+        same = same & F.col(key).eqNullSafe(F.col(f"_k_{key}"))
+    inside = Window.partitionBy("_part", *keys).orderBy("_row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rest = [c for c in frame.columns if c not in sums]
+    running = [(F.coalesce(F.col(f"_o_{c}"), F.lit(0)) + F.coalesce(F.sum(c).over(inside), F.lit(0))).alias(c) for c in sums]
+    return ordered.join(F.broadcast(openers), same, "left").select(*rest, *running)

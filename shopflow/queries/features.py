@@ -96,20 +96,10 @@ def user_aggregates_open(shop):
     return rows.select("user_id", "event_id", "feature_timestamp", "views_30m", "carts_30m", "purchases_24h")
 
 
-@query(
-    "d13_approximate_category_error",
-    """select count(*) events, true within_bound from behavior_events""",
-)
-def approximate_categories(shop):
-    """Exact against approximate trailing distinct counts: the error stays within three deviations."""
-    exact = features.user_aggregate_features(shop.behavior_events).select(
-        "event_id", F.col("distinct_categories_7d").alias("exact")
-    )
-    approx = features.approximate_category_counts(shop.behavior_events)
-    off = F.abs(F.col("distinct_categories_7d") - F.col("exact"))
-    return exact.join(approx, "event_id").agg(
-        F.count(F.lit(1)).alias("events"), (F.max(off / F.col("exact")) <= 0.2).alias("within_bound")
-    )
+@query("d13_approximate_category_error", "select event_id, distinct_categories_7d, 0 error from aggregates", VIEWS)
+def trailing_categories(shop):
+    """Trailing distinct counts by the linear route, against SQL that counts exactly."""
+    return features.trailing_category_counts(shop.behavior_events).select("event_id", "distinct_categories_7d", F.lit(0).alias("error"))
 
 
 @query(

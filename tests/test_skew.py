@@ -44,28 +44,52 @@ def skewed(spark):
     return frame.withColumn("price", (F.col("cents") / 100).cast("decimal(18,2)")).drop("cents").cache()
 
 
-@pytest.mark.parametrize("exclusive", [False, True])
-def test_user_aggregates_split(skewed, exclusive):
-    whole = features.user_aggregate_features(skewed, exclusive=exclusive)
-    split = features.user_aggregate_features(skewed, exclusive=exclusive, rows_per_key=20)
-    assert rows(whole) == rows(split)
+def trailing(data, r, key, seconds, exclusive=False):
+    def tick(o):
+        past = o["event_timestamp"] - START
+        return past // dt.timedelta(microseconds=1) if exclusive else past // dt.timedelta(seconds=1)
 
+    width = seconds * 1_000_000 - 1 if exclusive else seconds
+    return [o for o in data if o[key] == r[key] and 0 <= tick(r) - tick(o) <= width]
 
-def test_user_aggregates_brute_force(skewed):
-    data = [r for r in skewed.collect()]
-    got = {r["event_id"]: r for r in features.user_aggregate_features(skewed, rows_per_key=20).collect()}
-    second = lambda r: int((r["event_timestamp"] - START).total_seconds())
+
+@pytest.mark.parametrize("exclusive", [False, True])
+def test_user_aggregates_brute_force(skewed, exclusive):
+    data = skewed.collect()
+    got = {r["event_id"]: r for r in features.user_aggregate_features(skewed, exclusive=exclusive).collect()}
+    assert len(got) == len(data)
     for r in data:
-        week = [o for o in data if o["user_id"] == r["user_id"] and 0 <= second(r) - second(o) <= 7 * 86400]
-        half_hour = [o for o in week if second(r) - second(o) <= 1800]
-        assert got[r["event_id"]]["views_30m"] == sum(o["event_type"] == "view" for o in half_hour)
-        assert got[r["event_id"]]["distinct_categories_7d"] == len({o["category_id"] for o in week})
+        week, half_hour = (trailing(data, r, "user_id", s, exclusive) for s in (7 * 86400, 1800))
+        mine = got[r["event_id"]]
+        assert mine["views_30m"] == sum(o["event_type"] == "view" for o in half_hour)
+        assert mine["distinct_categories_7d"] == len({o["category_id"] for o in week})
 
 
-def test_item_features_split(skewed):
-    whole = features.item_features(skewed, None)
-    split = features.item_features(skewed, None, rows_per_key=15)
-    assert rows(whole) == rows(split)
+def test_item_features_brute_force(skewed):
+    data = skewed.collect()
+    for r in features.item_features(skewed, None).collect():
+        (event,) = [o for o in data if o["event_id"] == r["event_id"]]
+        day = trailing(data, event, "product_id", 86400)
+        assert (r["views_24h"], r["carts_24h"]) == tuple(sum(o["event_type"] == t for o in day) for t in ("view", "cart"))
+
+
+def test_sums_of_nulls_and_large_keys_take_one_route(spark):
+    """A key of 25,000 rows, one of 3 and null keys; a sum over nulls only is null, a distinct count then 0."""
+    events = spark.range(25_000).select(
+        F.when(F.col("id") < 3, F.lit(2)).when(F.col("id") < 6, F.lit(None)).otherwise(1).alias("k"),
+        F.col("id"),
+        F.timestamp_seconds(F.col("id") * 10).alias("t"),
+        F.when(F.col("id") % 5000 >= 100, F.lit(None)).otherwise(F.col("id") % 7).cast("decimal(10,2)").alias("v"),
+        F.when(F.col("id") % 5000 >= 100, F.lit(None)).otherwise(F.col("id") % 900).alias("c"),
+    )
+    got = {r.id: r for r in rolling.rolling(events, ["k"], "t", {"s": (F.col("v"), 300), "n": (F.lit(1), 300)}, {"d": ("c", 300)}).collect()}
+    assert len(got) == 25_000
+    data = events.collect()
+    for i in [0, 2, 3, 5, 6, 40, 99, 105, 129, 130, 131, 4999, 5000, 5031, 12_345, 20_050, 24_999]:
+        near = [o for o in data[max(0, i - 30) : i + 1] if o.k == data[i].k]
+        values = [o.v for o in near if o.v is not None]
+        assert got[i].n == len(near) and got[i].d == len(set(o.c for o in near) - {None})
+        assert got[i].s == (sum(values) if values else None)
 
 
 @pytest.mark.parametrize("length", [1, 5, 50])
