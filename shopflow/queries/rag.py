@@ -51,7 +51,7 @@ def document_units(shop):
     return overview.unionByName(pairs).filter(F.trim("text") != "").join(product, "item_id")
 
 
-LIMITS = chunking.ChunkLimits(target=60, least=20, most=1200, overlap=15)
+LIMITS = chunking.ChunkLimits()
 
 
 @query("k26_document_chunks")

@@ -101,6 +101,17 @@ def test_source_units_and_chunk_ids(spark):
         chunking.chunk_units(units, limits=ChunkLimits(target=6, least=10, most=12, overlap=1)).collect()
 
 
+class Letters(HashingEncoder):
+    def token_count(self, text):
+        return len(text.replace(" ", ""))
+
+
+def test_word_beyond_the_hard_limit_is_halved():
+    parts = chunking.pack("x" * 100 + " y. " + "z" * 9 + ".", Letters(), ChunkLimits(target=8, least=3, most=12, overlap=0))
+    assert all(Letters().token_count(p) <= 12 for p in parts)
+    assert "".join(parts).replace(" ", "") == "x" * 100 + "y." + "z" * 9 + "."
+
+
 class SmallBatches(HashingEncoder):
     """Refuses batches above two texts, as a model short of memory does."""
 
