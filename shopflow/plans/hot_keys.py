@@ -1,7 +1,8 @@
 """Splitting of hot keys by time.
 
 A key with more rows than one task should hold is cut into time blocks; all other keys stay whole
-in block 0. Block widths follow the density of each key. What a block needs from earlier blocks
+in block 0. Blocks are cut at quantiles of the key's own rows, so a stray time or a dense day leaves
+them even; only rows of one and the same instant stay together. What a block needs from earlier blocks
 (a latest value, a running total, a tail of rows) is carried in from one summary row per block.
 """
 
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from shopflow.plans.storage import materialize
 
 ROWS_PER_TASK = 1_000_000
+QUANTILES = 1024  # a key's blocks have edges at some of these; their rank error is a tenth of a step at most
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
@@ -24,17 +26,26 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str)
     return left.join(renamed, same, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def hot_keys(frame: DataFrame, keys: list[str], limit: int, *extra: Column) -> DataFrame | None:
-    """Keys with more than limit rows, their count _n and further aggregates; None where there are none.
+def hot_keys(frame: DataFrame, keys: list[str], limit: int) -> DataFrame | None:
+    """Keys with more than limit rows and their count _n; None where there are none.
 
     The count reads the key columns alone and combines map-side, so it moves one row per key and map
     task however hot a key is. It runs at once: without hot keys, which is the usual case, the plan
     that follows needs neither a join nor a second branch. At most rows/limit keys qualify.
     """
-    rows = F.count(F.lit(1)).alias("_n")
-    if frame.groupBy(*keys).agg(rows).filter(F.col("_n") > limit).isEmpty():
-        return None
-    return materialize(frame.groupBy(*keys).agg(rows, *extra).filter(F.col("_n") > limit), "hot")
+    counted = frame.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > limit)
+    return None if counted.isEmpty() else materialize(counted, "hot")
+
+
+def block_edges(frame: DataFrame, hot: DataFrame, keys: list[str], timestamp: str, rows_per_task: int) -> DataFrame:
+    """Per hot key the times that part its rows into blocks of about rows_per_task rows."""
+    rows = null_safe_join(frame.select(*keys, F.unix_micros(timestamp).alias("_micros")), hot, keys, "inner")
+    steps = [i / QUANTILES for i in range(1, QUANTILES)]
+    ranked = rows.groupBy(*keys).agg(F.first("_n").alias("_n"), F.percentile_approx("_micros", steps, 10 * QUANTILES).alias("_all"))
+    blocks = F.least(F.ceil(F.col("_n") / F.lit(rows_per_task)), F.lit(QUANTILES))
+    # The quantiles next to the even cuts; equal ones, where many rows share a time, cut once.
+    cuts = F.transform(F.sequence(F.lit(1), blocks - 1), lambda i: F.element_at("_all", F.round(i * QUANTILES / blocks).cast("int")))
+    return materialize(ranked.select(*keys, F.array_distinct(F.when(blocks > 1, cuts)).alias("_edges")), "edges")
 
 
 def with_blocks(
@@ -43,27 +54,21 @@ def with_blocks(
     """Add _block, and _hot where some key is split; also returns whether one is.
 
     (keys, _block) is a safe window partition for ordered work. Unless null keys match each other, rows
-    with a null key have no partners and are spread over blocks of their own.
+    with a null key have no partners and stay in blocks of their own, one per partition they come from.
     """
-    micros = F.unix_micros(timestamp)
     known = frame if null_keys_match else frame.dropna(subset=keys)
-    hot = hot_keys(known, keys, rows_per_task, F.min(micros).alias("_low"), F.max(micros).alias("_high"))
+    hot = hot_keys(known, keys, rows_per_task)
     block = F.lit(0).cast("bigint")
     split = frame
     if hot is not None:
-        parts = F.ceil(F.col("_n") / F.lit(rows_per_task))
-        width = F.greatest(F.lit(1), F.floor((F.col("_high") - F.col("_low") + 1) / parts)).cast("bigint")
-        split = null_safe_join(frame, hot.select(*keys, "_low", width.alias("_width")), keys, "left")
-        split = split.withColumn("_hot", F.col("_width").isNotNull())
-        block = F.when(F.col("_hot"), F.floor((micros - F.col("_low")) / F.col("_width"))).otherwise(block)
+        edges = block_edges(known, hot, keys, timestamp, rows_per_task)
+        split = null_safe_join(frame, edges, keys, "left").withColumn("_hot", F.col("_edges").isNotNull())
+        passed = F.size(F.filter("_edges", lambda e: e < F.unix_micros(timestamp)))
+        block = F.when(F.col("_hot"), passed).otherwise(block)
     if not null_keys_match:
         has_key = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-        block = F.when(has_key, block).otherwise(F.pmod(F.xxhash64(timestamp, *_hashable(frame)), F.lit(4096)))
-    return split.withColumn("_block", block.cast("bigint")).drop("_low", "_width"), hot is not None
-
-
-def _hashable(frame: DataFrame) -> list[str]:
-    return [f.name for f in frame.schema.fields if f.dataType.simpleString() in ("string", "bigint", "int")]
+        block = F.when(has_key, block).otherwise(F.spark_partition_id())
+    return split.withColumn("_block", block.cast("bigint")).drop("_edges"), hot is not None
 
 
 def top_k(frame: DataFrame, keys: list[str], order: list, k: int, name: str = "rank") -> DataFrame:

@@ -47,10 +47,9 @@ def streaming_session(spark: SparkSession) -> SparkSession:
     # State that expires by the clock would otherwise ask for empty batches without end, and a replay
     # that stops at the newest record would never stop.
     sibling.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
-    # The partition count of a stateful query is fixed by its first run. Take the
-    # cluster's setting, bounded by the cores there are to run the partitions.
-    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sibling.conf.set(
-        "spark.sql.shuffle.partitions", str(min(wanted, max(4, spark.sparkContext.defaultParallelism)))
-    )
+    # The partition count of a stateful query is fixed by its first run, so a cluster's setting is taken as it stands, also
+    # while executors are still joining. Only a single machine, which has no more cores to come, bounds it by them.
+    if spark.sparkContext.master.startswith("local["):
+        wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        sibling.conf.set("spark.sql.shuffle.partitions", str(min(wanted, max(4, spark.sparkContext.defaultParallelism))))
     return sibling

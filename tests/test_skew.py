@@ -8,7 +8,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from shopflow.operators import asof, features, labels, rolling
-from shopflow.plans import joins, ordering
+from shopflow.plans import hot_keys, joins, ordering
 
 START = dt.datetime(2024, 1, 1)
 
@@ -180,3 +180,16 @@ def test_global_order_helpers(spark, skewed):
     for r in sorted(ranked, key=lambda r: r["event_id"]):
         seen[r["user_id"]] = seen.get(r["user_id"], 0) + 1
         assert r["position"] == seen[r["user_id"]]
+
+
+def test_blocks_hold_even_numbers_of_rows(spark):
+    """A stray time, a dense day, null keys and exact copies leave no block above twice the limit."""
+    rows = spark.range(10_000).select(
+        F.when(F.col("id") % 10 == 9, F.lit(None)).otherwise(1).alias("k"),
+        F.timestamp_seconds(F.when(F.col("id") == 0, 0).when(F.col("id") % 3 == 0, 1.7e9 + F.col("id") % 5000).otherwise(1.6e9 + F.col("id") * 1000)).alias("t"),
+    )
+    blocked, split = hot_keys.with_blocks(rows.repartition(8), ["k"], "t", 1000)
+    sizes = blocked.groupBy("k", "_block").count().collect()
+    assert split and blocked.count() == 10_000
+    assert max(r["count"] for r in sizes) <= 2000 and len([r for r in sizes if r["k"] == 1]) >= 8
+    assert rows.filter("k = 1").count() == sum(r["count"] for r in sizes if r["k"] == 1)
