@@ -20,9 +20,15 @@ class FeatureView:
     frame: DataFrame
     prefix: str
     timestamp: str = "feature_timestamp"
-    tie_break: str | None = None
+    tie_break: str | tuple[str, ...] | None = None  # most important first, compared in their own types
     ttl_seconds: int | None = None
 
+    @property
+    def ties(self) -> dict[str, str]:
+        """Columns of the merged stream that order rows of this view at the same time, and where they come from."""
+        columns = (self.tie_break,) if isinstance(self.tie_break, str) else self.tie_break or ()
+        return {f"_tie{i}_{self.prefix}": c for i, c in enumerate(columns)}
+
 
 def asof_join(
     left: DataFrame,
@@ -45,7 +51,6 @@ def asof_join(
         *[F.col(k).alias(n) for k, n in zip(keys, names)],
         F.col(timestamp).alias("_ts"),
         F.lit(1 if allow_equal else -1).alias("_turn"),
-        F.lit(None).cast("string").alias("_tie"),
         F.struct(*left.columns).alias("_left"),
     )
     stream = own
@@ -54,13 +59,16 @@ def asof_join(
             *[F.col(k).alias(n) for k, n in zip(keys.values(), names)],
             F.col(view.timestamp).alias("_ts"),
             F.lit(0).alias("_turn"),
-            (F.col(view.tie_break).cast("string") if view.tie_break else F.lit(None).cast("string")).alias("_tie"),
+            *[F.col(c).alias(name) for name, c in view.ties.items()],
             F.struct(*[c for c in view.frame.columns if c not in keys.values()]).alias(f"_v_{view.prefix}"),
         ).dropna(subset=[*names, "_ts"])
         stream = stream.unionByName(rows, allowMissingColumns=True)
 
     stream, split = with_blocks(stream, names, "_ts", rows_per_task)
-    order = [F.desc("_ts"), F.asc("_turn"), F.desc("_tie")] if forward else [F.asc("_ts"), F.asc("_turn"), F.asc("_tie")]
+    # Rows of other views have no value in a view's tie columns, so they never come between its rows.
+    ties = [name for view in views for name in view.ties]
+    nearest_last = F.desc if forward else F.asc
+    order = [nearest_last("_ts"), F.asc("_turn"), *[nearest_last(name) for name in ties]]
     inside = Window.partitionBy(*names, "_block").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     match = {v.prefix: F.last(f"_v_{v.prefix}", ignorenulls=True).over(inside) for v in views}
     if split:
@@ -84,7 +92,7 @@ def _carried(stream: DataFrame, names: list[str], views: list[FeatureView], forw
     """Per block of a hot key: the nearest row of each view in the blocks before it."""
     pick = F.min_by if forward else F.max_by
     nearest = [
-        pick(f"_v_{v.prefix}", F.when(F.col(f"_v_{v.prefix}").isNotNull(), F.struct("_ts", "_tie"))).alias(f"_c_{v.prefix}")
+        pick(f"_v_{v.prefix}", F.when(F.col(f"_v_{v.prefix}").isNotNull(), F.struct("_ts", *v.ties))).alias(f"_c_{v.prefix}")
         for v in views
     ]
     blocks = Window.partitionBy(*names).orderBy(F.desc("_block") if forward else F.asc("_block"))

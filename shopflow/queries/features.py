@@ -102,6 +102,27 @@ def trailing_categories(shop):
     return features.trailing_category_counts(shop.behavior_events).select("event_id", "distinct_categories_7d", F.lit(0).alias("error"))
 
 
+RUN_TIME = "2024-06-01 00:00:00"
+STORED = f"feature_timestamp event_timestamp, timestamp '{RUN_TIME}' created_timestamp, 'v1' feature_version"
+WINDOWED = f"{STORED}, feature_timestamp aggregation_window_end_ts, feature_timestamp watermark_ts"
+
+
+@query("e3_stored_user_aggregates", f"select *, {WINDOWED} from aggregates", VIEWS)
+def stored_user_aggregates(shop):
+    return features.as_feature_table(features.user_aggregate_features(shop.behavior_events), RUN_TIME)
+
+
+@query("e4_stored_item_features", f"select *, {WINDOWED} from items", VIEWS)
+def stored_item_features(shop):
+    return features.as_feature_table(features.item_features(shop.behavior_events, shop.product_snapshots), RUN_TIME)
+
+
+@query("e7_stored_sequences", f"select user_id, event_id, {STORED} from sequences", VIEWS)
+def stored_sequences(shop):
+    rows = features.as_feature_table(features.user_sequence_features(shop.behavior_events), RUN_TIME, windowed=False)
+    return rows.select("user_id", "event_id", "event_timestamp", "created_timestamp", "feature_version")
+
+
 @query(
     "d13_approximate_distinct_products",
     "select count(distinct product_id) exact_products, true within_bound from behavior_events",

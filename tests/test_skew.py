@@ -193,3 +193,13 @@ def test_blocks_hold_even_numbers_of_rows(spark):
     assert split and blocked.count() == 10_000
     assert max(r["count"] for r in sizes) <= 2000 and len([r for r in sizes if r["k"] == 1]) >= 8
     assert rows.filter("k = 1").count() == sum(r["count"] for r in sizes if r["k"] == 1)
+
+
+def test_ties_compare_in_their_own_types(spark):
+    """Of rows at one time the newest created one counts, then the highest number, not the highest text."""
+    left = spark.createDataFrame([(1, START)], "k int, at timestamp")
+    made = [START, START + dt.timedelta(days=1)]
+    rows_ = [(1, START, made[0], 99), (1, START, made[1], 9), (1, START, made[1], 10)]
+    view = spark.createDataFrame(rows_, "k int, feature_timestamp timestamp, created_timestamp timestamp, n int")
+    joined = asof.asof_join(left, "at", {"k": "k"}, [asof.FeatureView(view, "f", tie_break=("created_timestamp", "n"))])
+    assert joined.first()["f_n"] == 10
