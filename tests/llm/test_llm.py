@@ -457,6 +457,28 @@ def test_near_classes_equal_all_pairs(spark):
     assert all(r.class_size == len(found[r.class_id]) and r.kept == (r._id == r.class_id) for r in got)
 
 
+def test_near_classes_find_links_close_to_the_limit(spark):
+    random.seed(12)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    rows = []
+    for size in [*range(5, 21)] * 6 + [40, 100, 100, 200, 200, 990, 1100, 1400]:
+        base = random.choices(vocabulary, k=size)
+        copy = list(base)
+        edits = random.randint((size + 9) // 10, size // 5)  # similarity 0.8 to 0.9
+        for i in random.sample(range(size), edits):
+            copy[i] = f"n{random.randrange(10**6)}"
+        spread = [f"m{i}" if i % 5 == 2 else w for i, w in enumerate(base)]  # no three words in a row stay for long
+        kind = len(rows) % 2
+        shorter = [w for w in base if w != base[size // 2]] if size < 20 else base[: size - size // 5]
+        rows += [(len(rows) + i, " ".join(t), "en", "s") for i, t in enumerate([base, [copy, spread][kind] if size % 5 < 4 else shorter])]
+    found = defaultdict(set)
+    for r in near_dedup.near_classes(table(spark, rows)).collect():
+        found[r.class_id].add(r._id)
+    want = classes(rows)
+    assert sum(len(v) == 2 for v in want) > 80
+    assert {frozenset(v) for v in found.values()} == want
+
+
 def test_near_classes_of_odd_rows(odd, none):
     got = near_dedup.near_classes(odd).collect()
     assert len(got) == len(ODD)
