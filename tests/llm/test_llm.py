@@ -479,6 +479,26 @@ def test_near_classes_find_links_close_to_the_limit(spark):
     assert {frozenset(v) for v in found.values()} == want
 
 
+def test_near_classes_within_a_shared_passage(spark):
+    random.seed(13)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    passage = random.choices(vocabulary, k=70)  # all documents share it; few are copies
+    rows = []
+    for i in range(300):
+        base = random.choices(vocabulary, k=30)
+        rows.append((len(rows), " ".join(base + passage), "en", "s"))
+        if i % 10 == 0:
+            rows.append((len(rows), " ".join([f"x{i}y{j}" for j in range(15)] + base[15:] + passage), "en", "s"))
+    found = defaultdict(set)
+    for r in near_dedup.near_classes(table(spark, rows), sketches=2, keep=1).collect():  # whole buckets hang on one k-mer
+        found[r.class_id].add(r._id)
+    sketcher = near_dedup.MinHash(2, 2, 1, 0.8)
+    held = [set(sketcher(near_dedup.words_of(t))[0]) for _, t, *_ in rows]
+    together = {k: {j for j in v if held[k] & held[j]} for k, v in ((min(v), v) for v in classes(rows))}
+    assert sum(len(v) == 2 for v in together.values()) > 20
+    assert all(found[k] >= v for k, v in together.items())
+
+
 def test_near_classes_of_odd_rows(odd, none):
     got = near_dedup.near_classes(odd).collect()
     assert len(got) == len(ODD)
