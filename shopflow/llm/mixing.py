@@ -19,11 +19,11 @@ LEAST_SLOTS = 8  # slots of a period per source, so that rounding the shares lea
 
 
 def targets(docs: DataFrame, source: str, weights: dict[str, float] | None = None, most: float = 0.25, period: int = 1024) -> DataFrame:
-    """One row per source: _source, _n rows, target weight, share (slots in a period) and period.
+    """One row per source: _source, _n rows, target weight, share (slots in a period), period and capped.
 
     Without weights the target is the source's own part of the rows, but no more than `most` (or an even part, where the
     sources are too few for that); what is cut goes to the others in proportion. Shares are rounded by largest remainder
-    and are 1 at least. The table has one row per source, so ordering it in one task is bounded.
+    and are 1 at least. capped: the weight is not the source's own part of what is left (always so with weights). The table has one row per source, so ordering it in one task is bounded.
     """
     counted = docs.groupBy(F.col(source).alias("_source")).agg(F.count(F.lit(1)).alias("_n"))
     if weights is not None:
@@ -51,7 +51,8 @@ def targets(docs: DataFrame, source: str, weights: dict[str, float] | None = Non
     by_share = Window.orderBy(F.desc("_floor"), F.col("_source").asc_nulls_first())
     more = (F.row_number().over(by_part) <= F.col("_over")).cast("long")
     less = F.when((F.row_number().over(by_share) == 1) & (F.col("_over") < 0), F.col("_over")).otherwise(0)
-    return rows.select("_source", "_n", "weight", (F.col("_floor") + more + less).alias("share"), "period")
+    capped = F.lit(True) if weights is not None else F.col("_capped")
+    return rows.select("_source", "_n", "weight", (F.col("_floor") + more + less).alias("share"), "period", capped.alias("capped"))
 
 
 def pattern(shares: DataFrame) -> DataFrame:
@@ -95,7 +96,8 @@ def mix(
 
     Rows of a source come in the order of a hash of their id, then by id. Every block gets a slot; a source that has run
     out leaves its slots empty and the others keep their windows. The mix ends (in_mix turns false) where sources of at
-    least `until` of the target weight have run out, because from there on the targets cannot be met. A null source is a
+    least `until` of the target weight have run out, because from there on the targets cannot be met. Sources below the cap
+    lie in it whole, also if their share was rounded down and they outlast the others. A null source is a
     source of its own; null ids and rows that repeat an id take their places like any other. With weights, a source that
     is not listed gets no slot. Returns _id, _source, block, release, deadline, slot, position (a sort key), in_mix.
     """
@@ -108,11 +110,11 @@ def mix(
         .withColumn("_gone", gone)
         .agg(F.min(F.when(F.col("_gone") >= F.lit(until) * F.col("period"), F.col("_ended"))).alias("_end"))
     )
-    plan = shares.drop("_n").join(pattern(shares).withColumnRenamed("_source", "_s"), F.col("_source").eqNullSafe(F.col("_s"))).drop("_s")
+    plan = shares.drop("_n", "capped").join(pattern(shares).withColumnRenamed("_source", "_s"), F.col("_source").eqNullSafe(F.col("_s"))).drop("_s")
     plan = plan.withColumnsRenamed({"_source": "_of"}).crossJoin(F.broadcast(end))  # one row
     ranked = with_rank_in_group(rows.withColumn("_hash", F.xxhash64("_id")), ["_source"], ["_hash", "_id"], "_place")
     block = F.floor((F.col("_place") - 1) / block_rows).cast("long")
-    numbered = ranked.withColumn("block", block).join(F.broadcast(shares.select(F.col("_source").alias("_whose"), F.col("share").alias("_share"))), F.col("_source").eqNullSafe(F.col("_whose")), "left")
+    numbered = ranked.withColumn("block", block).join(F.broadcast(shares.select(F.col("_source").alias("_whose"), F.col("share").alias("_share"), F.col("capped").alias("_is_capped"))), F.col("_source").eqNullSafe(F.col("_whose")), "left")
     numbered = numbered.withColumn("_turn_of", F.col("block") % F.col("_share")).drop("_whose")
     same = F.col("_source").eqNullSafe(F.col("_of")) & (F.col("_turn_of") == F.col("_turn"))
     # At most one row per slot of the period.
@@ -126,5 +128,5 @@ def mix(
         F.ceil((F.col("block") + 1) * F.col("period") / F.col("share")).cast("long").alias("deadline"),
         "slot",
         (F.col("slot") * block_rows + (F.col("_place") - 1) % block_rows).alias("position"),
-        F.coalesce(F.col("slot") < F.col("_end"), F.lit(False)).alias("in_mix"),
+        F.coalesce((F.col("slot") < F.col("_end")) | ~F.col("_is_capped"), F.lit(False)).alias("in_mix"),
     )

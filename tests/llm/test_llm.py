@@ -189,6 +189,14 @@ def test_no_source_takes_more_than_its_cap(spark):
     assert abs({r._source: r["count"] for r in got}["big"] / total - 0.25) < 0.02
 
 
+def test_sources_below_the_cap_lie_in_the_mix_whole(spark):
+    sizes = {"big": 3000, **{f"s{i}": 1000 // i for i in range(1, 41)}}
+    docs = table(spark, [(i, "t", "en", s) for s, n in sizes.items() for i in range(n)])
+    got = mixing.mix(docs, block_rows=2, period=64).filter("in_mix").groupBy("_source").count().collect()
+    kept = {r._source: r["count"] for r in got}
+    assert {s: n for s, n in kept.items() if s != "big"} == {s: n for s, n in sizes.items() if s != "big"}
+
+
 def test_mix_of_odd_rows(odd, none):
     got = mixing.mix(odd, block_rows=1).collect()
     assert len(got) == len(ODD) and {r._source for r in got} == {s for *_, s in ODD}
