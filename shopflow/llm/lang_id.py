@@ -151,6 +151,13 @@ class Labeller:
         spans = [(int(words.begin[a]), int(stop[b]), self.names[labels[a]]) for a, b in zip(starts, ends, strict=True)]
         return self.names[main], float(letters[main] / words.count * sure), spans
 
+    def learned_part(self, text: str | None) -> float | None:
+        """Part of the letters in scripts that some learned language writes; None without letters or languages."""
+        words = Words(text or "", self.letters)
+        if not words.count or not self.names:
+            return None
+        return float(words.sizes[self.writes.any(axis=0)[words.scripts]].sum() / words.count)
+
 
 def label_languages(docs: DataFrame, model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per input row: _id, lang_pred, score, spans (places in code points).
@@ -180,7 +187,10 @@ def label_languages(docs: DataFrame, model, doc_id: str = "doc_id", text: str =
 
 
 def accepted(docs: DataFrame, model, text: str = "text", least: float = 0.5) -> DataFrame:
-    """Rows whose language is found with at least this score; all their columns as they were."""
+    """Rows with at least this part of their letters in scripts that a learned language writes; all columns as they were.
+
+    How the letters divide among the learned languages does not matter, nor how sure the choice between them is.
+    """
     spark = docs.sparkSession
     bounded_batches(spark)
     shared = spark.sparkContext.broadcast(model)
@@ -188,7 +198,7 @@ def accepted(docs: DataFrame, model, text: str = "text", least: float = 0.5) ->
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labeller = Labeller(*shared.value)
         for batch in batches:
-            found = [labeller(t) for t in batch.column(text).to_pylist()]
-            yield batch.filter(pa.array([name != UNKNOWN and score >= least for name, score, _ in found], pa.bool_()))
+            found = [labeller.learned_part(t) for t in batch.column(text).to_pylist()]
+            yield batch.filter(pa.array([part is not None and part >= least for part in found], pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)

@@ -328,6 +328,15 @@ def test_languages_of_odd_rows(odd, none):
     assert kept.columns == odd.columns and {r.text for r in kept.collect()} <= {t for _, t, *_ in ODD if t}
 
 
+def test_texts_of_several_learned_languages_are_accepted(spark):
+    alphabets = {"ru": "абвгдежз", "el": "αβγδεζηθ", "en": "abcdefgh"}
+    random.seed(5)
+    text = {k: " ".join("".join(random.choices(a, k=6)) for _ in range(30)) for k, a in alphabets.items()}
+    model = lang_id.learn(table(spark, [(i, t, k, "s") for i, (k, t) in enumerate(text.items())]), "text", "lang")
+    rows = [(1, " ".join(text.values()), None, "s"), (2, text["en"], None, "s"), (3, "你好世界" * 9, None, "s"), (4, "123", None, "s")]
+    assert {r.doc_id for r in lang_id.accepted(table(spark, rows), model).collect()} == {1, 2}
+
+
 # Language model
 
 
