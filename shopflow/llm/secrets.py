@@ -105,7 +105,8 @@ def scan(
     )
     whole = with_text_digest(versions.select(F.col(path).alias("_path"), F.coalesce(F.col(text), F.lit("")).alias("text")), "text", "_blob")
     reading = whole.join(unseen.hint("shuffle_hash"), (whole["_blob"] == unseen["blob"]) & whole["_path"].eqNullSafe(unseen["_chosen"]))
-    hits = scan_blobs(reading.select("blob", "text", "rules"), rules).distinct()  # rows that repeat the chosen path
+    once = reading.select("blob", "text", "rules").dropDuplicates(["blob"])  # rows may repeat the chosen path
+    hits = scan_blobs(once, rules)
     found = hits.groupBy("blob").agg(F.collect_list(F.struct("kind", "version", "start", "end")).alias("found"))
     nothing = F.array().cast("array<struct<kind:string,version:int,start:bigint,end:bigint>>")
     news = unseen.select("blob", "rules").join(found, "blob", "left").withColumn("found", F.coalesce("found", nothing))

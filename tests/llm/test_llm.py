@@ -148,6 +148,12 @@ def test_further_rules_add_spans_and_leave_the_base(spark):
     assert r.base_sha256 == sha(base) and "private_key:0:31" in r.spans and f"prefixed:32:{len(text)}" in r.spans
 
 
+def test_secret_scan_of_repeated_rows(spark):
+    text = "password=abcdef1 and token=ghijkl2"
+    got = secrets.scan_report(table(spark, [(1, text, "en", "s")] * 3)).collect()
+    assert [(r.spans, r.n_assign) for r in got] == [("assign:0:16,assign:21:34", 2)] * 3
+
+
 # Mixing
 
 
