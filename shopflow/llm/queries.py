@@ -130,7 +130,7 @@ def languages(spark, folder):
 @query("op4_near_dedup")
 def near(spark, folder):
     classes = near_dedup.near_classes(table(spark, folder, "documents"))
-    return classes.select(F.col("_id").alias("doc_id"), "class_id", "class_size", "kept")
+    return classes.select(F.col("_id").alias("doc_id"), "class_id", "class_size", "n_links", "kept")
 
 
 @query("op1_quality_mil")

@@ -502,24 +502,71 @@ def test_near_classes_find_links_close_to_the_limit(spark):
     assert {frozenset(v) for v in found.values()} == want
 
 
-def test_near_classes_within_a_shared_passage(spark):
+def shared_passage_rows(strangers):
     random.seed(13)
     vocabulary = [f"w{i}" for i in range(3000)]
     passage = random.choices(vocabulary, k=70)  # all documents share it; few are copies
     rows = []
-    for i in range(300):
+    for i in range(strangers):
         base = random.choices(vocabulary, k=30)
         rows.append((len(rows), " ".join(base + passage), "en", "s"))
         if i % 10 == 0:
             rows.append((len(rows), " ".join([f"x{i}y{j}" for j in range(15)] + base[15:] + passage), "en", "s"))
+    return rows
+
+
+@pytest.mark.parametrize("sketches", [8, 64])
+def test_near_classes_within_a_shared_passage(spark, sketches):
+    """Buckets hang on the passage; classes are found in the parted ones. Fewer sketches only leave fewer chances."""
+    rows = shared_passage_rows(300)
     found = defaultdict(set)
-    for r in near_dedup.near_classes(table(spark, rows), sketches=2, keep=1).collect():  # whole buckets hang on one k-mer
+    for r in near_dedup.near_classes(table(spark, rows), sketches=sketches).collect():
         found[r.class_id].add(r._id)
-    sketcher = near_dedup.MinHash(2, 2, 1, 0.8)
-    held = [set(sketcher(near_dedup.words_of(t))[0]) for _, t, *_ in rows]
-    together = {k: {j for j in v if held[k] & held[j]} for k, v in ((min(v), v) for v in classes(rows))}
-    assert sum(len(v) == 2 for v in together.values()) > 20
-    assert all(found[k] >= v for k, v in together.items())
+    want = [v for v in classes(rows) if len(v) > 1]
+    assert len(want) > 25
+    assert sum(v in found.values() for v in want) >= (0.9 if sketches == 64 else 0.4) * len(want)
+    singles = {frozenset(v) for v in found.values() if len(v) > 1}
+    assert singles <= set(map(frozenset, classes(rows)))
+
+
+def test_pairs_of_a_shared_passage_grow_with_the_rows(spark):
+    """Twice the strangers in a bucket make about twice the pairs, not four times as many."""
+    made = []
+    for strangers in (150, 300, 600):
+        rows = near_dedup.sketch_rows(table(spark, shared_passage_rows(strangers)), "doc_id", "text", 2, 16, 3, 0.8)
+        nodes = rows.withColumn("num", F.col("_row"))
+        buckets = near_dedup.shared_buckets(nodes)
+        none = spark.createDataFrame([], "node long, top long")
+        made.append(near_dedup.end_pairs(buckets, 0.8).count() + near_dedup.parted_pairs(buckets, nodes, none, 0.8).count())
+    assert made[1] < 2.6 * made[0] and made[2] < 2.6 * made[1]
+
+
+def test_order_of_words_matters_to_sketches():
+    random.seed(3)
+    sketcher = near_dedup.OrderMinHash(2, 64, 3, 0.8)
+    for size in (80, 800, 3000):
+        base = [f"w{random.randrange(10**6)}" for _ in range(size)]
+        swapped = base[size // 2 :] + base[: size // 2]
+        one, other = (sum(sketcher(w)[0], []) for w in (base, swapped))
+        assert len(set(one) & set(other)) < 0.4 * len(one)
+
+
+@pytest.mark.parametrize("similarity", [0.8, 0.85, 0.9])
+@pytest.mark.parametrize("size", [5, 8, 12, 20, 100, 1000])
+def test_recall_of_sketches(size, similarity):
+    """Share of pairs at a similarity that share a sketch: edits at random places, of all three kinds."""
+    random.seed(size)
+    sketcher = near_dedup.OrderMinHash(2, 64, 3, 0.8)
+    met = 0
+    pairs = 100 if size < 1000 else 25
+    for _ in range(pairs):
+        base = [f"w{random.randrange(10**5)}" for _ in range(size)]
+        copy = list(base)
+        for at in sorted(random.sample(range(size), int(size * (1 - similarity) + 1e-9)), reverse=True):
+            kind = random.randrange(3)
+            copy[at : at + 1] = [] if kind == 0 else [f"n{at}"] if kind == 1 or len(copy) >= size else [base[at], f"n{at}"]
+        met += bool(set(sum(sketcher(base)[0], [])) & set(sum(sketcher(copy)[0], [])))
+    assert met >= 0.95 * pairs
 
 
 def test_near_classes_of_odd_rows(odd, none):
