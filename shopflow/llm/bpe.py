@@ -1,54 +1,115 @@
 """BPE encoding and decoding with a public vocabulary, by tree concatenation.
 
-White space never lies inside a token of the word vocabulary, so a text is first cut there, and a word that was met before
-is not encoded again. A run without white space may still be of any length. Above `leaf` characters it is halved until the
-halves are short; the halves are encoded side by side, and their token lists are joined pair by pair up the tree. Around
-each join a window is encoded again and grows until it agrees with both sides: with several tokens in a row, at the
-same places, well inside either half. Two neighbouring tokens that stand next to each other in some encoding do so in any
-text in which the rest agrees, so the spliced list is the encoding of the whole run.
+A text above `cut` characters is halved, at any place, until the halves are short. Halves are cut into pieces, the units
+that the vocabulary's pre-tokenizer parts and that merge for themselves, side by side; then they are joined pair by pair up
+the tree. Around each join a window is cut anew and grows until it agrees with both sides: with several pieces in a row, at
+the same places, at the far end of either side. A cut reads from left to right, so from the place of agreement on it goes
+on as the side did, and the spliced list is that of the whole text.
+
+A piece that was met before is not encoded again. A piece may itself be of any length; above `leaf` characters it goes
+through a tree of tokens in the same way, where two neighbouring tokens that stand next to each other in some encoding do
+so in any text in which the rest agrees. Pieces are known for texts of printable ASCII and Latin letters; other texts are cut
+at white space, which never lies inside a token, and their other words are encoded whole.
 """
 
-from collections.abc import Iterable, Iterator
+import hashlib
+import re
+from collections.abc import Callable, Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import re
-from itertools import chain
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from shopflow.llm.common import bounded_batches
 
-WORD = re.compile(r"[^ \t-\r]+")
-# A word of Latin letters and signs behind them: the pre-tokenizer parts them, and the normalizer lowers the letters.
-PARTS = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+)([.,;:!?*%$&#|()]+)?")
-AGREE = 4  # tokens in a row that must be the same on either side of a join
-REMEMBERED = 300_000  # words whose encoding a task keeps
+# Fixed values of the word vocabulary: the marks its pre-tokenizer takes off, the letters whose lower case is one letter.
+LETTERS = "a-zß-öø-ÿ"
+PIECE = f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^{LETTERS}0-9 \t-\r]+"
+PIECES = re.compile(PIECE)
+COVER = re.compile(f"{PIECE}|[ \t-\r]+")  # the same and the white space between, so that nothing is left out
+WORD_COVER = re.compile("[^ \t-\r]+|[ \t-\r]+")
+PLAIN = re.compile("[ \t-\r -~A-ZÀ-ÖØ-Þ" + LETTERS + "]*")
+PROBE = "It's 12 SÉCOLE.* don't!! we'll--x'S\tßAÑo 'd'"
+AGREE = 4  # pieces or tokens in a row that must be the same on either side of a join
+REMEMBERED = 96 << 20  # bytes that a task keeps of encoded pieces, about
+ENTRY_BYTES = 400  # of an entry, besides its texts
 AT_ONCE = 4096
+BATCH_CHARS = 8 << 20  # of texts that are encoded together
 
 Tokens = list[tuple[int, int, int]]  # id, begin and end in the text
+Entry = tuple[tuple[int, ...], str, str]  # ids, the ids as text, the decoded text
 
 
 class TreeEncoder:
     """Encodes and decodes whole texts as the tokenizer does without special tokens, truncation or padding."""
 
-    def __init__(self, definition: str, leaf: int = 256, window: int = 32):
+    def __init__(self, definition: str, leaf: int = 256, window: int = 32, cut: int = 4096):
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.leaf, self.window = max(2, leaf), window
-        self.known: dict[str, tuple[tuple[int, ...], str]] = {}
-        self.pieces: dict[str, tuple[tuple[int, ...], str]] = {}
-        self.parted = self._ids(["Ab!", "ÉCOLE.*"]) == [sum(self._ids(p), []) for p in (["ab", "!"], ["école", ".*"])]
+        self.leaf, self.window, self.cut = max(2, leaf), window, max(2, cut)
+        self.known: dict[str, Entry] = {}
+        self.held = 0
+        self.joins = 0
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        whole = self.tokenizer.encode(PROBE, add_special_tokens=False).ids
+        self.has_pieces = whole == list(chain.from_iterable(self._ids(PIECES.findall(PROBE.lower()))))
 
-    def _ids(self, texts: list[str]) -> list[list[int]]:
-        return [f.ids for f in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _ids(self, pieces: list[str]) -> list[list[int]]:
+        """Ids of each piece."""
+        found = self.tokenizer.encode(pieces, is_pretokenized=True, add_special_tokens=False)
+        out: list[list[int]] = [[] for _ in pieces]
+        for token, at in zip(found.ids, found.word_ids, strict=True):
+            out[at].append(token)
+        return out
 
     def _encoded(self, texts: list[str], begins: list[int]) -> list[Tokens]:
         found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
         return [[(i, b + s, b + e) for i, (s, e) in zip(f.ids, f.offsets, strict=True)] for f, b in zip(found, begins, strict=True)]
 
+    def _plain(self, text: str) -> bool:
+        return self.has_pieces and PLAIN.fullmatch(text) is not None and not ("<" in text and any(t in text for t in self.special))
+
+    def pieces(self, text: str) -> list[str]:
+        """The pieces of a whole text, in order."""
+        if self._plain(text):
+            text = text.lower()
+            if len(text) <= self.cut:
+                return PIECES.findall(text)
+            return [p for p in self._cover(text, COVER.findall) if not p.isspace()]
+        out = []
+        for word in self._cover(text, WORD_COVER.findall):
+            if word[0] not in " \t\n\x0b\x0c\r":
+                out += PIECES.findall(word.lower()) if self._plain(word) else [word]
+        return out
+
+    def _cover(self, text: str, split: Callable[[str], list[str]]) -> list[str]:
+        """The parts of a text, white space included; those of a long one from its halves."""
+        size = 1
+        while size * self.cut < len(text):
+            size *= 2
+        edges = [len(text) * i // size for i in range(size + 1)]
+        level = [split(text[b:e]) for b, e in zip(edges, edges[1:], strict=False)]
+        while len(level) > 1:
+            level = [self._splice(a, b, split) for a, b in zip(level[::2], level[1::2], strict=True)]
+        return level[0]
+
+    def _splice(self, left: list[str], right: list[str], split: Callable[[str], list[str]]) -> list[str]:
+        """Parts of two neighbouring halves as one text."""
+        self.joins += 1
+        reach = 2 * AGREE
+        while True:
+            ours, theirs = left[-reach:], right[:reach]
+            window = split("".join(ours) + "".join(theirs))
+            begins = len(ours) == len(left) or window[:AGREE] == ours[:AGREE]
+            ends = len(theirs) == len(right) or window[-AGREE:] == theirs[-AGREE:]
+            if begins and ends:
+                return left[: len(left) - len(ours)] + window + right[len(theirs) :]
+            reach *= 2
+
     def run_tokens(self, run: str) -> Tokens:
         """Tokens of one run of any length."""
         pieces = -(-len(run) // self.leaf)
@@ -104,88 +165,97 @@ class TreeEncoder:
                 return row[AGREE // 2]
         return None
 
-    def _remember(self, words: Iterable[str]) -> None:
-        """Note the encoding of all these words; a word is the concatenation of its parts."""
-        distinct = dict.fromkeys(words)
-        new = [w for w in distinct if w not in self.known]
-        if len(self.known) + len(new) > REMEMBERED:
+    def _remember(self, pieces: Iterable[str]) -> None:
+        """Note the encoding of all these pieces; what was noted before goes where it grows too large."""
+        distinct = set(pieces)
+        new = [p for p in distinct if p not in self.known]
+        if self.held + ENTRY_BYTES * len(new) > REMEMBERED:
             self.known.clear()
-            self.pieces.clear()
+            self.held = 0
             new = list(distinct)
-        split = [self._parts(w) for w in new]
-        pieces = [p for p in dict.fromkeys(chain.from_iterable(split)) if p not in self.pieces]
-        for start in range(0, len(pieces), AT_ONCE):
-            part = pieces[start : start + AT_ONCE]
-            short = [p for p in part if len(p) <= self.leaf]
-            self._note(short, self._ids(short))
-            long = [p for p in part if len(p) > self.leaf]
-            self._note(long, [[t[0] for t in self.run_tokens(p)] for p in long])
-        for word, parts in zip(new, split, strict=True):
-            found = [self.pieces[p] for p in parts]
-            self.known[word] = found[0] if len(found) == 1 else (found[0][0] + found[1][0], f"{found[0][1]} {found[1][1]}")
-
-    def _parts(self, word: str) -> tuple[str, ...]:
-        match = PARTS.fullmatch(word) if self.parted else None
-        if match is None:
-            return (word,)
-        letters, signs = match.groups()
-        return (letters.lower(), signs) if signs else (letters.lower(),)
+        short = [p for p in new if len(p) <= self.leaf]
+        for start in range(0, len(short), AT_ONCE):
+            part = short[start : start + AT_ONCE]
+            self._note(part, self._ids(part))
+        for piece in new:
+            if len(piece) > self.leaf:
+                self._note([piece], [[t[0] for t in self.run_tokens(piece)]])
 
     def _note(self, pieces: list[str], ids: list[list[int]]) -> None:
-        decoded = self.tokenizer.decode_batch(ids, skip_special_tokens=False)
-        self.pieces.update(zip(pieces, zip(map(tuple, ids), decoded, strict=True), strict=True))
+        token = self.tokenizer.id_to_token
+        for piece, found in zip(pieces, ids, strict=True):
+            entry = (tuple(found), " ".join(map(str, found)), " ".join(map(token, found)))
+            self.known[piece] = entry
+            self.held += ENTRY_BYTES + 4 * len(piece) + 40 * len(found) + len(entry[1]) + len(entry[2])
+
+    def entries(self, texts: list[str]) -> Iterator[list[Entry]]:
+        """Per text the entries of its pieces, in order."""
+        at = 0
+        while at < len(texts):
+            end, size = at + 1, len(texts[at])
+            while end < len(texts) and size + len(texts[end]) <= BATCH_CHARS:
+                size += len(texts[end])
+                end += 1
+            split = [self.pieces(t) for t in texts[at:end]]
+            self._remember(chain.from_iterable(split))
+            for pieces in split:
+                yield [e for e in map(self.known.__getitem__, pieces) if e[0]]
+            at = end
+
+    def decoded(self, found: list[Entry]) -> str:
+        if self.tokenizer.decoder is None:  # tokens are then joined by one space
+            return " ".join([f[2] for f in found])
+        return self.tokenizer.decode(list(chain.from_iterable(f[0] for f in found)), skip_special_tokens=False)
 
     def encode_many(self, texts: list[str]) -> tuple[list[list[tuple[int, ...]]], list[str]]:
-        """Per text the ids of its words, in order, and the decoded text."""
-        split = [WORD.findall(t) for t in texts]
-        self._remember(chain.from_iterable(split))
-        known = self.known
-        parts, decoded = [], []
-        for words in split:
-            found = [known[w] for w in words]
-            parts.append([f[0] for f in found])
-            if self.tokenizer.decoder is None:  # tokens are then joined by one space
-                decoded.append(" ".join(f[1] for f in found if f[0]))
-            else:
-                ids = list(chain.from_iterable(f[0] for f in found))
-                decoded.append(self.tokenizer.decode(ids, skip_special_tokens=False))
-        return parts, decoded
+        """Per text the ids of its pieces, in order, and the decoded text."""
+        found = list(self.entries(texts))
+        return [[f[0] for f in one] for one in found], [self.decoded(one) for one in found]
 
 
-def encode_texts(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str = "text", leaf: int = 256) -> DataFrame:
-    """Token ids and the text decoded from them, one row per input row: _id, ids, decoded.
+def encode_texts(
+    docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str = "text", leaf: int = 256, want: tuple[str, ...] = ("ids", "decoded"), cut: int = 4096
+) -> DataFrame:
+    """Token ids and the text decoded from them, one row per input row: _id, n_tokens and the wanted columns.
 
-    vocabulary is the path of a definition file on the driver, whose size bounds what is sent to the tasks. It must be one
-    in which no token holds white space. A null text is empty; an empty text has no ids and decodes to an empty text.
-    Rows that repeat repeat their result; an empty table gives no rows; other columns are not read.
+    want names any of ids, decoded, ids_sha256 (of the decimal ids joined by one space) and decoded_sha256; digests are
+    made where the text is encoded. vocabulary is the path of a definition file on the driver, whose size bounds what is
+    sent to the tasks. It must be one in which no token holds white space. A null text is empty; an empty text has no ids
+    and decodes to an empty text. Rows that repeat repeat their result; an empty table gives no rows; other columns are
+    not read. What a task keeps is bounded in bytes, but for the texts of one Arrow batch.
     """
     spark = docs.sparkSession
-    bounded_batches(spark, 256)
+    bounded_batches(spark, 64)
     with open(vocabulary, encoding="utf-8") as file:
         definition = spark.sparkContext.broadcast(file.read())
+    kinds = {"ids": pa.list_(pa.int32()), "decoded": pa.string(), "ids_sha256": pa.string(), "decoded_sha256": pa.string()}
+
+    def value(name: str, encoder: TreeEncoder, found: list[Entry], written: str):
+        if name == "ids":
+            return np.fromiter(chain.from_iterable(f[0] for f in found), dtype=np.int32)
+        if name == "decoded":
+            return encoder.decoded(found)
+        whole = written if name == "ids_sha256" else encoder.decoded(found)
+        return hashlib.sha256(whole.encode("utf-8", "surrogatepass")).hexdigest()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = TreeEncoder(definition.value, leaf)
+        encoder = TreeEncoder(definition.value, leaf, cut=cut)
         for batch in batches:
-            parts, decoded = encoder.encode_many([t or "" for t in batch.column("_text").to_pylist()])
-            sizes = np.fromiter((sum(map(len, p)) for p in parts), dtype=np.int64, count=len(parts))
-            flat = np.fromiter(chain.from_iterable(chain.from_iterable(p) for p in parts), dtype=np.int32, count=int(sizes.sum()))
-            offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("_id"), pa.ListArray.from_arrays(offsets, flat), pa.array(decoded, pa.string())], ["_id", "ids", "decoded"]
-            )
+            sizes, columns = [], {name: [] for name in want}
+            for found in encoder.entries([t or "" for t in batch.column("_text").to_pylist()]):
+                written = " ".join([f[1] for f in found])
+                sizes.append(written.count(" ") + 1 if found else 0)
+                for name in want:
+                    columns[name].append(value(name, encoder, found, written))
+            arrays = [pa.array(columns[name], kinds[name]) for name in want]
+            yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array(sizes, pa.int64()), *arrays], ["_id", "n_tokens", *want])
 
     rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"))
     kind = rows.schema["_id"].dataType.simpleString()
-    return rows.mapInArrow(encode, f"_id {kind}, ids array<int>, decoded string")
+    wanted = ", ".join(f"{name} {'array<int>' if name == 'ids' else 'string'}" for name in want)
+    return rows.mapInArrow(encode, f"_id {kind}, n_tokens long, {wanted}")
 
 
 def token_report(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Counts and digests of ids and decoded texts."""
-    found = encode_texts(docs, vocabulary, doc_id, text)
-    return found.select(
-        F.col("_id").alias(doc_id),
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    return encode_texts(docs, vocabulary, doc_id, text, want=("ids_sha256", "decoded_sha256")).withColumnRenamed("_id", doc_id)

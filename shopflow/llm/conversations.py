@@ -232,7 +232,7 @@ def _faulty(ordered: DataFrame) -> DataFrame:
     )
     firsts = marked.filter(~F.col("_blank")).groupBy("_conv", "_role_hash", "_digest").agg(F.min("_pos").alias("_pos"))
     firsts = firsts.select("_conv", "_pos", F.lit(True).alias("_first"))
-    found = null_safe_join(marked, firsts, ["_conv", "_pos"], "left")
+    found = null_safe_join(marked, firsts.hint("merge"), ["_conv", "_pos"], "left")
     copy = ~F.col("_blank") & F.col("_first").isNull()
     return found.select("_conv", "_pos", "_initial", "_blank", copy.alias("_copy"), (~F.col("_blank") & ~copy & F.col("_cut")).alias("_cut"))
 
@@ -363,7 +363,8 @@ def repair(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: st
     empty = lambda r: F.struct(r.alias("role"), F.lit("").alias("text"), F.lit("I").alias("edit"))
     own = F.struct(F.coalesce("role", "_role").alias("role"), F.col("_text").alias("text"), F.col("edit").alias("edit"))
     lines = F.concat(F.transform("inserted", empty), F.when(F.col("edit") != "D", F.array(own)).otherwise(F.array().cast("array<struct<role:string,text:string,edit:string>>")), F.transform("after", empty))
-    joined = null_safe_join(ordered.select("_conv", "_pos", "_role", "_text"), one, ["_conv", "_pos"], "inner")
+    # Both sides grow with the turns, and edits are far larger in memory than their files let Spark guess.
+    joined = null_safe_join(ordered.select("_conv", "_pos", "_role", "_text"), one.hint("merge"), ["_conv", "_pos"], "inner")
     repaired = joined.select("_conv", "_pos", F.posexplode(lines).alias("_sub", "_line")).select("_conv", "_pos", "_sub", "_line.*")
 
     pair = F.concat(F.right(F.lag("ends").over(Window.partitionBy("_conv").orderBy("_leaf")), F.lit(1)), F.left("ends", F.lit(1)))

@@ -272,6 +272,30 @@ def test_tree_equals_the_library(library, definition, leaf, window):
     check()
 
 
+@pytest.mark.parametrize("cut", [2, 5, 23, 4096])
+def test_halved_texts_equal_the_library(library, definition, cut):
+    """Halves end at any place, in ordinary documents too, and every join is spliced from windows."""
+    encoder = bpe.TreeEncoder(definition, 256, 32, cut)
+    texts = ["It's 12 don't!! we'll--x " * 20, "x" * 50 + "''s'd'''d" * 30, " \n " * 200 + "end", "Éa é" * 100, "你好 mixed ́x words'll " * 30, "a <|endoftext|> b " * 30]
+    texts += ["".join(random.Random(i).choices("ab'sdtl 1.é\n", k=400)) for i in range(60)]
+    texts.append("Some words of a long, ordinary document; they don't repeat 42 times.\n" * 2000)
+    for text in texts:
+        want = library.encode(text, add_special_tokens=False).ids
+        before = encoder.joins
+        ((found,), (decoded,)) = encoder.encode_many([text])
+        assert list(itertools.chain.from_iterable(found)) == want
+        assert decoded == library.decode(want, skip_special_tokens=False)
+        assert (encoder.joins > before) == (len(text) > cut)
+
+
+def test_remembered_pieces_are_bounded(definition, monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 40_000)
+    encoder = bpe.TreeEncoder(definition)
+    for i in range(30):
+        list(encoder.entries([" ".join(f"word{'abcdefghij'[j % 10]}{'klmnopqrst'[i % 10]}x{'uvwxyz'[j % 6]}" for j in range(40))]))
+        assert encoder.held <= 2 * 40_000
+
+
 @pytest.mark.parametrize("run", ["ab" * 5000, "thequickbrownfox" * 400, "<|endoftext|>" * 300, "!?" * 2000 + "'s" * 2000, "éü" * 3000, "a" * 9999])
 def test_long_runs_equal_the_library(library, definition, run):
     want = library.encode(run, add_special_tokens=False).ids
