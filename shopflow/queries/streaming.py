@@ -1,17 +1,22 @@
 """Event stream queries. The stream runs once per data folder and session; queries read its tables."""
 
+import re
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopflow.functions.hashing import bucket
 from shopflow.operators import experiments
 from shopflow.operators.features import latest_per_key
+from shopflow.plans.hot_keys import top_k
 from shopflow.plans.storage import materialize, scratch_path
 from shopflow.queries.features import text
 from shopflow.queries.prelude import h
 from shopflow.queries.registry import query
 from shopflow.session import streaming_session
 from shopflow.sources import cdc
-from shopflow.streaming import injection, jobs, lateness
+from shopflow.streaming import injection, jobs, lateness, sinks
 from shopflow.streaming.config import StreamConfig
 
 _JOBS: dict[tuple[str, str], jobs.StreamJob] = {}
@@ -37,6 +42,8 @@ def stream_job(shop) -> jobs.StreamJob:
         for part in (F.col("record_timestamp") < middle, F.col("record_timestamp") >= middle):
             records.filter(part).write.mode("append").parquet(landing)
             job.run_all(session.readStream.schema(jobs.RECORD_SCHEMA).parquet(landing))
+            for entity in ("user_id", "product_id"):
+                job.firings(entity).awaitTermination()
         job.user_panes().awaitTermination()
         _JOBS[key] = job
     return _JOBS[key]
@@ -105,9 +112,64 @@ def metric_lines(shop):
     return lines.withColumn("line", F.regexp_replace("line", '"max_late_by_seconds":[0-9.E-]+,', ""))
 
 
-@query("i8_a21_dead_letters", "select event_id, user_id, product_id, event_type, event_timestamp, late_by_seconds, 300 allowed_lateness_seconds, 'cdc.behavior_events' source_topic, payload_hash, 'too_late_for_feature_update' reason from flagged where is_too_late")
+@query(
+    "i8_a21_dead_letters",
+    """select event_id, user_id, product_id, event_type, event_timestamp, late_by_seconds, 300::bigint allowed_lateness_seconds, 'cdc.behavior_events' source_topic, payload_hash, 'too_late_for_feature_update' reason,
+      event_id payload_event_id, request_id payload_request_id, epoch_us(record_timestamp) payload_record_us, price::double payload_price
+    from (select *, row_number() over (partition by event_id order by record_timestamp, payload_hash) r from flagged where is_too_late) where r = 1""",
+)
 def dead_letters(shop):
-    return table(shop, "stream_late_events_dlq").drop("processed_timestamp", "payload", "batch_id")
+    """One letter per event and reason, the first copy to arrive."""
+    letters = stream_job(shop).contract_table("stream_late_events_dlq").drop("processed_timestamp", "created_timestamp")
+    field = lambda name: F.get_json_object("payload", f"$.{name}")
+    return letters.withColumns({
+        "payload_event_id": field("event_id"), "payload_request_id": field("request_id"),
+        "payload_record_us": F.unix_micros(F.to_timestamp(field("record_timestamp"))), "payload_price": field("price").cast("double"),
+    }).drop("payload")
+
+
+# The stream is landed in two parts, so an open pane that changed fires early after each of them.
+FIRINGS = {
+    "on_panes": """select *, ms // 60000 * 60000 pane, is_late and ms + round(late_by_seconds * 1000)::bigint >= ms // 60000 * 60000 + 59999 after_close,
+        record_timestamp < timestamp '2024-01-16' first_part from (select *, epoch_us(event_timestamp) // 1000 ms from kept)""",
+    "marks": "select max(epoch_us(event_timestamp) // 1000) filter (record_timestamp < timestamp '2024-01-16') - 3600000 w1, max(epoch_us(event_timestamp) // 1000) - 3600000 w2 from flagged",
+}
+
+
+def firings_sql(key: str) -> str:
+    totals = "count(*) event_count, count(*) filter (event_type = 'view') views, count(*) filter (event_type = 'cart') carts, count(*) filter (event_type = 'purchase') purchases, max(event_timestamp) last_event_timestamp"
+    running = totals.split(", ")
+    over = f"over (partition by {key}, pane order by after_close, case when after_close then record_timestamp end, case when after_close then event_id end)"
+    later = ", ".join(re.sub(r" (\w+)$", rf" {over} \1", part) for part in running)
+    return f"""
+    select {key}, make_timestamp(pane * 1000) window_start, make_timestamp((pane + 60000) * 1000) window_end, firing, event_count, views, carts, purchases, last_event_timestamp from (
+      select {key}, pane, 'early' firing, {totals} from on_panes, marks where not after_close and first_part and w1 < pane + 59999 group by {key}, pane
+      union all select {key}, pane, 'early', {totals} from on_panes, marks where not after_close and w2 < pane + 59999 group by {key}, pane having count(*) filter (not first_part) > 0
+      union all select {key}, pane, 'close', {totals} from on_panes, marks where not after_close and w2 >= pane + 59999 group by {key}, pane
+      union all select {key}, pane, 'late', event_count, views, carts, purchases, last_event_timestamp from (select {key}, pane, after_close, {later} from on_panes) where after_close)"""
+
+
+@query("i10_user_pane_firings", firings_sql("user_id"), FIRINGS)
+def user_firings(shop):
+    """Early, closing and late firings of user panes with the totals they show."""
+    return table(shop, "stream_firings_user_id").drop("revision", "batch_id")
+
+
+@query("i9_i10_item_pane_firings", firings_sql("product_id"), FIRINGS)
+def item_firings(shop):
+    return table(shop, "stream_firings_product_id").drop("revision", "batch_id")
+
+
+@query(
+    "i9_item_panes",
+    """select product_id, w window_start, w + interval 60 seconds window_end, n event_count, v views, c carts, p purchases, last_event_timestamp
+    from (select product_id, time_bucket(interval 60 seconds, event_timestamp) w, count(*) n, count(*) filter (event_type='view') v, count(*) filter (event_type='cart') c, count(*) filter (event_type='purchase') p,
+      max(event_timestamp) last_event_timestamp from kept group by 1, 2)""",
+)
+def item_panes(shop):
+    """Last firing of every item pane."""
+    newest = top_k(table(shop, "stream_firings_product_id"), ["product_id", "window_start"], [F.desc("revision")], 1, "_rank")
+    return newest.drop("_rank", "revision", "firing", "batch_id")
 
 
 @query("b10_feature_events", "select event_id, event_timestamp, event_type from kept")
@@ -174,9 +236,84 @@ def offline_rows(shop):
     return rows.groupBy("product_id").agg(F.count(F.lit(1)).alias("rows"), F.max("feature_timestamp").alias("newest"))
 
 
+PARTS = {"first": "record_timestamp < timestamp '2024-01-16'", "second": "true"}
+
+
+def both_parts(sql: str) -> dict[str, str]:
+    """Views of the rolling answer after each part of the stream; the second covers the entities it touched."""
+    views = {}
+    for part, rows in PARTS.items():
+        renamed = {name: f"{part}_{name}" for name in ROLLING}
+        swap = lambda q: re.sub(r"\b(" + "|".join(renamed) + r")\b", lambda m: renamed[m[1]], q)  # noqa: B023, E731
+        views |= {renamed[n]: swap(q).replace("from kept", f"from kept where {rows}") for n, q in ROLLING.items()}
+        views[f"{part}_rows"] = swap(sql)
+    return views
+
+
+def offline_sql(sql: str, key: str, columns: str) -> tuple[str, dict[str, str]]:
+    touched = f"(select {key} from kept where record_timestamp >= timestamp '2024-01-16')"
+    kept = f"select * from second_rows where {key} in {touched} union all select * from first_rows where event_id not in (select event_id from second_rows where {key} in {touched})"
+    return f"select event_id source_event_id, {columns} from ({kept})", both_parts(sql)
+
+
+@query("a20_user_sequence_rows", *offline_sql(USER_ROLLING, "user_id", "user_id, feature_timestamp, hist_length sequence_length, 50 max_history_length, hist_item_ids item_ids, hist_event_type_ids event_type_ids, 'bst_sequence_v2' feature_version"))
+def sequence_rows(shop):
+    """One row per source event that closed a batch of its user."""
+    rows = stream_job(shop).contract_table("stream_user_sequence_features")
+    listed = lambda name: F.regexp_replace(F.get_json_object("feature_payload", f"$.{name}"), r"[\[\]]", "").alias(name)
+    return rows.select("*", listed("item_ids"), listed("event_type_ids")).drop("feature_payload")
+
+
+@query("a20_user_aggregate_rows", *offline_sql(USER_ROLLING, "user_id", "user_id, feature_timestamp, views_30m, carts_30m, purchases_24h, distinct_categories_7d, avg_viewed_price_7d, cart_to_purchase_ratio_7d, 'user_aggregate_v1' feature_version"))
+def aggregate_rows(shop):
+    rows = stream_job(shop).contract_table("stream_user_aggregate_features")
+    number = lambda name, kind: F.get_json_object("feature_payload", f"$.{name}").cast(kind).alias(name)
+    rates = [F.round(number("avg_viewed_price_7d", "double"), 6).alias("avg_viewed_price_7d"), number("cart_to_purchase_ratio_7d", "double")]
+    return rows.select("*", number("distinct_categories_7d", "int"), *rates).drop("feature_payload")
+
+
+@query("a20_i18_item_rows", *offline_sql(ITEM_ROLLING, "product_id", "product_id, feature_timestamp, category_id, brand_id, price_bucket, views_1h, views_24h, purchases_24h, popularity_score, purchases_7d, 'item_features_v1' feature_version"))
+def item_feature_rows(shop):
+    rows = stream_job(shop).contract_table("stream_item_features")
+    return rows.withColumn("purchases_7d", F.get_json_object("feature_payload", "$.purchases_7d").cast("int")).drop("feature_payload")
+
+
+def _columns(name: str) -> str:
+    return {
+        "stream_behavior_events": "event_id,event_timestamp,processed_timestamp,user_id,product_id,event_type,event_type_id,category_id,brand_id,price,price_bucket,payload_hash,source_topic,late_by_seconds,is_late",
+        "streaming_quality_windows": ",".join(sinks.QUALITY_COLUMNS),
+    }.get(name) or ",".join(part.split()[0] for part in sinks.TABLES[name].split(", "))
+
+
+FAN_OUT = {
+    "stream_behavior_events": "select 1 from flagged",
+    "stream_late_events_dlq": "select distinct event_id from flagged where is_too_late",
+    "streaming_quality_windows": "select 1 from quality",
+    "stream_user_sequence_features": "select distinct event_id from (select user_id, event_id from first_last_user union all select user_id, event_id from second_last_user where user_id in (select user_id from kept where record_timestamp >= timestamp '2024-01-16'))",
+    "stream_user_aggregate_features": "select distinct event_id from (select user_id, event_id from first_last_user union all select user_id, event_id from second_last_user where user_id in (select user_id from kept where record_timestamp >= timestamp '2024-01-16'))",
+    "stream_item_features": "select distinct event_id from (select product_id, event_id from first_last_item union all select product_id, event_id from second_last_item where product_id in (select product_id from kept where record_timestamp >= timestamp '2024-01-16'))",
+}
+
+
+@query(
+    "a18_six_sinks",
+    " union all ".join(f"select '{name}' table_name, '{_columns(name)}' columns, count(*) as rows from ({sql})" for name, sql in FAN_OUT.items()),
+    {**QUALITY, **both_parts("select 1")},
+)
+def six_sinks(shop):
+    """The six tables that one stream feeds, with their columns."""
+    job = stream_job(shop)
+    tables = [job.contract_table(name) for name in sinks.STREAM_TABLES]
+    counts = [
+        t.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table_name"), F.lit(",".join(t.columns)).alias("columns"), "rows")
+        for name, t in zip(sinks.STREAM_TABLES, tables, strict=True)
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 @query(
     "a18_sink_fan_out",
-    """select 'stream_behavior_events' table_name, count(*) as rows from flagged union all select 'stream_late_events_dlq', count(*) from flagged where is_too_late""",
+    """select 'stream_behavior_events' table_name, count(*) as rows from flagged union all select 'stream_late_events_dlq', count(distinct event_id) from flagged where is_too_late""",
 )
 def fan_out(shop):
     counts = [

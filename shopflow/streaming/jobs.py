@@ -12,14 +12,15 @@ from pyspark.sql.streaming import StreamingQuery
 from shopflow.operators.online import newest_wins
 from shopflow.plans.hot_keys import top_k
 from shopflow.sources import cdc
-from shopflow.streaming import lateness, state
+from shopflow.streaming import firings, lateness, sinks, state
 from shopflow.streaming.config import StreamConfig, trigger
 
 RECORD_SCHEMA = "value string, record_timestamp timestamp"
 EVENT_SCHEMA = (
     "record_timestamp timestamp, event_id string, event_timestamp timestamp, user_id bigint, product_id bigint, event_type string,"
     " event_type_id int, category_id bigint, brand_id bigint, price double, price_bucket int, session_id string, request_id string,"
-    " impression_id string, payload_hash string, is_duplicate boolean, late_by_seconds double, is_late boolean, is_too_late boolean"
+    " impression_id string, payload_hash string, is_duplicate boolean, late_by_seconds double, is_late boolean, is_too_late boolean,"
+    " watermark_ms bigint, processed_timestamp timestamp"
 )
 MARKER_SCHEMA = "batch bigint, highest_ms bigint, rows bigint"
 
@@ -52,6 +53,10 @@ class StreamJob:
     def _write(self, frame: DataFrame, name: str, batch: int) -> None:
         frame.write.mode("overwrite").parquet(f"{self.path(name)}/batch_id={batch}")
 
+    def keyed(self, name: str) -> sinks.KeyedTable:
+        """A table of the stream that is merged by key."""
+        return sinks.keyed_table(self.spark, name, self.path(name if name == "stream_late_events_dlq" else f"offline/{name}"), self.config)
+
     def _start(self, stream: DataFrame, hop: str, sink, mode: str, replay: bool) -> StreamingQuery:
         return (
             stream.writeStream.foreachBatch(sink)
@@ -75,15 +80,17 @@ class StreamJob:
             return
         batch.persist()
         try:
+            facts = batch.agg(F.max(F.unix_millis("event_timestamp")).alias("h"), F.count(F.lit(1)).alias("n")).first()
+            highest = max([h for h in (facts["h"], before) if h is not None], default=None)
+            after = F.lit(None if highest is None else highest - self.config.watermark_delay_seconds * 1000).cast("bigint")
             flagged = lateness.classify(lateness.mark_duplicates(batch), self.config, before, self.path("_scratch/arrival"))
+            flagged = flagged.withColumns({"watermark_ms": after, "processed_timestamp": F.current_timestamp()})
             columns = [part.split()[0] for part in EVENT_SCHEMA.split(", ")]
             self._write(flagged.select(*columns), "stream_behavior_events", batch_id)
-            written = batch.sparkSession.read.parquet(f"{self.path('stream_behavior_events')}/batch_id={batch_id}")
+            written = batch.sparkSession.read.schema(EVENT_SCHEMA).parquet(f"{self.path('stream_behavior_events')}/batch_id={batch_id}")
             if self.config.dead_letters:
                 letters = lateness.dead_letters(written, self.config, F.current_timestamp())
-                self._write(letters, "stream_late_events_dlq", batch_id)
-            facts = written.agg(F.max(F.unix_millis("event_timestamp")).alias("h"), F.count(F.lit(1)).alias("n")).first()
-            highest = max([h for h in (facts["h"], before) if h is not None], default=None)
+                self.keyed("stream_late_events_dlq").merge(letters, batch_id, self.path("_staging/stream_late_events_dlq"))
             self._finish("events", batch_id, highest, facts["n"])
         finally:
             batch.unpersist()
@@ -101,11 +108,11 @@ class StreamJob:
         return self._start(windows, "quality", self._sink("streaming_quality_windows"), "update", replay)
 
     def current_quality_windows(self) -> DataFrame:
-        """Last revision of every window, with the number of its events that went to the dead letters."""
+        """Last revision of every window, with the number of its events that came too late, copies included."""
         newest = top_k(self.table("streaming_quality_windows"), ["topic", "window_start"], [F.desc("batch_id")], 1, "_rank")
         span = self.config.quality_window_seconds
         start = F.window("event_timestamp", f"{span} seconds")["start"].alias("window_start")
-        late = self.table("stream_late_events_dlq").groupBy(start).agg(F.count(F.lit(1)).alias("side_output_late_events"))
+        late = self.table("stream_behavior_events").filter("is_too_late").groupBy(start).agg(F.count(F.lit(1)).alias("side_output_late_events"))
         joined = newest.drop("_rank", "batch_id").join(late, "window_start", "left")
         sent = F.coalesce("side_output_late_events", F.lit(0))
         dropped = sent if self.config.drop_late_events else F.lit(0)
@@ -141,10 +148,46 @@ class StreamJob:
                 return
             if name.startswith("streaming") or self.config.offline or self.config.online:
                 self._write(batch, name, batch_id)
+                if self.config.offline:
+                    self._merge_rows(name, batch_id)
             self._finish(name, batch_id)
 
         return write
 
+    def _merge_rows(self, name: str, batch_id: int) -> None:
+        """Feature rows of a written batch into the offline tables, one row per source event."""
+        tables = {
+            "stream_user_features": {"stream_user_sequence_features": sinks.user_sequence_rows, "stream_user_aggregate_features": sinks.user_aggregate_rows},
+            "stream_item_features": {"stream_item_features": sinks.item_rows},
+        }.get(name, {})
+        if tables:
+            written = self.spark.read.parquet(f"{self.path(name)}/batch_id={batch_id}")
+            for table, rows in tables.items():
+                self.keyed(table).merge(rows(written, self.config), batch_id, self.path(f"_staging/{table}"))
+
+    def contract_table(self, name: str) -> DataFrame:
+        """One of the stream's six tables with the columns of its contract."""
+        if name == "stream_behavior_events":
+            return sinks.behavior_rows(self.table(name), self.config)
+        if name == "streaming_quality_windows":
+            windows = self.current_quality_windows().withColumn("created_timestamp", F.current_timestamp())
+            return windows.select(*sinks.QUALITY_COLUMNS)
+        return self.keyed(name).read()
+
+    # Firings
+
+    def firings(self, key: str, replay: bool = True) -> StreamingQuery:
+        """Early, closing and late firings of the panes of users or items."""
+        events = firings.pane_firings(self.flagged_stream(), key, self.config)
+        # Timers of the last batch need one more batch without data; a query takes the setting with it when it starts.
+        name = "spark.sql.streaming.noDataMicroBatches.enabled"
+        before = self.spark.conf.get(name)
+        self.spark.conf.set(name, "true")
+        try:
+            return self._start(events, f"firings_{key}", self._sink(f"stream_firings_{key}"), "append", replay)
+        finally:
+            self.spark.conf.set(name, before)
+
     def with_finality(self, features: DataFrame) -> DataFrame:
         """is_final: the watermark has passed the last instant of the feature row's window."""
         highest = self._progress("events")[1]

@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shopflow.plans.hot_keys import top_k
 from shopflow.plans.joins import salted_join
 from shopflow.plans.ordering import with_running
 from shopflow.streaming.config import StreamConfig
@@ -71,13 +72,15 @@ def feature_events(events: DataFrame, config: StreamConfig) -> DataFrame:
 
 
 def dead_letters(events: DataFrame, config: StreamConfig, run_ts: Column, reason: str = "too_late_for_feature_update") -> DataFrame:
-    """Rows of the dead-letter table for events that came too late."""
-    columns = [c for c in events.columns if c not in ("is_late", "is_too_late", "is_duplicate", "late_by_seconds")]
-    return events.filter("is_too_late").select(
+    """Rows of the dead-letter table for events that came too late, of copies of an event the first to arrive."""
+    left_out = ("is_late", "is_too_late", "is_duplicate", "late_by_seconds", "watermark_ms", "processed_timestamp")
+    columns = [c for c in events.columns if c not in left_out]
+    firsts = top_k(events.filter("is_too_late"), ["event_id"], ARRIVAL, 1, "_rank")
+    return firsts.select(
         "event_id", "user_id", "product_id", "event_type", "event_timestamp", run_ts.alias("processed_timestamp"), "late_by_seconds",
         F.lit(config.allowed_lateness_seconds).alias("allowed_lateness_seconds"), F.lit(config.topic).alias("source_topic"),
         F.coalesce("payload_hash", F.lit("")).alias("payload_hash"), F.lit(reason).alias("reason"),
-        F.to_json(F.struct(*sorted(columns))).alias("payload"),
+        F.to_json(F.struct(*sorted(columns))).alias("payload"), run_ts.alias("created_timestamp"),
     )
 
 

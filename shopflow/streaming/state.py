@@ -81,7 +81,7 @@ USER_OUTPUT = (
     "user_id bigint, feature_timestamp timestamp, event_id string, views_30m int, carts_30m int, purchases_24h int,"
     " distinct_categories_7d int, avg_viewed_price_7d double, cart_to_purchase_ratio_7d double, hist_item_ids array<bigint>,"
     " hist_event_type_ids array<int>, hist_category_ids array<bigint>, hist_brand_ids array<bigint>,"
-    " hist_price_bucket_ids array<int>, hist_request_ids array<string>, hist_impression_ids array<string>, hist_length int,"
+    " hist_price_bucket_ids array<int>, hist_request_ids array<string>, hist_impression_ids array<string>, hist_event_micros array<bigint>, hist_length int,"
     " window_start timestamp, window_end timestamp, late_revision boolean"
 )
 ITEM_OUTPUT = (
@@ -201,7 +201,7 @@ class UserRolling(_RollingPanes):
             "cart_to_purchase_ratio_7d": purchases / carts if carts else 0.0,
             "hist_item_ids": tail["item"], "hist_event_type_ids": tail["kind"], "hist_category_ids": tail["category"],
             "hist_brand_ids": tail["brand"], "hist_price_bucket_ids": tail["bucket"], "hist_request_ids": tail["request"],
-            "hist_impression_ids": tail["impression"], "hist_length": len(tail["at"]),
+            "hist_impression_ids": tail["impression"], "hist_event_micros": tail["at"], "hist_length": len(tail["at"]),
         }
 
 

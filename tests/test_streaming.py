@@ -8,7 +8,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from shopflow.session import streaming_session
-from shopflow.streaming import injection, jobs, lateness
+from shopflow.streaming import firings, injection, jobs, lateness, sinks
 from shopflow.streaming.config import StreamConfig, trigger
 
 START = dt.datetime(2024, 1, 1)
@@ -129,3 +129,111 @@ def test_injection_is_repeatable(shop):
     assert injection.inject_bursts(events, 0, 3).count() == events.count()
     replayed = injection.inject_replays(events, 0.5, 60)
     assert events.count() < replayed.count() < 2 * events.count()
+
+
+def test_dead_letters_are_unique_per_event_and_reason(spark, tmp_path):
+    feed = Feed(spark, tmp_path)
+    later = START + dt.timedelta(days=2)
+    old = [record(f"old{i}", START, "view", arrival=later + dt.timedelta(seconds=i)) for i in range(3)]
+    feed.send(record("now", later, "view"), *old, (old[0][0], old[0][1] + dt.timedelta(minutes=1)))
+    feed.send((old[0][0], old[0][1] + dt.timedelta(minutes=9)), (old[2][0], old[2][1] + dt.timedelta(minutes=9)), record("old9", START, "cart", arrival=later + dt.timedelta(hours=1)))
+    letters = feed.job.contract_table("stream_late_events_dlq").collect()
+    assert sorted(r["event_id"] for r in letters) == ["old0", "old1", "old2", "old9"]
+    first = next(r for r in letters if r["event_id"] == "old0")
+    assert json.loads(first["payload"])["record_timestamp"].startswith((later).isoformat())
+
+
+def keyed(spark, path, replace=True, buckets=8):
+    return sinks.KeyedTable(spark, str(path), "id string, at timestamp, value int", ["id"], [F.desc("value")], replace=replace, key_range=F.date_format("at", "yyyy-MM-dd"), buckets=buckets)
+
+
+def changes(spark, *rows_):
+    return spark.createDataFrame([(i, None if d is None else START + dt.timedelta(days=d), v) for i, d, v in rows_], "id string, at timestamp, value int")
+
+
+def stored_files(path):
+    return {str(f.relative_to(path)): f.stat().st_mtime_ns for f in path.rglob("*.parquet")}
+
+
+def test_keyed_table_rewrites_only_what_a_batch_touches(spark, tmp_path):
+    path = tmp_path / "table"
+    table = keyed(spark, path)
+    assert rows(table.read()) == []
+    many = changes(spark, *[(f"k{i}", i % 10, i) for i in range(2000)])
+    assert table.merge(many, 0, f"{tmp_path}/staging") == 80
+    before = stored_files(path)
+    assert table.merge(changes(spark, ("k13", 3, -1), ("new", 3, 7), ("new", 3, 5)), 1, f"{tmp_path}/staging") <= 2
+    after = stored_files(path)
+    touched = {f.rsplit("/", 1)[0] for f in before.keys() ^ after.keys()}
+    assert 1 <= len(touched) <= 2 and all(f.startswith("key_range=2024-01-04") for f in touched)
+    got = {r["id"]: r["value"] for r in table.read().collect()}
+    assert got == {**{f"k{i}": i for i in range(2000)}, "k13": -1, "new": 7}
+
+
+def test_keyed_table_repeats_a_batch_after_any_failure(spark, tmp_path):
+    path = tmp_path / "table"
+    table = keyed(spark, path)
+    table.merge(changes(spark, ("a", 0, 1), ("b", 1, 2), ("n", None, 3)), 0, f"{tmp_path}/staging")
+    batch = changes(spark, ("a", 0, 10), ("b", 1, 20), ("c", 2, 30))
+    table.merge(batch, 1, f"{tmp_path}/staging")
+    whole = rows(table.read())
+    table.merge(batch, 1, f"{tmp_path}/staging")
+    assert rows(table.read()) == whole
+    # The move of the parts broke off: one of them is gone.
+    for file in list((path / "key_range=2024-01-02").rglob("*")):
+        if file.is_file():
+            file.write_bytes(b"") if file.suffix == ".crc" else file.rename(tmp_path / f"lost-{file.name}")
+    table.merge(batch, 1, f"{tmp_path}/staging")
+    assert rows(table.read()) == whole
+    assert {r[0]: r[2] for r in whole} == {"a": 10, "b": 20, "c": 30, "n": 3}
+
+
+def test_keyed_table_that_leaves_out_known_keys(spark, tmp_path):
+    table = keyed(spark, tmp_path / "table", replace=False, buckets=2)
+    table.merge(changes(spark, ("a", 0, 1), ("a", 0, 2), ("b", 0, 1)), 0, f"{tmp_path}/staging")
+    table.merge(changes(spark, ("a", 0, 9), ("c", 0, 3)), 1, f"{tmp_path}/staging")
+    table.merge(changes(spark), 2, f"{tmp_path}/staging")
+    assert {r["id"]: r["value"] for r in table.read().collect()} == {"a": 2, "b": 1, "c": 3}
+
+
+class FiringFeed(Feed):
+    def send(self, *records):
+        self.session.createDataFrame(list(records), jobs.RECORD_SCHEMA).coalesce(1).write.mode("append").parquet(self.landing)
+        self.job.flag_events(self.session.readStream.schema(jobs.RECORD_SCHEMA).parquet(self.landing)).awaitTermination()
+        self.job.firings("user_id").awaitTermination()
+
+    def fired(self, user=1, start=START):
+        shown = self.job.table("stream_firings_user_id").filter((F.col("user_id") == user) & (F.col("window_start") == F.lit(start)))
+        return [(r["firing"], r["event_count"], r["views"], r["revision"]) for r in shown.orderBy("revision").collect()]
+
+
+def test_panes_fire_early_at_close_and_late(spark, tmp_path):
+    feed = FiringFeed(spark, tmp_path, watermark_delay_seconds=60)
+    at = lambda seconds: START + dt.timedelta(seconds=seconds)
+    feed.send(record("a", at(1), "view"), record("b", at(2), "cart"), record("x", at(3), "view", user=2))
+    assert feed.fired() == [("early", 2, 1, 1)] and feed.fired(2) == [("early", 1, 1, 1)]
+    # Only the pane that changed fires again.
+    feed.send(record("c", at(30), "view"))
+    assert feed.fired() == [("early", 2, 1, 1), ("early", 3, 2, 2)] and feed.fired(2) == [("early", 1, 1, 1)]
+    # Another user's event moves the watermark past the panes' last instant; both fire once by their timers.
+    feed.send(record("y", at(150), "view", user=3))
+    assert feed.fired()[2:] == [("close", 3, 2, 3)] and feed.fired(2)[1:] == [("close", 1, 1, 2)]
+    # Late events that are still accepted fire one by one; a copy, or one that comes too late, does not.
+    feed.send(record("d", at(40), "view", arrival=at(160)), record("e", at(41), "purchase", arrival=at(161)), record("c", at(30), "view", arrival=at(162)))
+    assert feed.fired()[3:] == [("late", 4, 3, 4), ("late", 5, 3, 5)]
+    feed.send(record("z", at(1000), "view", user=3), record("f", at(42), "view", arrival=at(1001)))
+    assert len(feed.fired()) == 5
+    # In one batch a pane opens, is passed by the watermark and revised.
+    day = 86400
+    feed.send(record("g", at(day), "view", user=4), record("h", at(day + 200), "view", user=5), record("i", at(day + 1), "cart", user=4, arrival=at(day + 201)))
+    assert feed.fired(4, at(day)) == [("close", 1, 1, 1), ("late", 2, 1, 2)]
+
+
+def test_firings_of_a_hot_pane_are_sums_of_parts(spark):
+    """Parts summed before the state equal the events themselves, in any grouping."""
+    events = [(1, 0, i % 3 == 2, 1, i % 2, 0, 0, i, i, f"e{i}", 5) for i in range(90)]
+    frame = spark.createDataFrame(events, "entity long, pane_ms long, after_close boolean, event_count long, views long, carts long, purchases long, last_us long, arrival long, event_id string, watermark_ms long")
+    summed = frame.repartition(4).mapInPandas(firings._pre_totals, frame.schema)
+    facts = lambda f: tuple(f.groupBy("after_close").agg(F.sum("event_count"), F.sum("views"), F.max("last_us")).orderBy("after_close").collect())
+    assert facts(summed) == facts(frame)
+    assert summed.filter("not after_close").count() <= 4 and summed.filter("after_close").count() == 30
