@@ -30,6 +30,19 @@ def stable_id(*parts: Column) -> Column:
     return F.substring(F.sha2(F.concat_ws("|", *[p.cast("string") for p in parts]), 256), 1, 32)
 
 
+URL_NAMESPACE = "6ba7b8119dad11d180b400c04fd430c8"  # fixed value: the name space of URLs
+
+
+def name_uuid(name: Column, namespace: str = URL_NAMESPACE) -> Column:
+    """Name-based id, version 5: SHA-1 of name space and name, with the version and variant bits set. Null stays null."""
+    digest = F.sha1(F.concat(F.unhex(F.lit(namespace)), F.encode(name, "UTF-8")))
+    part = lambda begin, size: F.substring(digest, begin, size)
+    high_bits = F.translate(part(17, 1), "0123456789abcdef", "89ab89ab89ab89ab")  # the variant's bits, 10
+    return F.concat(
+        part(1, 8), F.lit("-"), part(9, 4), F.lit("-5"), part(14, 3), F.lit("-"), high_bits, part(18, 3), F.lit("-"), part(21, 12)
+    )
+
+
 def variant(user_id: Column, experiment: str, candidate_percent: int) -> Column:
     """Sticky experiment arm; 0 % and 100 % switch an arm off."""
     if candidate_percent <= 0:

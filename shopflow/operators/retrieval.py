@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 
 from shopflow.operators.quality import set_difference
 from shopflow.plans.hot_keys import top_k
-from shopflow.plans.ordering import with_row_number
 from shopflow.plans.quantiles import quantiles
 
-# Query vectors sent to every task; more queries run in slices of this size.
+# Query vectors of one block, and chunk vectors of one; a pair of blocks is a matrix product.
 QUERIES_PER_PASS = 1024
+CHUNK_ROWS = 4096
 
 
 def matches(
@@ -45,35 +45,47 @@ def centroids(vectors: DataFrame, key: str, vector: str) -> DataFrame:
     return rows.select(key, F.col("_v")["x"].alias(vector))
 
 
-def _slices(queries: DataFrame, key: str, vector: str) -> Iterator[tuple[list, np.ndarray]]:
-    """Query vectors in bounded slices: one slice when they are few, else by rank."""
-    total = queries.count()
-    if total <= QUERIES_PER_PASS:
-        parts = [queries]
-    else:
-        ranked = with_row_number(queries.select(key, vector), key, name="_place")
-        parts = [
-            ranked.filter(F.col("_place").between(start + 1, start + QUERIES_PER_PASS)) for start in range(0, total, QUERIES_PER_PASS)
-        ]
-    for part in parts:
-        rows = part.select(key, vector).collect()  # at most QUERIES_PER_PASS rows
-        if rows:
-            yield [r[key] for r in rows], np.array([r[vector] for r in rows], dtype=np.float64)
+def _packed(chunks: DataFrame, vector: str) -> DataFrame:
+    """Chunks packed into blocks, one row each: items, their best ratings and the matrix of their vectors."""
+
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for start in range(0, len(batch), CHUNK_ROWS):
+                part = batch.iloc[start : start + CHUNK_ROWS].sort_values("item_id", kind="stable")
+                matrix = np.stack(part[vector].to_numpy()).astype(np.float64)
+                yield pd.DataFrame({
+                    "items": [part["item_id"].to_numpy(np.int64).tobytes()], "ratings": [part["average_rating"].to_numpy(np.float64).tobytes()],
+                    "matrix": [matrix.tobytes()],
+                })
+
+    needed = chunks.select("item_id", "average_rating", vector)
+    return needed.mapInPandas(pack, "items binary, ratings binary, matrix binary")
 
 
 def best_items(chunks: DataFrame, queries: DataFrame, key: str, k: int, vector: str = "embedding") -> DataFrame:
     """The k best items per query by their best chunk; ties by rating, then id.
 
-    Each task scores its chunks against a slice of queries as a matrix product and emits only its own k
-    best items per query: an item among the best overall is among the best wherever its best chunk lies.
+    Queries and chunks are cut into blocks; a pair of blocks is scored as one matrix product and gives its own k best items
+    per query, as an item among the best overall is among the best wherever its best chunk lies. A chunk block, packed
+    once, is copied per query block, and a query block per salt, so no key of the join gathers all chunks. The plan does
+    not depend on the number of queries and no vector passes the driver. Without queries or chunks there are no rows.
     """
     kind = queries.schema[key].dataType.simpleString()
-    found = None
-    for names, matrix in _slices(queries, key, vector):
-        part = _local_best(chunks, names, matrix, key, kind, k, vector)
-        found = part if found is None else found.unionByName(part)
-    if found is None:
-        raise ValueError("there are no queries")
+    blocks = max(1, -(-queries.count() // QUERIES_PER_PASS))
+    salts = max(1, -(-int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions")) // blocks))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    block = F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int").alias("_block")
+    asked = queries.groupBy(block).agg(F.collect_list(F.struct(F.col(key).alias("name"), F.col(vector).alias("query"))).alias("asked"))
+    asked = asked.select("_block", every(salts).alias("_salt"), "asked")
+    held = _packed(chunks, vector).withColumn("_salt", F.pmod(F.xxhash64("items", "matrix"), F.lit(salts)).cast("int"))
+    pairs = held.withColumn("_block", every(blocks)).join(asked, ["_block", "_salt"])
+
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for row in batch.itertuples(index=False):
+                yield _block_best(row, key, k)
+
+    found = pairs.select("items", "ratings", "matrix", "asked").mapInPandas(score, f"{key} {kind}, item_id bigint, score double, average_rating double")
     per_item = found.groupBy(key, "item_id").agg(F.max("score").alias("score"), F.max("average_rating").alias("average_rating"))
     return top_k(per_item, [key], [F.desc("score"), F.desc("average_rating"), F.asc("item_id")], k)
 
@@ -86,27 +98,21 @@ def _keep_best(items: np.ndarray, scores: np.ndarray, ratings: np.ndarray, k: in
     return items[order], scores[order], ratings[order]
 
 
-def _local_best(chunks: DataFrame, names: list, matrix: np.ndarray, key: str, kind: str, k: int, vector: str) -> DataFrame:
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        best: list[tuple] = [(np.empty(0, np.int64), np.empty(0), np.empty(0))] * len(names)
-        for batch in batches:
-            if not len(batch):
-                continue
-            batch = batch.sort_values("item_id", kind="stable")
-            items, first = np.unique(batch["item_id"].to_numpy(), return_index=True)
-            ratings = batch["average_rating"].to_numpy(np.float64)[first]
-            scores = np.round(np.stack(batch[vector].to_numpy()).astype(np.float64) @ matrix.T, 6)
-            scores = np.maximum.reduceat(scores, first, axis=0)  # best chunk of every item
-            for q, (old_items, old_scores, old_ratings) in enumerate(best):
-                best[q] = _keep_best(
-                    np.concatenate([old_items, items]), np.concatenate([old_scores, scores[:, q]]), np.concatenate([old_ratings, ratings]), k
-                )
-        for q, (items, scores, ratings) in enumerate(best):
-            if len(items):
-                yield pd.DataFrame({key: [names[q]] * len(items), "item_id": items, "score": scores, "average_rating": ratings})
-
-    needed = chunks.select("item_id", "average_rating", vector)
-    return needed.mapInPandas(run, f"{key} {kind}, item_id bigint, score double, average_rating double")
+def _block_best(row, key: str, k: int) -> pd.DataFrame:
+    """The k best items of one block of chunks for each query of one block."""
+    every = np.frombuffer(row.items, dtype=np.int64)
+    matrix = np.frombuffer(row.matrix, dtype=np.float64).reshape(len(every), -1)
+    items, first = np.unique(every, return_index=True)
+    ratings = np.maximum.reduceat(np.frombuffer(row.ratings, dtype=np.float64), first)
+    asked = np.array([q["query"] for q in row.asked], dtype=np.float64)
+    scores = np.maximum.reduceat(np.round(matrix @ asked.T, 6), first, axis=0)  # best chunk of every item
+    names, found = [], []
+    for place, query in enumerate(row.asked):
+        best = _keep_best(items, scores[:, place], ratings, k)
+        names += [query["name"]] * len(best[0])
+        found.append(best)
+    columns = [np.concatenate([f[i] for f in found]) for i in range(3)]
+    return pd.DataFrame({key: names, "item_id": columns[0], "score": columns[1], "average_rating": columns[2]})
 
 
 def retrieve(

@@ -1,14 +1,16 @@
 """Trailing sums and distinct counts per entity, and trailing row histories.
 
 A trailing total is the difference of two running totals: the one at an event and the one just before its horizon begins.
-Rows are first combined per entity and tick, map-side; running totals go over range partitions that split an entity by
-its rows. So every entity takes the same linear route, whatever its number of rows.
+Both are frames that only grow, which Spark moves forward without reading a row twice, so entities of ordinary size take one
+shuffle and one sort for all horizons. The rows of an entity that is too large for a task are first combined per tick,
+map-side, and its running totals go over range partitions that split it by its rows. Either route is linear and gives the
+same whole numbers and decimals.
 """
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopflow.plans.hot_keys import ROWS_PER_TASK, null_safe_join, with_blocks
+from shopflow.plans.hot_keys import ROWS_PER_TASK, hot_keys, null_safe_join, with_blocks
 from shopflow.plans.ordering import with_running_in_group
 
 
@@ -20,20 +22,56 @@ def rolling(
     distincts: dict[str, tuple[str, int]] | None = None,
     *,
     exclusive: bool = False,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Add trailing totals over [t - seconds, t] to every event.
 
     sums maps a new column to (expression, seconds), where the expression is a whole number or a decimal, so that
     differences are exact; distincts to (column, seconds). A sum over no value but nulls is null, a count of no value 0.
     Time counts in whole seconds and peers of the same second are included. exclusive=True works on microseconds and
-    opens the lower end, (t - seconds, t].
+    opens the lower end, (t - seconds, t]. Entities of more than rows_per_task rows are split.
     """
     distincts = distincts or {}
     scale = 1 if exclusive else 1_000_000
     ticks_per_second = 1_000_000 // scale
     lower = {s: s * ticks_per_second - (1 if exclusive else 0) for _, s in [*sums.values(), *distincts.values()]}
-    spans = sorted(set(lower.values()))
     prepared = events.withColumn("_tick", F.floor(F.unix_micros(timestamp) / F.lit(scale)).cast("bigint"))
+    hot = hot_keys(prepared, keys, rows_per_task)
+    if hot is None:
+        return _direct(prepared, keys, sums, distincts, lower)
+    names = hot.select(*keys)
+    return _direct(null_safe_join(prepared, names, keys, "left_anti"), keys, sums, distincts, lower).unionByName(
+        _split(null_safe_join(prepared, names, keys, "left_semi"), keys, sums, distincts, lower)
+    )
+
+
+def _direct(prepared: DataFrame, keys: list[str], sums: dict, distincts: dict, lower: dict[int, int]) -> DataFrame:
+    """Trailing totals of entities that fit a task: growing frames over one order."""
+    kinds = prepared.select(*[F.sum(value).alias(n) for n, (value, _) in sums.items()]).schema if sums else None
+    rows = prepared.withColumns({f"_m_{n}": value for n, (value, _) in sums.items()})
+    for name, (column, span) in distincts.items():
+        rows = rows.unionByName(_cover_steps(prepared, keys, column, lower[span], name).withColumnRenamed("_at", "_tick"), allowMissingColumns=True)
+    if distincts:
+        step = " + ".join(f"abs(coalesce({n}, 0))" for n in distincts)
+        rows = rows.withColumn("_is_step", F.expr(step) > 0)
+    line = Window.partitionBy(*keys).orderBy("_tick")
+    up_to = lambda end: line.rangeBetween(Window.unboundedPreceding, end)
+    out = rows
+    for name, (_, seconds) in sums.items():
+        value, now, before = f"_m_{name}", up_to(Window.currentRow), up_to(-lower[seconds] - 1)
+        total = F.coalesce(F.sum(value).over(now), F.lit(0)) - F.coalesce(F.sum(value).over(before), F.lit(0))
+        some = F.count(value).over(now) > F.count(value).over(before)
+        out = out.withColumn(name, F.when(some, total).cast(kinds[name].dataType))
+    for name in distincts:
+        out = out.withColumn(f"_d_{name}", F.coalesce(F.sum(name).over(up_to(Window.currentRow)), F.lit(0)).cast("int"))
+    if distincts:
+        out = out.filter(~F.col("_is_step")).drop("_is_step", *distincts).withColumnsRenamed({f"_d_{n}": n for n in distincts})
+    return out.drop("_tick", *[f"_m_{n}" for n in sums])
+
+
+def _split(prepared: DataFrame, keys: list[str], sums: dict, distincts: dict, lower: dict[int, int]) -> DataFrame:
+    """Trailing totals of entities of any size: points and questions in range partitions that split an entity."""
+    spans = sorted(set(lower.values()))
     measured = prepared.select(*keys, "_tick", *[value.alias(f"_m_{name}") for name, (value, _) in sums.items()])
     per_tick = measured.groupBy(*keys, "_tick").agg(
         F.count(F.lit(1)).alias("_rows"), *[F.sum(f"_m_{n}").alias(n) for n in sums], *[F.count(f"_m_{n}").alias(f"_values_{n}") for n in sums]

@@ -247,6 +247,16 @@ def stable_ids(shop):
     return shop.impressions.select("impression_id", hashing.stable_id(*parts).alias("stable_id"))
 
 
+@query(
+    "h18_name_uuids",
+    """select event_id, substr(d, 1, 8)||'-'||substr(d, 9, 4)||'-5'||substr(d, 14, 3)||'-'||translate(substr(d, 17, 1), '0123456789abcdef', '89ab89ab89ab89ab')||substr(d, 18, 3)||'-'||substr(d, 21, 12) request_uuid
+    from (select event_id, sha1(unhex('6ba7b8119dad11d180b400c04fd430c8') || encode('https://shop.example/events/'||event_id)) d from behavior_events)""",
+)
+def name_uuids(shop):
+    key = F.concat(F.lit("https://shop.example/events/"), F.col("event_id"))
+    return shop.behavior_events.select("event_id", hashing.name_uuid(key).alias("request_uuid"))
+
+
 @query(
     "h19_slugs",
     r"""select doc_id, upper(regexp_replace(regexp_replace(regexp_replace(strip_accents(text), '[^\x00-\x7F]', '', 'g'), '[^A-Za-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g')) slug

@@ -123,6 +123,25 @@ def stored_sequences(shop):
     return rows.select("user_id", "event_id", "event_timestamp", "created_timestamp", "feature_version")
 
 
+@query(
+    "d13_trailing_distinct_sketches",
+    """select e.event_type, e.day, count(distinct h.event_id) exact_events, round(0.15::double * count(distinct h.event_id), 6) allowed_error, true within_bound
+    from (select distinct event_type, event_timestamp::date as day from behavior_events) e join behavior_events h on h.event_type = e.event_type and h.event_timestamp::date between e.day - 6 and e.day group by 1, 2""",
+)
+def trailing_sketches(shop):
+    """Sketches of high-cardinality ids over trailing days against exact counts; three deviations of 5 % are allowed."""
+    events = shop.behavior_events
+    found = features.trailing_distinct_sketches(events, ["event_type"], "event_timestamp", "event_id")
+    firsts = events.select("event_type", "event_id", F.to_date("event_timestamp").alias("day")).distinct()
+    served = firsts.withColumn("day", F.explode(F.sequence(F.col("day"), F.date_add("day", 6))))
+    exact = served.groupBy("event_type", "day").agg(F.count_distinct("event_id").alias("exact_events"))
+    allowed = F.round(0.15 * F.col("exact_events"), 6)
+    error = F.abs(F.col("approximate") - F.col("exact_events"))
+    return found.join(exact, ["event_type", "day"]).select(
+        "event_type", "day", "exact_events", allowed.alias("allowed_error"), (error <= allowed).alias("within_bound")
+    )
+
+
 @query(
     "d13_approximate_distinct_products",
     "select count(distinct product_id) exact_products, true within_bound from behavior_events",

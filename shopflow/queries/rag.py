@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from shopflow.functions.hashing import bucket
 from shopflow.functions.text import dot, l2_norm
 from shopflow.operators import chunking, layout, retrieval
-from shopflow.plans.storage import scratch_path
+from shopflow.plans.storage import materialize, scratch_path
 from shopflow.queries.prelude import h
 from shopflow.queries.registry import query
 
@@ -33,7 +33,11 @@ def semantic_breaks(shop):
 
 
 def document_units(shop):
-    """Document texts as overview sections of the product with the same number, and question-answer pairs."""
+    """Every document text and every turn as a section, with its product where one has the same number.
+
+    A user turn and the assistant turn right behind it are one question-answer pair. Other turns are sections of their own:
+    open questions, answers without a question, and notes of any other role. Blank sections carry a reject reason.
+    """
     product = shop.products.select(
         F.col("product_id").alias("item_id"), F.col("product_name").alias("title"), F.col("brand_name").alias("brand"),
         F.col("category_code").alias("category_l1"), F.col("price_bucket").cast("string").alias("category_l2"), F.lit("").alias("category_l3"),
@@ -41,14 +45,27 @@ def document_units(shop):
     overview = shop.documents.select(
         F.col("doc_id").alias("item_id"), F.lit("product_overview").alias("chunk_type"), F.lit("overview").alias("source_key"), "text"
     )
-    turns = shop.conversations
-    asked = turns.filter("role = 'user'").select("conv_id", F.col("turn").alias("at"), F.col("text").alias("question"))
-    answered = turns.filter("role = 'assistant'").select("conv_id", (F.col("turn") - 1).alias("at"), F.col("text").alias("answer"))
-    pairs = asked.join(answered, ["conv_id", "at"]).select(
-        F.col("conv_id").alias("item_id"), F.lit("qna").alias("chunk_type"), F.concat(F.lit("qna_"), F.lpad(F.col("at").cast("string"), 2, "0")).alias("source_key"),
-        F.concat(F.lit(chunking.QUESTION), "question", F.lit("\n" + chunking.ANSWER), "answer").alias("text"),
+    turns = shop.conversations.select("conv_id", "turn", "role", "text")
+    after = turns.filter("role = 'assistant'").select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("answer"))
+    before = turns.filter("role = 'user'").select("conv_id", (F.col("turn") + 1).alias("turn"), F.lit(True).alias("asked"))
+    user = turns.filter("role = 'user'").join(after, ["conv_id", "turn"], "left")
+    answers = turns.filter("role = 'assistant'").join(before, ["conv_id", "turn"], "left_anti")
+    notes = turns.filter("role is null or role not in ('user', 'assistant')")
+
+    def sections(frame, kind, text):
+        key = F.concat(kind, F.lit("_"), F.lpad(F.col("turn").cast("string"), 2, "0"))
+        return frame.select(F.col("conv_id").alias("item_id"), kind.alias("chunk_type"), key.alias("source_key"), text.alias("text"))
+
+    question = F.concat(F.lit(chunking.QUESTION), "text")
+    pair = F.when(F.col("answer").isNull(), question).otherwise(F.concat(question, F.lit("\n" + chunking.ANSWER), "answer"))
+    units = (
+        overview.unionByName(sections(user, F.when(F.col("answer").isNull(), "question").otherwise("qna"), pair))
+        .unionByName(sections(answers, F.lit("answer"), F.concat(F.lit(chunking.ANSWER), "text")))
+        .unionByName(sections(notes, F.lit("note"), F.col("text")))
     )
-    return overview.unionByName(pairs).filter(F.trim("text") != "").join(product, "item_id")
+    known = units.join(product, "item_id", "left").fillna("", ["title", "brand", "category_l1", "category_l2", "category_l3"])
+    blank = F.coalesce(F.trim("text"), F.lit("")) == ""
+    return known.withColumn("reject_reason", F.when(blank, "blank_text"))
 
 
 LIMITS = chunking.ChunkLimits()
@@ -56,21 +73,50 @@ LIMITS = chunking.ChunkLimits()
 
 @query("k26_document_chunks")
 def chunks(shop):
-    rows = chunking.chunk_units(document_units(shop), limits=LIMITS)
-    return rows.select("chunk_id", "item_id", "chunk_type", "chunk_index", "token_count", "content_hash")
+    rows = chunking.chunk_units(document_units(shop).filter("reject_reason is null").drop("reject_reason"), limits=LIMITS)
+    rows = chunking.with_lineage(rows, "run-1", "2024-06-01 00:00:00")
+    return rows.select(
+        "chunk_id", "item_id", "chunk_type", "chunk_index", "token_count", "content_hash", "item_content_hash", "source_run_id", "event_timestamp"
+    )
 
 
 UNITS = {
-    "pairs": """select a.conv_id item_id, a.turn, 'Hỏi: '||a.text||chr(10)||'Đáp: '||b.text as text from conversations a join conversations b on b.conv_id = a.conv_id and b.turn = a.turn + 1
-      where a.role = 'user' and b.role = 'assistant'""",
-    "units": """select u.*, p.product_name, p.brand_name, p.category_code from (select doc_id item_id, 'product_overview' chunk_type, 'overview' source_key, text from documents union all
-      select item_id, 'qna', 'qna_'||lpad(turn::varchar, 2, '0'), text from pairs) u join products p on p.product_id = u.item_id where trim(text) <> ''""",
+    "turns": """select conv_id item_id, turn, role, text, lead(role) over w next_role, lag(role) over w prev_role, lead(turn) over w = turn + 1 near_next, lag(turn) over w = turn - 1 near_prev, lead(text) over w next_text
+      from conversations window w as (partition by conv_id order by turn)""",
+    "turn_sections": """select item_id, turn, text, case when role = 'user' and near_next and next_role = 'assistant' then 'qna' when role = 'user' then 'question' when role = 'assistant' then 'answer' else 'note' end kind, next_text
+      from turns where not (role = 'assistant' and coalesce(near_prev and prev_role = 'user', false))""",
+    "units": """select u.*, coalesce(p.product_name, '') title, coalesce(p.brand_name, '') brand, case when trim(coalesce(text, '')) = '' then 'blank_text' end reject_reason from (
+        select doc_id item_id, 'product_overview' chunk_type, 'overview' source_key, text from documents union all
+        select item_id, kind, kind||'_'||lpad(turn::varchar, 2, '0'), case kind when 'qna' then 'Hỏi: '||text||chr(10)||'Đáp: '||next_text when 'question' then 'Hỏi: '||text when 'answer' then 'Đáp: '||text else text end from turn_sections) u
+      left join products p on p.product_id = u.item_id""",
 }
 
 
-@query("k26_source_units", "select item_id, chunk_type, source_key, product_name title, brand_name brand, sha256(text) text_hash from units", UNITS)
+@query(
+    "k26_chunked_sections",
+    "select item_id, chunk_type, source_key, 'sha256:'||sha256(string_agg(chunk_type||':'||source_key||':'||sha256(text), '|' order by chunk_type, source_key, sha256(text)) over (partition by item_id)) item_content_hash, true complete, 0::bigint repeated_ids from units where reject_reason is null",
+    UNITS,
+)
+def chunked_sections(shop):
+    """Every section that is not rejected: whether its chunks hold its first and last word, the item's hash, repeated chunk ids."""
+    units = document_units(shop).filter("reject_reason is null").drop("reject_reason")
+    chunks = materialize(chunking.with_lineage(chunking.chunk_units(units, limits=LIMITS), "run-1", "2024-06-01 00:00:00"), "chunks")
+    keys = ["item_id", "chunk_type", "source_key"]
+    one = F.struct("chunk_index", "text")
+    ends = chunks.groupBy(*keys).agg(
+        F.min(one).alias("low"), F.max(one).alias("high"), F.first("item_content_hash").alias("item_content_hash"),
+        (F.count(F.lit(1)) - F.count_distinct("chunk_id")).alias("repeated_ids"),
+    )
+    word = lambda text, at: F.element_at(F.split(F.trim(F.regexp_replace(text, r"\s+", " ")), " "), at)
+    joined = units.join(ends, keys, "left")
+    complete = (word(F.col("low.text"), 1) == word(F.col("text"), 1)) & F.endswith(word(F.col("text"), -1), word(F.col("high.text"), -1))
+    return joined.select(*keys, "item_content_hash", F.coalesce(complete, F.lit(False)).alias("complete"), "repeated_ids")
+
+
+@query("k26_source_units", "select item_id, chunk_type, source_key, title, brand, sha256(text) text_hash, reject_reason from units", UNITS)
 def units(shop):
-    return document_units(shop).select("item_id", "chunk_type", "source_key", "title", "brand", F.sha2("text", 256).alias("text_hash"))
+    """All sections; the number of turns and documents that they cover is the number in the tables."""
+    return document_units(shop).select("item_id", "chunk_type", "source_key", "title", "brand", F.sha2("text", 256).alias("text_hash"), "reject_reason")
 
 
 VECTORS = {
@@ -93,9 +139,9 @@ def embedded(shop):
 
 
 CORPUS = {
-    "corpus": """select 'vec-'||vec_id chunk_id, vec_id // 3 item_id, label, embedding::double[] embedding, (40 + (vec_id // 3) % 10) / 10.0::double average_rating, p.is_active in_stock,
+    "corpus": """select 'vec-'||vec_id chunk_id, vec_id // 3 item_id, label, embedding::double[] embedding, (40 + (vec_id // 3) % 10) / 10.0::double average_rating, coalesce(p.is_active, false) in_stock,
         p.current_price::double current_price, p.brand_name brand, p.category_code category_l1, case vec_id % 2 when 0 then 'review' else 'qna' end chunk_type
-      from embeddings join products p on p.product_id = vec_id // 3""",
+      from embeddings left join products p on p.product_id = vec_id // 3""",
     "queries": """select label query_id, list(x order by place) q from (select label, place, avg(x) x from (select label, unnest(embedding)::double x, generate_subscripts(embedding, 1) place from embeddings) group by 1, 2) group by 1""",
     "scored": "select query_id, chunk_id, item_id, average_rating, label, round(list_dot_product(embedding, q), 6) score from corpus, queries where in_stock and current_price between 900 and 1100",
     "best": "select *, (row_number() over (partition by query_id order by score desc, average_rating desc, item_id))::int as rank from (select query_id, item_id, max(score) score, max(average_rating) average_rating from scored group by 1, 2)",
@@ -115,7 +161,8 @@ def corpus(shop):
         ((F.lit(40) + F.pmod(item, F.lit(10))) / F.lit(10.0)).alias("average_rating"),
         F.when(F.pmod("vec_id", F.lit(2)) == 0, "review").otherwise("qna").alias("chunk_type"),
     )
-    return vectors.join(product, "item_id")
+    # A vector whose item is no product stays; it is in no stock and has no price, so only the filters leave it out.
+    return vectors.join(product, "item_id", "left").withColumn("in_stock", F.coalesce("in_stock", F.lit(False)))
 
 
 RULE = dict(min_price=900, max_price=1100, in_stock=True)

@@ -80,7 +80,7 @@ def dead_letters(events: DataFrame, config: StreamConfig, run_ts: Column, reason
         "event_id", "user_id", "product_id", "event_type", "event_timestamp", run_ts.alias("processed_timestamp"), "late_by_seconds",
         F.lit(config.allowed_lateness_seconds).alias("allowed_lateness_seconds"), F.lit(config.topic).alias("source_topic"),
         F.coalesce("payload_hash", F.lit("")).alias("payload_hash"), F.lit(reason).alias("reason"),
-        F.to_json(F.struct(*sorted(columns))).alias("payload"), run_ts.alias("created_timestamp"),
+        F.to_json(F.struct(*sorted(columns)), {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}).alias("payload"), run_ts.alias("created_timestamp"),
     )
 
 

@@ -547,3 +547,24 @@ def test_bronze_ingest_counts(spark, tmp_path):
     assert written == {"a": 4, "b": 7}
     back = spark.read.parquet(str(tmp_path / "bronze_b"))
     assert back.columns == ["id", "source_run_id", "lakehouse_ingestion_ts"] and back.count() == 7
+
+
+def test_name_uuids_equal_the_standard(spark):
+    import uuid
+
+    names = ["https://shop.example/events/1", "", "é 你好", "x" * 1000] + [f"k{i}" for i in range(200)]
+    frame = spark.createDataFrame([(n,) for n in names] + [(None,)], "name string")
+    got = {r["name"]: r["id"] for r in frame.select("name", hashing.name_uuid(F.col("name")).alias("id")).collect()}
+    assert got == {**{n: str(uuid.uuid5(uuid.NAMESPACE_URL, n)) for n in names}, None: None}
+
+
+def test_trailing_sketches_stay_near_the_exact_count(spark):
+    events = spark.range(60_000).select(
+        (F.col("id") % 2).alias("k"), F.timestamp_seconds(F.lit(1_704_067_200) + F.col("id") % 12 * 86400).alias("at"), (F.col("id") % 20_011).alias("v")
+    )
+    got = {(r["k"], str(r["day"])): r["approximate"] for r in features.trailing_distinct_sketches(events, ["k"], "at", "v", days=3).collect()}
+    rows_ = events.select("k", F.to_date("at").alias("day"), "v").collect()
+    assert len(got) == len({(r["k"], r["day"]) for r in rows_})
+    for (k, day), estimate in got.items():
+        exact = len({r["v"] for r in rows_ if r["k"] == k and 0 <= (dt.date.fromisoformat(day) - r["day"]).days < 3})
+        assert abs(estimate - exact) <= 0.15 * exact

@@ -238,3 +238,41 @@ def test_salting_flattens_the_load(spark):
     assert rows(layout.salted_counts(skewed, "k").filter("k = 0")) == [(0, 3000)]
     plain, salted = (layout.partition_load(skewed, "k", 8, s).collect()[0]["max_rows"] for s in (1, 8))
     assert salted < plain
+
+
+def test_best_items_of_many_blocks_equal_one(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    vectors = rng.normal(size=(700, 6)).round(2)
+    data = [(i // 3, f"c{i}", v.tolist(), float(i % 4)) for i, v in enumerate(vectors)]
+    chunks = spark.createDataFrame(data, "item_id bigint, chunk_id string, embedding array<double>, average_rating double").repartition(6)
+    queries = spark.createDataFrame([(f"q{i}", rng.normal(size=6).round(2).tolist()) for i in range(40)], "query_id string, embedding array<double>")
+    asked = {r["query_id"]: np.array(r["embedding"]) for r in queries.collect()}
+    want = set()
+    for name, q in asked.items():
+        scores = {}
+        for (item, _, v, rating) in data:
+            s, r = scores.get(item, (-9e9, -9e9))
+            scores[item] = (max(s, round(float(np.dot(v, q)), 6)), max(r, rating))
+        best = sorted((-s, -r, item) for item, (s, r) in scores.items())[:4]
+        want |= {(name, i, item) for i, (_, _, item) in enumerate(best, 1)}
+    for rows_, most in ((retrieval.QUERIES_PER_PASS, retrieval.CHUNK_ROWS), (7, 50)):
+        monkeypatch.setattr(retrieval, "QUERIES_PER_PASS", rows_)
+        monkeypatch.setattr(retrieval, "CHUNK_ROWS", most)
+        got = {(r["query_id"], r["rank"], r["item_id"]) for r in retrieval.best_items(chunks, queries, "query_id", 4).collect()}
+        assert got == want
+    assert retrieval.best_items(chunks, queries.limit(0), "query_id", 4).collect() == []
+    assert retrieval.best_items(chunks.limit(0), queries, "query_id", 4).collect() == []
+
+
+def test_lineage_follows_an_items_content(spark):
+    schema = "item_id bigint, chunk_type string, source_key string, text string"
+    base = [(1, "note", "a", "one two. three."), (1, "note", "b", "four."), (2, "note", "a", "four.")]
+    made = {}
+    for name, units in (("base", base), ("changed", [(1, "note", "a", "one two. three!"), *base[1:]]), ("turned", base[::-1])):
+        chunks = chunking.with_lineage(chunking.chunk_units(spark.createDataFrame(units, schema), context=False), "run", "2024-01-01 00:00:00")
+        assert chunking.repeated_ids(chunks).collect() == []
+        made[name] = {r["item_id"]: r["item_content_hash"] for r in chunks.collect()}
+    assert made["base"] == made["turned"]
+    assert made["base"][1] != made["changed"][1] and made["base"][2] == made["changed"][2]
+    twice = chunking.chunk_units(spark.createDataFrame([base[1], base[1]], schema), context=False)
+    assert [r["rows"] for r in chunking.repeated_ids(twice).collect()] == [2]

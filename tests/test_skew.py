@@ -73,8 +73,9 @@ def test_item_features_brute_force(skewed):
         assert (r["views_24h"], r["carts_24h"]) == tuple(sum(o["event_type"] == t for o in day) for t in ("view", "cart"))
 
 
-def test_sums_of_nulls_and_large_keys_take_one_route(spark):
-    """A key of 25,000 rows, one of 3 and null keys; a sum over nulls only is null, a distinct count then 0."""
+@pytest.mark.parametrize("rows_per_task", [1_000_000, 1000, 2])
+def test_sums_of_nulls_and_large_keys(spark, rows_per_task):
+    """A key of 25,000 rows, one of 3 and null keys, whole or split; a sum over nulls only is null, a distinct count then 0."""
     events = spark.range(25_000).select(
         F.when(F.col("id") < 3, F.lit(2)).when(F.col("id") < 6, F.lit(None)).otherwise(1).alias("k"),
         F.col("id"),
@@ -82,7 +83,7 @@ def test_sums_of_nulls_and_large_keys_take_one_route(spark):
         F.when(F.col("id") % 5000 >= 100, F.lit(None)).otherwise(F.col("id") % 7).cast("decimal(10,2)").alias("v"),
         F.when(F.col("id") % 5000 >= 100, F.lit(None)).otherwise(F.col("id") % 900).alias("c"),
     )
-    got = {r.id: r for r in rolling.rolling(events, ["k"], "t", {"s": (F.col("v"), 300), "n": (F.lit(1), 300)}, {"d": ("c", 300)}).collect()}
+    got = {r.id: r for r in rolling.rolling(events, ["k"], "t", {"s": (F.col("v"), 300), "n": (F.lit(1), 300)}, {"d": ("c", 300)}, rows_per_task=rows_per_task).collect()}
     assert len(got) == 25_000
     data = events.collect()
     for i in [0, 2, 3, 5, 6, 40, 99, 105, 129, 130, 131, 4999, 5000, 5031, 12_345, 20_050, 24_999]:
@@ -92,6 +93,16 @@ def test_sums_of_nulls_and_large_keys_take_one_route(spark):
         assert got[i].s == (sum(values) if values else None)
 
 
+@pytest.mark.parametrize("exclusive", [False, True])
+def test_rolling_routes_agree(skewed, exclusive):
+    """Growing frames over one order, and points over range partitions, in values and types."""
+    flag = lambda kind: F.when(F.col("event_type") == kind, 1)
+    args = ({"v": (flag("view"), 1800), "w": (flag("view"), 7 * 86400), "c": (F.col("price").cast("decimal(12,2)"), 86400)}, {"d": ("category_id", 7 * 86400), "e": ("product_id", 86400)})
+    made = [rolling.rolling(skewed, ["user_id"], "event_timestamp", *args, exclusive=exclusive, rows_per_task=n) for n in (10**6, 60, 1)]
+    assert made[0].schema.simpleString() == made[1].select(made[0].columns).schema.simpleString()
+    assert rows(made[0]) == rows(made[1].select(made[0].columns)) == rows(made[2].select(made[0].columns))
+
+
 @pytest.mark.parametrize("length", [1, 5, 50])
 def test_sequences_split(skewed, length):
     whole = features.user_sequence_features(skewed, length)
