@@ -1,5 +1,8 @@
 """Small helpers the corpus operators share."""
 
+import pickle
+
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -10,6 +13,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def send(spark: SparkSession, value) -> Broadcast:
+    """Broadcast of a value with its classes, so that executors need no copy of this package; received() opens it."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def received(sent: Broadcast):
+    return pickle.loads(sent.value)
+
+
 def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Rows of an Arrow batch: texts may be long, so a batch must not hold many of them."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

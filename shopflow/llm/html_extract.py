@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopflow.llm.common import bounded_batches
+from shopflow.llm.common import bounded_batches, received, send
 
 # Groups of element names, and words that authors use in names, classes, ids and roles.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -423,10 +423,10 @@ def extract(pages: DataFrame, model: BoostedTrees, page_id: str = "page_id", htm
     """
     spark = pages.sparkSession
     bounded_batches(spark, 256)
-    shared = spark.sparkContext.broadcast(model)
+    shared = send(spark, model)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trees = shared.value
+        trees = received(shared)
         for batch in batches:
             parsed = [Page(h or "") for h in batch.column("_html").to_pylist()]
             odds = trees.log_odds(features(parsed)) if parsed else np.zeros(0)

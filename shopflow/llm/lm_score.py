@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopflow.llm.common import bounded_batches, fold_is
+from shopflow.llm.common import bounded_batches, fold_is, received, send
 from shopflow.plans.storage import materialize
 
 END = b""  # no word is empty, so this stands for the end token
@@ -232,12 +232,12 @@ def score(
     rows = docs.select(F.monotonically_increasing_id().alias("_row"), F.col(doc_id).alias("_id"), F.col(text).alias("_text"))
     held = fold_is(F.col("_id"), folds, rest)
     counts, vocabulary, parts = learn(rows.filter(~held), "_text", known, core, arcs)
-    shared = spark.sparkContext.broadcast((vocabulary, parts))
+    shared = send(spark, (vocabulary, parts))
     kind = rows.schema["_id"].dataType.simpleString()
     fields = f"_row long, _id {kind}, held_out boolean, n_tokens long, _known long, _base double, _gain double, _rare array<struct<word:binary,times:bigint>>"
 
     def traverse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, (histories, followers, numbers, totals) = shared.value
+        words, (histories, followers, numbers, totals) = received(shared)
         unigrams = words.unigrams()
         automaton = Automaton(histories, followers, numbers, totals, np.concatenate([[0.0], unigrams[: words.core]]))
         place = {w: i for i, w in enumerate(words.words, 1)}

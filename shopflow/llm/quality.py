@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopflow.llm.common import bounded_batches, fold_is
+from shopflow.llm.common import bounded_batches, fold_is, received, send
 
 PASSAGE_WORDS = 64
 # Character classes: 0 small letter, 1 capital, 2 digit, 3 white space, 4 line end, 5 other; from 6 on the ASCII signs one by one.
@@ -200,15 +200,15 @@ def score(docs: DataFrame, model: AttentionMIL, doc_id: str = "doc_id", text: st
     """
     spark = docs.sparkSession
     bounded_batches(spark)
-    shared = spark.sparkContext.broadcast(model)
+    shared = send(spark, model)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder()
+        encoder, network = Encoder(), received(shared)
         for batch in batches:
             scores, sizes, focus = [], [], []
             for value in batch.column("_text").to_pylist():
                 bag = encoder(value)
-                found, (*_, attention, _) = shared.value.forward(bag, np.array([0]))
+                found, (*_, attention, _) = network.forward(bag, np.array([0]))
                 scores.append(float(found[0]))
                 sizes.append(len(bag))
                 focus.append(int(attention.argmax()))

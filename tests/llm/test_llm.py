@@ -721,3 +721,21 @@ def test_pages_of_odd_rows(spark, trees):
     assert len(got) == 5 and [r.text for r in got if r._id != 2 and r._id != 3] == ["", "", ""]
     assert html_extract.extract(pages.limit(0), trees).collect() == []
     assert html_extract.learn(pages.limit(0)).trees == []
+
+
+def test_sent_objects_open_without_the_package(spark, tmp_path):
+    """A worker that has no copy of the package opens what is broadcast, classes included."""
+    import subprocess
+    import sys
+
+    from shopflow.llm.common import received, send
+
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    model = quality.learn(docs, spark.read.parquet(f"{SMALL}/labels.parquet"))
+    sent = send(spark, model)
+    assert type(received(sent)).__name__ == type(model).__name__
+    path = tmp_path / "model"
+    path.write_bytes(sent.value)
+    code = f"import pickle, sys; m = pickle.load(open({str(path)!r}, 'rb')); assert 'shopflow' not in sys.modules; print(type(m).__name__)"
+    done = subprocess.run([sys.executable, "-I", "-c", code], cwd=tmp_path, capture_output=True, text=True, check=False)
+    assert done.stdout.strip() == type(model).__name__, done.stderr
