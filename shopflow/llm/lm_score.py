@@ -1,283 +1,269 @@
 """Language-model scores by a weighted backoff automaton.
 
-Word counts cover every training text and stay distributed, however many words there are. Words of high count form the
-core; runs of core words have states of their own. A state stands for the last one or two words, its arcs carry the
-discounted probabilities of the words seen after it often enough, and its failure arc carries the backoff weight to the
-state of the shorter history; the root holds the add-one probabilities of all words. A text is scored in one traversal
-from left to right that carries the state and adds up log10 probabilities; every text ends with one end token.
-
-What tasks hold in memory is bounded by parameters: the counts of the most frequent words (`known`) and the automaton's
-arcs (`core`, `arcs`). The counts of all other words reach the texts through a join, so no word is left out.
+The n-grams of all training texts are counted, and every one of them is an arc: none is pruned, and the counts grow with
+the corpus. A state stands for the last words of an n-gram that was seen, the root for none. An arc carries the smoothed
+probability of the next word, p(w|h) = (n(hw) + prior * p(w|h')) / (n(h) + prior), and a state without the arc falls to
+the shorter history h' along its failure arc, which weighs prior / (n(h) + prior). The root holds the add-one
+probabilities of all words. A text is scored in one traversal from left to right that carries the state and adds up
+log10 probabilities; every text ends with one end token.
+
+Texts are cut into blocks of bounded bytes. A block asks for the counts of its own n-grams only: its sorted keys travel in
+slices to the bucket of their key range, where the slices of all blocks are summed, and the sums travel back. The number
+of buckets follows the number of tokens, so what a task holds does not grow, and an n-gram that is frequent weighs no
+more than one key per block. Words and n-grams are told apart by 64-bit keys.
 """
 
-from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopflow.llm.common import bounded_batches, fold_is, received, send
+from shopflow.llm.common import bounded_batches, fold_is
 from shopflow.plans.storage import materialize
 
-END = b""  # no word is empty, so this stands for the end token
-DISCOUNT = 0.75
-FLUSH = 500_000  # distinct words or n-grams a task counts before it passes them on
-
-
-def tokens(text: str | None) -> list[bytes]:
-    """Words between the characters [\\x20\\x09-\\x0D], A-Z in lower case, then the end token."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # of bytes, both touch ASCII only
-    words.append(END)
-    return words
-
-
-def word_counts(docs: DataFrame, text: str) -> DataFrame:
-    """word (binary), n: over all texts, combined in the tasks first."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: Counter = Counter()
-
-        def passed_on():
-            names = list(found)
-            return pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array([found[w] for w in names], pa.int64())], ["word", "n"])
+ORDER = 3  # words in the longest n-grams
+PRIOR = 100.0  # pseudo-counts of the shorter history
+BLOCK_BYTES = 4 << 20
+BUCKET_TOKENS = 1_000_000
+
+MULTIPLIER = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2^64
+INVERSE = pow(MULTIPLIER, -1, 1 << 64)
+END = np.uint64(MULTIPLIER)  # key of the end token
+
+
+def mixed(keys: np.ndarray) -> np.ndarray:
+    """Every bit of a key reaches every bit of the result; one to one."""
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        keys = (keys ^ (keys >> np.uint64(shift))) * np.uint64(factor)
+    return keys ^ (keys >> np.uint64(31))
+
+
+def powers(base: int, size: int) -> np.ndarray:
+    steps = np.full(size, base, dtype=np.uint64)
+    steps[:1] = 1
+    return np.cumprod(steps, dtype=np.uint64)
+
+
+class WordKeys:
+    """Keys of the words between the characters [\\x20\\x09-\\x0D], A-Z in lower case, and of an end token after each text."""
+
+    def __init__(self, window: int = 1 << 20):
+        """`window` bytes are hashed at once; a longer word is hashed alone."""
+        lower = np.arange(256, dtype=np.uint8)
+        lower[65:91] += 32
+        self.weights = mixed((lower.astype(np.uint64) + np.uint64(1)) * np.uint64(MULTIPLIER))
+        self.gap = np.zeros(256, dtype=bool)
+        self.gap[[9, 10, 11, 12, 13, 32]] = True
+        self.window = window
+        self.up, self.down = powers(MULTIPLIER, window), powers(INVERSE, window)
+
+    def __call__(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+        """The keys of all texts one after the other, and the number of each text's tokens."""
+        parts = [t or b"" for t in texts]
+        data = np.frombuffer(b" ".join([b"", *parts, b""]), dtype=np.uint8)
+        edge = np.flatnonzero(np.diff(self.gap[data]))  # the gaps at both sides make edges come in pairs
+        starts, ends = edge[::2] + 1, edge[1::2] + 1
+        words = np.empty(len(starts), dtype=np.uint64)
+        first = 0
+        while first < len(starts):
+            last = max(int(np.searchsorted(ends, starts[first] + self.window, "right")), first + 1)
+            origin, size = starts[first], int(ends[last - 1] - starts[first])
+            up, down = (self.up, self.down) if size <= self.window else (powers(MULTIPLIER, size), powers(INVERSE, size))
+            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(self.weights[data[origin : origin + size]] * up[:size], dtype=np.uint64)])
+            begins = starts[first:last] - origin
+            words[first:last] = (sums[ends[first:last] - origin] - sums[begins]) * down[begins]
+            first = last
+        stops = np.cumsum([1 + len(p) for p in parts], dtype=np.int64)  # where the gap after each text lies
+        upto = np.searchsorted(starts, stops)
+        return np.insert(mixed(words), upto, END), np.diff(upto, prepend=0) + 1
+
+
+def n_grams(words: np.ndarray, sizes: np.ndarray, order: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Per order from 1: places of the tokens that end an n-gram within their text, and the n-grams' keys."""
+    depth = np.arange(len(words)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    keys = words
+    for length in range(1, order + 1):
+        if length > 1:
+            keys = np.concatenate([keys[:1], mixed(keys[:-1] * np.uint64(MULTIPLIER) + words[1:])])
+        inside = np.flatnonzero(depth >= length - 1)
+        yield inside, keys[inside]
+
+
+def text_blocks(rows: DataFrame) -> DataFrame:
+    """Blocks of whole texts: their ids, folds and sizes, and the keys of their words, each stored once."""
+    kind = rows.schema["_id"].dataType.simpleString()
 
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        word_keys = WordKeys()
         for batch in batches:
-            for value in batch.column(0).to_pylist():
-                found.update(tokens(value))
-            if len(found) > FLUSH:
-                yield passed_on()
-                found.clear()
-        yield passed_on()
-
-    return docs.select(F.col(text).alias("_text")).mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-
-
-def at_most(frame: DataFrame, count: str, size: int) -> DataFrame:
-    """The rows of the highest counts, as many whole classes of counts as fit into `size` rows.
-
-    Classes are eighths of a power of two, so that their number is bounded by the width of a count.
+            bytes_of = batch.column("_text").cast(pa.binary())
+            lengths = np.array([len(t) if t else 0 for t in bytes_of.to_pylist()], dtype=np.int64)
+            block_of = np.cumsum(lengths) // BLOCK_BYTES
+            cuts = [0, *(np.flatnonzero(np.diff(block_of)) + 1).tolist(), len(lengths)]
+            for a, b in zip(cuts, cuts[1:]):
+                if a == b:
+                    continue
+                words, sizes = word_keys(bytes_of.slice(a, b - a).to_pylist())
+                distinct, places = np.unique(words, return_inverse=True)
+                ids, held = batch.column("_id").slice(a, b - a), batch.column("held_out").slice(a, b - a)
+                train = int(sizes[~held.to_numpy(zero_copy_only=False).astype(bool)].sum())
+                offsets = pa.array([0, b - a], pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("_row").slice(a, 1),
+                        pa.ListArray.from_arrays(offsets, ids),
+                        pa.ListArray.from_arrays(offsets, held),
+                        pa.array([sizes.tolist()], pa.list_(pa.int64())),
+                        pa.array([distinct.tobytes()], pa.binary()),
+                        pa.array([pa.compress(places.astype(np.uint32).tobytes(), "zstd", asbytes=True)], pa.binary()),
+                        pa.array([train], pa.int64()),
+                    ],
+                    ["block", "ids", "held", "sizes", "words", "places", "train"],
+                )
+
+    fields = f"block long, ids array<{kind}>, held array<boolean>, sizes array<bigint>, words binary, places binary, train long"
+    return rows.mapInArrow(pack, fields)
+
+
+def unpacked(words: bytes, places: bytes, sizes: np.ndarray) -> np.ndarray:
+    raw = pa.decompress(places, int(sizes.sum()) * 4, "zstd", asbytes=True)
+    return np.frombuffer(words, np.uint64)[np.frombuffer(raw, np.uint32)]
+
+
+def training_counts(blocks: DataFrame, order: int, buckets: int) -> DataFrame:
+    """block, length, bucket, totals: how often each n-gram of the block occurs in all training texts, by ascending key.
+
+    Rows without a block hold the number of distinct training words of a bucket in `found`.
     """
-    cls = F.floor(F.log2(F.col(count).cast("double")) * 8).cast("int")
-    classes = sorted(((r["c"], r["n"]) for r in frame.groupBy(cls.alias("c")).agg(F.count(F.lit(1)).alias("n")).collect()), reverse=True)
-    total, least = 0, None
-    for c, n in classes:
-        total += n
-        if total > size:
-            break
-        least = c
-    return frame.filter(cls >= least) if least is not None else frame.filter(F.lit(False))
-
-
-@dataclass
-class Vocabulary:
-    """Known words by count, most frequent first; the first `core` of them have numbers of their own in n-grams."""
-
-    words: list[bytes]
-    counts: np.ndarray
-    core: int
-    total: int  # N
-    distinct: int  # V
-
-    def unigrams(self) -> np.ndarray:
-        return np.log10((self.counts + 1) / (self.total + self.distinct + 1))
-
-
-def n_gram_counts(docs: DataFrame, text: str, core_words: list[bytes]) -> DataFrame:
-    """history (one or two core numbers from 1, as a number), word (0: not core), n."""
-    base = len(core_words) + 1
-    shared = docs.sparkSession.sparkContext.broadcast(core_words)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = {w: i for i, w in enumerate(shared.value, 1)}
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-        size = 0
-
-        def merged():
-            keys, places = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
-            sums = np.zeros(len(keys), dtype=np.int64)
-            np.add.at(sums, places, np.concatenate([n for _, n in held]))
-            return keys, sums
-
-        def passed_on():
-            keys, sums = merged()
-            return pa.RecordBatch.from_arrays([pa.array(keys // base), pa.array(keys % base), pa.array(sums)], ["history", "word", "n"])
 
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [tokens(t) for t in batch.column(0).to_pylist()]
-            lengths = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
-            ids = np.fromiter((number.get(w, 0) for w in chain.from_iterable(texts)), dtype=np.int64, count=int(lengths.sum()))
-            begins = np.zeros(len(ids), dtype=bool)
-            begins[np.cumsum(lengths)[:-1]] = True
-            before = ids[:-1]
-            follows = (before > 0) & ~begins[1:]
-            pairs = before[follows] * base + ids[1:][follows]
-            third = follows[1:] & (ids[:-2] > 0) & ~begins[1:-1]
-            triples = ((ids[:-2] * base + ids[1:-1]) * base + ids[2:])[third]
-            held.append(np.unique(np.concatenate([pairs, triples]), return_counts=True))
-            size += len(held[-1][0])
-            if size > 4 * FLUSH:
-                held = [merged()]
-                size = len(held[0][0])
-                if size > FLUSH:
-                    yield passed_on()
-                    held, size = [], 0
-        if held:
-            yield passed_on()
-
-    rows = docs.select(F.col(text).alias("_text")).mapInArrow(count, "history long, word long, n long")
-    return rows.groupBy("history", "word").agg(F.sum("n").alias("n"))
+            for row in batch.to_pylist():
+                sizes = np.array(row["sizes"], dtype=np.int64)
+                teaches = np.repeat(~np.array(row["held"], dtype=bool), sizes)
+                out: dict[str, list] = {"length": [], "bucket": [], "block": [], "keys": [], "counts": []}
+                for length, (at, grams) in enumerate(n_grams(unpacked(row["words"], row["places"], sizes), sizes, order), 1):
+                    keys, inverse = np.unique(grams, return_inverse=True)
+                    counts = np.bincount(inverse, weights=teaches[at], minlength=len(keys)).astype(np.int32)
+                    bucket = ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+                    cuts = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(keys)]
+                    for a, b in zip(cuts, cuts[1:]):
+                        if a < b:
+                            out["length"].append(length)
+                            out["bucket"].append(int(bucket[a]))
+                            out["block"].append(row["block"])
+                            out["keys"].append(keys[a:b].tobytes())
+                            out["counts"].append(counts[a:b].tobytes())
+                yield pa.RecordBatch.from_pydict(out, pa.schema([("length", pa.int32()), ("bucket", pa.int64()), ("block", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())]))
+
+    def add_up(asked: pa.Table) -> pa.Table:
+        keys = [np.frombuffer(k, np.uint64) for k in asked.column("keys").to_pylist()]
+        counts = np.concatenate([np.frombuffer(c, np.int32) for c in asked.column("counts").to_pylist()])
+        _, inverse = np.unique(np.concatenate(keys), return_inverse=True)
+        sums = np.bincount(inverse, weights=counts).astype(np.int64)
+        totals = np.split(sums[inverse], np.cumsum([len(k) for k in keys])[:-1])
+        length, bucket = asked.column("length")[0].as_py(), asked.column("bucket")[0].as_py()
+        n = len(totals) + 1
+        return pa.table(
+            {
+                "block": pa.array([*asked.column("block").to_pylist(), None], pa.int64()),
+                "length": pa.array([length] * n, pa.int32()),
+                "bucket": pa.array([bucket] * n, pa.int64()),
+                "totals": pa.array([*(t.tobytes() for t in totals), None], pa.binary()),
+                "found": pa.array([None] * (n - 1) + [int((sums > 0).sum()) if length == 1 else 0], pa.int64()),
+            }
+        )
+
+    asked = blocks.select("block", "held", "sizes", "words", "places").mapInArrow(ask, "length int, bucket long, block long, keys binary, counts binary")
+    return asked.groupBy("length", "bucket").applyInArrow(add_up, "block long, length int, bucket long, totals binary, found long")
 
 
 class Automaton:
-    """States of core histories with weighted arcs and failure arcs. All weights are relative to the unigram's."""
-
-    def __init__(self, histories: np.ndarray, words: np.ndarray, counts: np.ndarray, totals: dict[int, int], core_unigrams: np.ndarray):
-        """Arcs (history, word, count) and the number of tokens seen after each history; unigrams by core number from 1."""
-        base = len(core_unigrams)
-        self.base = base
-        unigram = 10.0**core_unigrams
-        after: dict[int, list[tuple[int, int]]] = {}
-        for h, w, n in zip(histories.tolist(), words.tolist(), counts.tolist(), strict=True):
-            after.setdefault(h, []).append((w, n))
-        # State 0 is the root, states below `base` are single words, then come the pairs that have arcs.
-        pairs = sorted(h for h in after if h >= base)
-        state_of = {h: base + i for i, h in enumerate(pairs)}
-        self.fail = [0] * base + [h % base for h in pairs]
-        self.fail_weight = [0.0] * (base + len(pairs))
-        self.arcs: dict[int, tuple[float, int]] = {}
-        single: list[dict[int, float]] = [{} for _ in range(base)]
-        backoff = np.zeros(base)
-        for h in range(1, base):
-            seen = {w: (n - DISCOUNT) / totals[h] for w, n in after.get(h, ())}
-            single[h] = seen
-            left, lower = 1 - sum(seen.values()), 1 - sum(unigram[w] for w in seen)
-            backoff[h] = max(left, 1e-9) / max(lower, 1e-9)
-            self.fail_weight[h] = float(np.log10(backoff[h])) if seen else 0.0
-            for w, p in seen.items():
-                self.arcs[h * base + w] = (float(np.log10(p) - core_unigrams[w]), state_of.get(h * base + w, w))
-        for h in pairs:
-            last = h % base
-            seen = {w: (n - DISCOUNT) / totals[h] for w, n in after[h]}
-            lower = 1 - sum(single[last].get(w) or 10.0 ** self.fail_weight[last] * unigram[w] for w in seen)
-            state = state_of[h]
-            self.fail_weight[state] = float(np.log10(max(1 - sum(seen.values()), 1e-9) / max(lower, 1e-9)))
-            for w, p in seen.items():
-                self.arcs[state * base + w] = (float(np.log10(p) - core_unigrams[w]), state_of.get(last * base + w, w))
-        self.to_root = [0.0] * len(self.fail)
-        for s in range(1, len(self.fail)):
-            self.to_root[s] = self.fail_weight[s] + (self.to_root[self.fail[s]] if self.fail[s] else 0.0)
-
-    def gain(self, ids: list[int]) -> float:
-        """What one traversal adds to the sum of the unigrams; 0 stands for a word outside the core."""
-        arcs, fail, weight, to_root, base = self.arcs, self.fail, self.fail_weight, self.to_root, self.base
-        state, total = 0, 0.0
-        for word in ids:
-            if not word:
-                if state:
-                    total += to_root[state]
-                    state = 0
-                continue
-            while state:
-                arc = arcs.get(state * base + word)
-                if arc:
-                    total += arc[0]
-                    state = arc[1]
-                    break
-                total += weight[state]
-                state = fail[state]
-            else:
-                state = word
-        return total
-
-
-def learn(docs: DataFrame, text: str, known: int, core: int, arcs: int) -> tuple[DataFrame, Vocabulary, tuple]:
-    """All word counts, the bounded vocabulary, and what the automaton is built from.
+    """The part of the automaton that the texts of a block can reach, laid beside their tokens.
 
-    known, core and arcs bound what tasks hold: words with their counts, words with states, arcs of each order.
+    arcs[d][i]: log10 weight of the arc by which token i leaves the state of the d words before it; seen[d][i]: whether
+    there is one (the root has one for every token); fails[d][i]: weight of that state's failure arc.
     """
-    counts = materialize(word_counts(docs, text), "word-counts")
-    total = counts.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
-    top = at_most(counts, "n", known).collect()
-    top.sort(key=lambda r: (-r["n"], bytes(r["word"])))
-    words = [bytes(r["word"]) for r in top]
-    vocabulary = Vocabulary(words, np.array([r["n"] for r in top], dtype=np.int64), min(core, len(words)), total["n"] or 0, total["v"] or 0)
-    grams = materialize(n_gram_counts(docs, text, words[: vocabulary.core]), "n-grams")
-    base = vocabulary.core + 1
-    often = grams.filter((F.col("word") > 0) & (F.col("n") >= 2))
-    pairs, triples = often.filter(F.col("history") < base), often.filter(F.col("history") >= base)
-    chosen = materialize(at_most(pairs, "n", arcs).unionByName(at_most(triples, "n", arcs)), "arcs")
-    sums = grams.groupBy("history").agg(F.sum("n").alias("total"))
-    needed = sums.join(chosen.select("history").distinct(), "history", "left_semi").unionByName(sums.filter(F.col("history") < base)).distinct()
-    listed, totals = chosen.toPandas(), needed.toPandas()
-    parts = (listed["history"].to_numpy(), listed["word"].to_numpy(), listed["n"].to_numpy(), dict(zip(totals["history"].tolist(), totals["total"].tolist(), strict=True)))
-    return counts, vocabulary, parts
+
+    def __init__(self, counts: list[np.ndarray], total: int, distinct: int, prior: float):
+        """counts[d][i]: training count of the n-gram of d + 1 words that ends at token i, 0 where the text begins later."""
+        chance = (counts[0] + 1) / (total + distinct + 1)
+        arcs, fails, seen = [np.log10(chance)], [np.zeros(len(chance))], [counts[0] > 0]
+        for shorter, longer in zip(counts, counts[1:]):
+            history = np.concatenate([[0], shorter[:-1]])
+            chance = np.where(longer > 0, (longer + prior * chance) / (history + prior), chance * prior / (history + prior))
+            arcs.append(np.log10(chance))
+            fails.append(np.log10(prior / (history + prior)))
+            seen.append(longer > 0)
+        self.known = seen[0]
+        self.base = arcs[0]
+        self.arcs, self.fails, self.seen = ([column.tolist() for column in side] for side in (arcs, fails, seen))
+
+    def score(self, first: int, last: int) -> float:
+        """log10 probability of the tokens from first to before last, in one traversal that starts at the root."""
+        arcs, fails, seen = self.arcs, self.fails, self.seen
+        deepest = len(arcs) - 1
+        state, total = 0, 0.0
+        for i in range(first, last):
+            while state and not seen[state][i]:
+                total += fails[state][i]
+                state -= 1
+            total += arcs[state][i]
+            if state < deepest and (state or seen[0][i]):
+                state += 1
+        return total
 
 
 def score(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", folds: int = 7, rest: int = 2, known: int = 200_000, core: int = 500, arcs: int = 150_000
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", folds: int = 7, rest: int = 2, order: int = ORDER, prior: float = PRIOR
 ) -> DataFrame:
     """Base and model log10 probabilities of every whole text, one row per input row.
 
-    Texts whose crc32(id as text) mod `folds` is `rest` are held out; all others, also those with a null id, teach. A null
-    text is empty and has the end token only. Rows that repeat count and score as often as they stand there. Without any
-    training text every token has probability 1 / (V + 1) with V = 0. Other columns are not read. Returns doc_id,
-    held_out, n_tokens, n_known, train_tokens, base_score, score.
+    Texts whose crc32(id as text) mod `folds` is `rest` are held out; all others, also those with a null id, teach. `order`
+    is the number of words in the longest n-grams. A null text is empty and has the end token only. Rows that repeat count
+    and score as often as they stand there. Without any training text every token has probability 1 / (V + 1) with V = 0.
+    Other columns are not read. Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
     """
-    spark = docs.sparkSession
-    bounded_batches(spark)
-    rows = docs.select(F.monotonically_increasing_id().alias("_row"), F.col(doc_id).alias("_id"), F.col(text).alias("_text"))
-    held = fold_is(F.col("_id"), folds, rest)
-    counts, vocabulary, parts = learn(rows.filter(~held), "_text", known, core, arcs)
-    shared = send(spark, (vocabulary, parts))
+    bounded_batches(docs.sparkSession)
+    held = fold_is(F.col(doc_id), folds, rest)
+    rows = docs.select(F.monotonically_increasing_id().alias("_row"), F.col(doc_id).alias("_id"), held.alias("held_out"), F.col(text).alias("_text"))
     kind = rows.schema["_id"].dataType.simpleString()
-    fields = f"_row long, _id {kind}, held_out boolean, n_tokens long, _known long, _base double, _gain double, _rare array<struct<word:binary,times:bigint>>"
-
-    def traverse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, (histories, followers, numbers, totals) = received(shared)
-        unigrams = words.unigrams()
-        automaton = Automaton(histories, followers, numbers, totals, np.concatenate([[0.0], unigrams[: words.core]]))
-        place = {w: i for i, w in enumerate(words.words, 1)}
-        logs = np.concatenate([[0.0], unigrams])
-        rare_type = pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int64())]))
-        for batch in batches:
-            sizes, sure, bases, gains, rare = [], [], [], [], []
-            for value in batch.column("_text").to_pylist():
-                found = tokens(value)
-                places = [place.get(w, 0) for w in found]
-                at = np.array(places)
-                others = Counter(w for w, p in zip(found, places, strict=True) if not p)
-                sizes.append(len(found))
-                sure.append(int((at > 0).sum()))
-                bases.append(float(logs[at].sum()))
-                gains.append(automaton.gain(np.where(at <= words.core, at, 0).tolist()))
-                rare.append([{"word": w, "times": n} for w, n in others.items()])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("_row"), batch.column("_id"), batch.column("held_out"), pa.array(sizes, pa.int64()), pa.array(sure, pa.int64()),
-                 pa.array(bases, pa.float64()), pa.array(gains, pa.float64()), pa.array(rare, rare_type)],
-                ["_row", "_id", "held_out", "n_tokens", "_known", "_base", "_gain", "_rare"],
-            )
-
-    passed = materialize(rows.select("_row", "_id", held.alias("held_out"), "_text").mapInArrow(traverse, fields), "traversed")
-    n, v = vocabulary.total, vocabulary.distinct
-    each = passed.select("_row", F.explode("_rare").alias("r")).select("_row", "r.word", "r.times")
-    seen = F.coalesce("n", F.lit(0))
-    log = F.log10((seen + 1) / F.lit(float(n + v + 1)))
-    rest_of = (
-        each.join(counts, "word", "left")
-        .groupBy("_row")
-        .agg(F.sum(log * F.col("times")).alias("_more"), F.sum(F.when(seen > 0, F.col("times")).otherwise(0)).alias("_also"))
-    )
-    base = F.col("_base") + F.coalesce("_more", F.lit(0.0))
-    return passed.drop("_rare").join(rest_of, "_row", "left").select(
-        F.col("_id").alias(doc_id),
-        "held_out",
-        "n_tokens",
-        (F.col("_known") + F.coalesce("_also", F.lit(0))).alias("n_known"),
-        F.lit(n).cast("long").alias("train_tokens"),
-        base.alias("base_score"),
-        (base + F.col("_gain")).alias("score"),
-    )
+    blocks = materialize(text_blocks(rows), "text-blocks")
+    sums = blocks.agg(F.sum("train").alias("train"), F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, b: a + b)).alias("tokens")).first()
+    total = sums["train"] or 0
+    buckets = 1 + (sums["tokens"] or 0) // BUCKET_TOKENS
+    totals = materialize(training_counts(blocks, order, buckets), "n-gram-totals")
+    distinct = totals.filter(F.col("block").isNull()).agg(F.sum("found")).first()[0] or 0
+
+    def traverse(block: pa.Table, found: pa.Table) -> pa.Table:
+        row = {c: block.column(c)[0].as_py() for c in ("sizes", "words", "places")}
+        sizes = np.array(row["sizes"], dtype=np.int64)
+        answers: dict[int, list] = {}
+        for length, _, slice_ in sorted(zip(*(found.column(c).to_pylist() for c in ("length", "bucket", "totals")), strict=True), key=lambda r: r[:2]):
+            answers.setdefault(length, []).append(np.frombuffer(slice_, np.int64))
+        counts = []
+        for length, (at, grams) in enumerate(n_grams(unpacked(row["words"], row["places"], sizes), sizes, order), 1):
+            n = np.zeros(int(sizes.sum()), dtype=np.int64)
+            if len(at):
+                n[at] = np.concatenate(answers[length])[np.unique(grams, return_inverse=True)[1]]
+            counts.append(n)
+        automaton = Automaton(counts, total, distinct, prior)
+        starts = np.cumsum(sizes) - sizes
+        ids, held_out = (block.column(c).combine_chunks().flatten() for c in ("ids", "held"))
+        return pa.table(
+            {
+                doc_id: ids,
+                "held_out": held_out,
+                "n_tokens": pa.array(sizes),
+                "n_known": pa.array(np.add.reduceat(automaton.known, starts, dtype=np.int64)),
+                "train_tokens": pa.array(np.full(len(sizes), total, dtype=np.int64)),
+                "base_score": pa.array(np.add.reduceat(automaton.base, starts)),
+                "score": pa.array([automaton.score(a, a + n) for a, n in zip(starts.tolist(), sizes.tolist(), strict=True)], pa.float64()),
+            }
+        )
+
+    asked = blocks.select("block", "ids", "held", "sizes", "words", "places").groupBy("block")
+    fields = f"`{doc_id}` {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    return asked.cogroup(totals.filter(F.col("block").isNotNull()).groupBy("block")).applyInArrow(traverse, fields)

@@ -388,51 +388,67 @@ def check_base(rows, got):
 def test_base_scores(spark, odd, none):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
     docs = table(spark, [(i, t, "en", "s") for i, t in rows])
-    check_base(rows, lm_score.score(docs, known=50, core=20, arcs=100).collect())  # most words reach their texts by the join
-    check_base(ODD, lm_score.score(odd, known=3, core=2, arcs=10).collect())
+    check_base(rows, lm_score.score(docs).collect())
+    check_base(ODD, lm_score.score(odd).collect())
     assert lm_score.score(none).collect() == []
 
 
-def test_automaton_probabilities_add_up_and_help(spark):
-    docs = spark.read.parquet(f"{SMALL}/documents.parquet").withColumn("text", F.lower("text"))
-    counts, words, parts = lm_score.learn(docs, "text", 2000, 60, 500)
-    unigrams = words.unigrams()
-    automaton = lm_score.Automaton(*parts, np.concatenate([[0.0], unigrams[: words.core]]))
-    states = sorted(range(len(automaton.fail)), key=lambda s: -len([a for a in automaton.arcs if a // automaton.base == s]))[:6]
-    assert any(s >= automaton.base for s in range(len(automaton.fail)))
-
-    def log(state, word):
-        total = unigrams[word - 1]
-        while state:
-            arc = automaton.arcs.get(state * automaton.base + word)
-            if arc:
-                return total + arc[0]
-            total += automaton.fail_weight[state]
-            state = automaton.fail[state]
-        return total
-
-    rest = 1 - sum(10 ** unigrams[w - 1] for w in range(1, automaton.base))
-    for s in states:
-        inside = sum(10 ** log(s, w) for w in range(1, automaton.base))
-        assert abs(inside + 10 ** automaton.to_root[s] * rest - 1) < 1e-6
-    # One traversal equals the sum over the longest known histories.
-    ids = [1, 2, 0, 1, 3, 2, 1, 1, 2, 3, 4, 0, 0, 5, 1, 2, 3]
-    state, total = 0, 0.0
-    for w in ids:
-        if w:
-            total += log(state, w) - unigrams[w - 1]
-            probe, found = state, None
-            while probe and found is None:
-                arc = automaton.arcs.get(probe * automaton.base + w)
-                found = arc[1] if arc else None
-                probe = automaton.fail[probe]
-            state = found if found is not None else w
-        else:
-            total += automaton.to_root[state]
-            state = 0
-    assert abs(total - automaton.gain(ids)) < 1e-9
-    got = lm_score.score(docs).filter("held_out").agg(F.sum("score") - F.sum("base_score")).first()[0]
-    assert got > 0
+class PlainModel:
+    """The smoothed n-grams straight from their definition."""
+
+    def __init__(self, texts, order, prior):
+        self.order, self.prior, self.n = order, prior, Counter()
+        for t in texts:
+            words = lm_tokens(t)
+            self.n.update(tuple(words[i - k : i]) for k in range(1, order + 1) for i in range(k, len(words) + 1))
+        self.words = [g[0] for g in self.n if len(g) == 1]
+        self.total = sum(self.n[w,] for w in self.words)
+
+    def chance(self, history, word):
+        if not history:
+            return (self.n[word,] + 1) / (self.total + len(self.words) + 1)
+        lower = self.chance(history[1:], word)
+        return (self.n[(*history, word)] + self.prior * lower) / (self.n[history] + self.prior) if self.n[history] else lower
+
+    def score(self, text):
+        words = lm_tokens(text)
+        return sum(math.log10(self.chance(tuple(words[max(i - self.order + 1, 0) : i]), w)) for i, w in enumerate(words))
+
+
+def check_model(rows, got, order, prior):
+    train = [t for i, t, *_ in rows if i is None or zlib.crc32(str(i).encode()) % 7 != 2]
+    model = PlainModel(train, order, prior)
+    want = Counter((i, round(model.score(t), 5)) for i, t, *_ in rows)
+    assert Counter((r.doc_id, round(r.score, 5)) for r in got) == want
+    return model
+
+
+@pytest.mark.parametrize("order,prior", [(1, 5.0), (2, 100.0), (3, 7.5), (4, 100.0)])
+def test_traversals_equal_the_plain_model(spark, odd, monkeypatch, order, prior):
+    monkeypatch.setattr(lm_score, "BLOCK_BYTES", 5_000)  # many blocks and buckets
+    monkeypatch.setattr(lm_score, "BUCKET_TOKENS", 3_000)
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
+    docs = table(spark, [(i, t, "en", "s") for i, t in rows])
+    model = check_model(rows, lm_score.score(docs, order=order, prior=prior).collect(), order, prior)
+    short = [r for r in ODD if r[1] != LONG]
+    check_model(short, lm_score.score(odd.filter(F.coalesce(F.length("text") < 1000, F.lit(True))), order=order, prior=prior).collect(), order, prior)
+    for history in [g for g in model.n if len(g) == order - 1 and b"" not in g][:5]:
+        assert abs(sum(model.chance(history, w) for w in model.words) + model.chance(history, b"\n") - 1) < 1e-9
+
+
+def test_all_n_grams_help_held_out_texts(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    got = {n: lm_score.score(docs, order=n).filter("held_out").agg(F.sum("score") - F.sum("base_score")).first()[0] for n in (1, 2, 3)}
+    assert abs(got[1]) < 1e-6 and 0 < got[2] < got[3]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(alphabet="aAbZ \t\n\x0b\x0c\ré你\x00\x1c\x85", max_size=30), max_size=5))
+def test_word_keys_tell_words_apart(texts):
+    keys, sizes = lm_score.WordKeys(window=7)([t.encode() for t in texts])
+    words = [w for t in texts for w in lm_tokens(t)]
+    assert sizes.tolist() == [len(lm_tokens(t)) for t in texts]
+    assert len(keys) == len(words) and len(set(zip(keys.tolist(), words))) == len(set(keys.tolist())) == len(set(words))
 
 
 # Near duplicates
