@@ -25,7 +25,7 @@ from shopflow.plans.storage import materialize
 
 ORDER = 3  # words in the longest n-grams
 PRIOR = 100.0  # pseudo-counts of the shorter history
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 8 << 20  # of texts; a block is closed when it holds as many, and a longer text is a block of its own
 BUCKET_TOKENS = 1_000_000
 
 MULTIPLIER = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2^64
@@ -46,6 +46,22 @@ def powers(base: int, size: int) -> np.ndarray:
     return np.cumprod(steps, dtype=np.uint64)
 
 
+def squeezed(values: np.ndarray) -> bytes:
+    """Numbers by planes of their bytes, compressed; those of sorted keys are squeezed as steps."""
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T)
+    return len(values).to_bytes(8, "little") + pa.compress(planes.tobytes(), "zstd", asbytes=True)
+
+
+def opened(stored: bytes, kind: type) -> np.ndarray:
+    n, width = int.from_bytes(stored[:8], "little"), np.dtype(kind).itemsize
+    raw = pa.decompress(stored[8:], n * width, "zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(width, n).T).reshape(-1).view(kind)
+
+
+def steps(keys: np.ndarray) -> np.ndarray:
+    return np.diff(keys, prepend=np.uint64(0))
+
+
 class WordKeys:
     """Keys of the words between the characters [\\x20\\x09-\\x0D], A-Z in lower case, and of an end token after each text."""
 
@@ -95,12 +111,22 @@ def text_blocks(rows: DataFrame) -> DataFrame:
     """Blocks of whole texts: their ids, folds and sizes, and the keys of their words, each stored once."""
     kind = rows.schema["_id"].dataType.simpleString()
 
+    def filled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(batch)
+            if sum(b.nbytes for b in held) >= BLOCK_BYTES:
+                yield pa.concat_batches(held)
+                held = []
+        if held:
+            yield pa.concat_batches(held)
+
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         word_keys = WordKeys()
-        for batch in batches:
+        for batch in filled(batches):
             bytes_of = batch.column("_text").cast(pa.binary())
             lengths = np.array([len(t) if t else 0 for t in bytes_of.to_pylist()], dtype=np.int64)
-            block_of = np.cumsum(lengths) // BLOCK_BYTES
+            block_of = np.cumsum(lengths) // (2 * BLOCK_BYTES)
             cuts = [0, *(np.flatnonzero(np.diff(block_of)) + 1).tolist(), len(lengths)]
             for a, b in zip(cuts, cuts[1:]):
                 if a == b:
@@ -116,8 +142,8 @@ def text_blocks(rows: DataFrame) -> DataFrame:
                         pa.ListArray.from_arrays(offsets, ids),
                         pa.ListArray.from_arrays(offsets, held),
                         pa.array([sizes.tolist()], pa.list_(pa.int64())),
-                        pa.array([distinct.tobytes()], pa.binary()),
-                        pa.array([pa.compress(places.astype(np.uint32).tobytes(), "zstd", asbytes=True)], pa.binary()),
+                        pa.array([squeezed(steps(distinct))], pa.binary()),
+                        pa.array([squeezed(places.astype(np.uint32))], pa.binary()),
                         pa.array([train], pa.int64()),
                     ],
                     ["block", "ids", "held", "sizes", "words", "places", "train"],
@@ -127,9 +153,8 @@ def text_blocks(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(pack, fields)
 
 
-def unpacked(words: bytes, places: bytes, sizes: np.ndarray) -> np.ndarray:
-    raw = pa.decompress(places, int(sizes.sum()) * 4, "zstd", asbytes=True)
-    return np.frombuffer(words, np.uint64)[np.frombuffer(raw, np.uint32)]
+def unpacked(words: bytes, places: bytes) -> np.ndarray:
+    return np.cumsum(opened(words, np.uint64), dtype=np.uint64)[opened(places, np.uint32)]
 
 
 def training_counts(blocks: DataFrame, order: int, buckets: int) -> DataFrame:
@@ -138,13 +163,16 @@ def training_counts(blocks: DataFrame, order: int, buckets: int) -> DataFrame:
     Rows without a block hold the number of distinct training words of a bucket in `found`.
     """
 
+    slices = pa.schema([("length", pa.int32()), ("bucket", pa.int64()), ("block", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
+
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
                 sizes = np.array(row["sizes"], dtype=np.int64)
                 teaches = np.repeat(~np.array(row["held"], dtype=bool), sizes)
                 out: dict[str, list] = {"length": [], "bucket": [], "block": [], "keys": [], "counts": []}
-                for length, (at, grams) in enumerate(n_grams(unpacked(row["words"], row["places"], sizes), sizes, order), 1):
+                for length, (at, grams) in enumerate(n_grams(unpacked(row["words"], row["places"]), sizes, order), 1):
                     keys, inverse = np.unique(grams, return_inverse=True)
                     counts = np.bincount(inverse, weights=teaches[at], minlength=len(keys)).astype(np.int32)
                     bucket = ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
@@ -154,13 +182,13 @@ def training_counts(blocks: DataFrame, order: int, buckets: int) -> DataFrame:
                             out["length"].append(length)
                             out["bucket"].append(int(bucket[a]))
                             out["block"].append(row["block"])
-                            out["keys"].append(keys[a:b].tobytes())
-                            out["counts"].append(counts[a:b].tobytes())
-                yield pa.RecordBatch.from_pydict(out, pa.schema([("length", pa.int32()), ("bucket", pa.int64()), ("block", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())]))
+                            out["keys"].append(squeezed(steps(keys[a:b])))
+                            out["counts"].append(squeezed(counts[a:b]))
+                yield pa.RecordBatch.from_pydict(out, slices)
 
     def add_up(asked: pa.Table) -> pa.Table:
-        keys = [np.frombuffer(k, np.uint64) for k in asked.column("keys").to_pylist()]
-        counts = np.concatenate([np.frombuffer(c, np.int32) for c in asked.column("counts").to_pylist()])
+        keys = [np.cumsum(opened(k, np.uint64), dtype=np.uint64) for k in asked.column("keys").to_pylist()]
+        counts = np.concatenate([opened(c, np.int32) for c in asked.column("counts").to_pylist()])
         _, inverse = np.unique(np.concatenate(keys), return_inverse=True)
         sums = np.bincount(inverse, weights=counts).astype(np.int64)
         totals = np.split(sums[inverse], np.cumsum([len(k) for k in keys])[:-1])
@@ -171,7 +199,7 @@ def training_counts(blocks: DataFrame, order: int, buckets: int) -> DataFrame:
                 "block": pa.array([*asked.column("block").to_pylist(), None], pa.int64()),
                 "length": pa.array([length] * n, pa.int32()),
                 "bucket": pa.array([bucket] * n, pa.int64()),
-                "totals": pa.array([*(t.tobytes() for t in totals), None], pa.binary()),
+                "totals": pa.array([*(squeezed(t) for t in totals), None], pa.binary()),
                 "found": pa.array([None] * (n - 1) + [int((sums > 0).sum()) if length == 1 else 0], pa.int64()),
             }
         )
@@ -197,22 +225,23 @@ class Automaton:
             arcs.append(np.log10(chance))
             fails.append(np.log10(prior / (history + prior)))
             seen.append(longer > 0)
-        self.known = seen[0]
-        self.base = arcs[0]
-        self.arcs, self.fails, self.seen = ([column.tolist() for column in side] for side in (arcs, fails, seen))
+        self.base, self.known = arcs[0], seen[0]
+        self.arcs, self.fails, self.seen = arcs, fails, seen
 
-    def score(self, first: int, last: int) -> float:
+    def score(self, first: int, last: int, window: int = 1 << 16) -> float:
         """log10 probability of the tokens from first to before last, in one traversal that starts at the root."""
-        arcs, fails, seen = self.arcs, self.fails, self.seen
-        deepest = len(arcs) - 1
+        deepest = len(self.arcs) - 1
         state, total = 0, 0.0
-        for i in range(first, last):
-            while state and not seen[state][i]:
-                total += fails[state][i]
-                state -= 1
-            total += arcs[state][i]
-            if state < deepest and (state or seen[0][i]):
-                state += 1
+        for begin in range(first, last, window):
+            end = min(begin + window, last)
+            arcs, fails, seen = ([column[begin:end].tolist() for column in side] for side in (self.arcs, self.fails, self.seen))
+            for i in range(end - begin):
+                while state and not seen[state][i]:
+                    total += fails[state][i]
+                    state -= 1
+                total += arcs[state][i]
+                if state < deepest and (state or seen[0][i]):
+                    state += 1
         return total
 
 
@@ -242,9 +271,9 @@ def score(
         sizes = np.array(row["sizes"], dtype=np.int64)
         answers: dict[int, list] = {}
         for length, _, slice_ in sorted(zip(*(found.column(c).to_pylist() for c in ("length", "bucket", "totals")), strict=True), key=lambda r: r[:2]):
-            answers.setdefault(length, []).append(np.frombuffer(slice_, np.int64))
+            answers.setdefault(length, []).append(opened(slice_, np.int64))
         counts = []
-        for length, (at, grams) in enumerate(n_grams(unpacked(row["words"], row["places"], sizes), sizes, order), 1):
+        for length, (at, grams) in enumerate(n_grams(unpacked(row["words"], row["places"]), sizes, order), 1):
             n = np.zeros(int(sizes.sum()), dtype=np.int64)
             if len(at):
                 n[at] = np.concatenate(answers[length])[np.unique(grams, return_inverse=True)[1]]

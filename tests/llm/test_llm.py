@@ -445,6 +445,8 @@ def test_all_n_grams_help_held_out_texts(spark):
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.text(alphabet="aAbZ \t\n\x0b\x0c\ré你\x00\x1c\x85", max_size=30), max_size=5))
 def test_word_keys_tell_words_apart(texts):
+    stored = np.sort(np.array([7, 2**64 - 1, 0, 7, 300], dtype=np.uint64))
+    assert np.array_equal(np.cumsum(lm_score.opened(lm_score.squeezed(lm_score.steps(stored)), np.uint64), dtype=np.uint64), stored)
     keys, sizes = lm_score.WordKeys(window=7)([t.encode() for t in texts])
     words = [w for t in texts for w in lm_tokens(t)]
     assert sizes.tolist() == [len(lm_tokens(t)) for t in texts]
