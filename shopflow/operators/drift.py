@@ -135,10 +135,10 @@ DAILY_FEATURES = {
 def user_daily_features(
     events: DataFrame, orders: DataFrame, users: DataFrame, first_day: str, days: int, window: int = 90
 ) -> DataFrame:
-    """Trailing sums for every active user and day of the period, days without activity included.
+    """Trailing sums over `window` days for every active user and day of the period, days without activity included.
 
     Activity is combined per user and day before the grid is joined, so a user's window holds one row
-    per day however active the user is.
+    per day however active the user is. Activity before the period counts as far as the window reaches back.
     """
     day = lambda c: F.to_date(c).alias("feature_date")
     activity = (
@@ -151,13 +151,17 @@ def user_daily_features(
         )
     )
     period = F.sequence(F.lit(first_day).cast("date"), F.date_add(F.lit(first_day).cast("date"), days - 1))
-    grid = users.filter("is_active").select("user_id", F.explode(period).alias("feature_date"))
-    trailing = Window.partitionBy("user_id").orderBy("feature_date").rowsBetween(-(window - 1), 0)
-    filled = grid.join(activity, ["user_id", "feature_date"], "left")
-    return filled.select(
-        "user_id", "feature_date",
+    first, last = F.lit(first_day).cast("date"), F.date_add(F.lit(first_day).cast("date"), days - 1)
+    active = users.filter("is_active").select("user_id")
+    grid = active.select("user_id", F.explode(period).alias("feature_date"), F.lit(True).alias("_asked"))
+    near = activity.filter(F.col("feature_date").between(F.date_sub(first, window - 1), last)).join(active, "user_id", "left_semi")
+    filled = grid.join(near, ["user_id", "feature_date"], "full").withColumn("_day", F.datediff("feature_date", first))
+    trailing = Window.partitionBy("user_id").orderBy("_day").rangeBetween(-(window - 1), 0)
+    summed = filled.select(
+        "user_id", "feature_date", "_asked",
         *[F.sum(F.coalesce(source, F.lit(0))).over(trailing).alias(name) for name, source in DAILY_FEATURES.items()],
     )
+    return summed.filter("_asked").drop("_asked")
 
 
 def feature_health(daily: DataFrame) -> DataFrame:

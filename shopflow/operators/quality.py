@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shopflow.plans.hot_keys import top_k
+from shopflow.plans.storage import materialize
 
 
 def duplicate_profile(frame: DataFrame, identity: str, digest: str) -> DataFrame:
@@ -180,10 +181,28 @@ def _violations(name: str, bad: DataFrame) -> DataFrame:
     return bad.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(name).alias("check_name"), "violations")
 
 
+def _tallies(frame: DataFrame, rules: dict[str, Column]) -> DataFrame:
+    """Violations of several rules in one pass over the rows."""
+    counted = frame.agg(*[F.count_if(bad).alias(name) for name, bad in rules.items()])
+    return counted.unpivot([], list(rules), "check_name", "violations")
+
+
 def integrity_report(tables: dict[str, DataFrame]) -> DataFrame:
-    """Missing parents and wrong linkage across the shop tables, one count per rule."""
+    """Missing parents and wrong linkage across the shop tables, one count per rule.
+
+    The tables that several rules read are stored once, cut to the columns the rules need.
+    """
     users, products, sessions = tables["users"], tables["products"], tables["sessions"]
-    requests, impressions, events = tables["requests"], tables["impressions"], tables["events"]
+    requests = tables["requests"]
+    impressions = materialize(
+        tables["impressions"].select("impression_id", "request_id", "user_id", "session_id", "candidate_product_id"), "impressions"
+    )
+    events = materialize(
+        tables["events"].select(
+            "impression_id", "request_id", "session_id", "user_id", "product_id", "category_id", "brand_id", "event_timestamp", "created_ts"
+        ),
+        "events",
+    )
     orders, items = tables["orders"], tables["order_items"]
 
     def orphans(child: DataFrame, key: str, parent: DataFrame, parent_key: str) -> DataFrame:
@@ -209,21 +228,27 @@ def integrity_report(tables: dict[str, DataFrame]) -> DataFrame:
         & F.col("p_product").eqNullSafe(F.col("product_id"))
     )
     described = events.join(
-        products.select("product_id", F.col("category_id").alias("p_category"), F.col("brand_id").alias("p_brand")),
+        products.select("product_id", F.col("category_id").alias("p_category"), F.col("brand_id").alias("p_brand"), F.lit(True).alias("p_known")),
         "product_id",
+        "left",
     )
-    wrong_metadata = (F.col("p_category") != F.col("category_id")) | (F.col("p_brand") != F.col("brand_id"))
+    of_products = {
+        "event_product_missing": F.col("p_known").isNull(),
+        "event_product_metadata": (F.col("p_category") != F.col("category_id")) | (F.col("p_brand") != F.col("brand_id")),
+    }
+    of_rows = {
+        "event_created_early": F.col("created_ts") < F.col("event_timestamp"),
+        "event_id_not_positive": F.least("user_id", "product_id", "category_id", "brand_id") <= 0,
+    }
     inactive = sessions.join(users.filter(~F.col("is_active")).select("user_id"), "user_id", "left_semi")
     parts = [
         _violations("session_user_missing", orphans(sessions, "user_id", users, "user_id")),
         _violations("session_user_inactive", inactive),
-        _violations("event_product_missing", orphans(events, "product_id", products, "product_id")),
+        _tallies(described, of_products),
+        _tallies(events, of_rows),
         _violations("event_session_missing", orphans(events, "session_id", sessions, "session_id")),
         _violations("impression_request_linkage", linked.filter(wrong_request)),
         _violations("event_impression_linkage", shown.filter(wrong_impression)),
-        _violations("event_product_metadata", described.filter(wrong_metadata)),
-        _violations("event_created_early", events.filter(F.col("created_ts") < F.col("event_timestamp"))),
-        _violations("event_id_not_positive", events.filter(F.least("user_id", "product_id", "category_id", "brand_id") <= 0)),
         _violations("item_order_missing", orphans(items, "order_id", orders, "order_id")),
         _violations("item_product_missing", orphans(items, "product_id", products, "product_id")),
         _violations("order_totals", order_totals(orders, items)),

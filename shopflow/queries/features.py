@@ -96,10 +96,10 @@ def user_aggregates_open(shop):
     return rows.select("user_id", "event_id", "feature_timestamp", "views_30m", "carts_30m", "purchases_24h")
 
 
-@query("d13_approximate_category_error", "select event_id, distinct_categories_7d, 0 error from aggregates", VIEWS)
+@query("d13_approximate_category_error", "select event_id, distinct_categories_7d from aggregates", VIEWS)
 def trailing_categories(shop):
-    """Trailing distinct counts by the linear route, against SQL that counts exactly."""
-    return features.trailing_category_counts(shop.behavior_events).select("event_id", "distinct_categories_7d", F.lit(0).alias("error"))
+    """Trailing distinct counts by the linear route, against SQL that counts exactly: they have no error to report."""
+    return features.trailing_category_counts(shop.behavior_events).select("event_id", "distinct_categories_7d")
 
 
 RUN_TIME = "2024-06-01 00:00:00"
@@ -308,6 +308,21 @@ def training_ttl(shop):
     return joined.select("impression_id", "seq_event_id", "agg_views_30m", "item_event_id")
 
 
+@query(
+    "c3_later_run_wins",
+    """select l.impression_id, u.event_id agg_event_id, u.views_30m + 1000 agg_views_30m, timestamp '2024-06-02 00:00:00' agg_created_timestamp
+    from labelled l join user_asof u on u.id = l.impression_id
+    union all select l.impression_id, null, null, null from labelled l anti join user_asof u on u.id = l.impression_id""",
+    VIEWS,
+)
+def later_run(shop):
+    """Two runs wrote features of the same times; a point-in-time join takes those of the later run."""
+    found, sequences, aggregates, items = training_inputs(shop, [])
+    runs = [aggregates.withColumn("views_30m", F.col("views_30m") + more).withColumn("created_timestamp", F.lit(f"2024-06-0{day}").cast("timestamp")) for day, more in ((2, 1000), (1, 0))]
+    joined = labels.join_feature_views(found, sequences, runs[0].unionByName(runs[1]), items)
+    return joined.select("impression_id", "agg_event_id", "agg_views_30m", "agg_created_timestamp")
+
+
 @query(
     "c4_interval_join_counts",
     """select i.impression_id, i.user_id, i.candidate_product_id, i.impression_timestamp, count(e.event_id) positive_events
@@ -321,9 +336,9 @@ def interval_matches(shop):
     return rows.select("impression_id", "user_id", "candidate_product_id", "impression_timestamp", "positive_events")
 
 
-@query("d1_ranking_labels", "select * from labelled", VIEWS)
+@query("d1_ranking_labels", f"select *, timestamp '{RUN_TIME}' created_timestamp from labelled", VIEWS)
 def ranking_labels(shop):
-    return labels.ranking_labels(shop.impressions, shop.behavior_events)
+    return labels.ranking_labels(shop.impressions, shop.behavior_events, created=RUN_TIME)
 
 
 SCD_SQL = """select e.event_id, e.product_id, e.event_timestamp, s.valid_from, s.category_code, s.brand_name, s.current_price::double current_price

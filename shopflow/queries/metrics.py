@@ -62,13 +62,14 @@ def psi_closed(shop):
 
 DAILY = {
     "days": "select unnest(generate_series(date '2024-01-01', date '2024-01-30', interval 1 day))::date d",
+    "lead_days": "select unnest(generate_series(date '2023-10-04', date '2024-01-30', interval 1 day))::date d",
     "activity": """select user_id, d, sum(i) interactions, sum(p) purchases, sum(o) orders from (
         select user_id, event_timestamp::date d, 1 i, (event_type='purchase')::int p, 0 o from behavior_events
         union all select user_id, order_timestamp::date, 0, 0, 1 from shop_orders) group by 1, 2""",
-    "daily_rows": """select u.user_id, days.d feature_date, sum(coalesce(purchases,0)) over w f_user_purchase_count_90d, sum(coalesce(orders,0)) over w f_user_total_orders_90d,
+    "daily_rows": """select * from (select u.user_id, days.d feature_date, sum(coalesce(purchases,0)) over w f_user_purchase_count_90d, sum(coalesce(orders,0)) over w f_user_total_orders_90d,
         sum(coalesce(interactions,0)) over w f_user_interaction_count_90d
-      from users u cross join days left join activity a on a.user_id = u.user_id and a.d = days.d where u.is_active
-      window w as (partition by u.user_id order by days.d rows between 6 preceding and current row)""",
+      from users u cross join lead_days days left join activity a on a.user_id = u.user_id and a.d = days.d where u.is_active
+      window w as (partition by u.user_id order by days.d rows between 89 preceding and current row)) where feature_date >= date '2024-01-01'""",
     "long_daily": "select feature_date, feature, value::double value from (unpivot (select feature_date, f_user_purchase_count_90d::bigint f_user_purchase_count_90d, f_user_total_orders_90d::bigint f_user_total_orders_90d, f_user_interaction_count_90d::bigint f_user_interaction_count_90d from daily_rows) on f_user_purchase_count_90d, f_user_total_orders_90d, f_user_interaction_count_90d into name feature value value)",
     "base": "select feature, value from long_daily where feature_date between date '2024-01-07' and date '2024-01-12'",
     "open_cuts": "select feature, quantile_cont(value, [0.1,0.2,0.3,0.4,0.5,0.6,0.7,0.8,0.9]) q, min(value) lo, max(value) hi from base group by 1",
@@ -87,7 +88,7 @@ DAILY = {
 
 
 def daily(shop):
-    return drift.user_daily_features(shop.behavior_events, shop.orders, shop.users, "2024-01-01", 30, window=7)
+    return drift.user_daily_features(shop.behavior_events, shop.orders, shop.users, "2024-01-01", 30, window=90)
 
 
 @query(
@@ -422,14 +423,19 @@ def first_occurrences(shop):
 
 @query(
     "c20_online_feature_assembly",
-    """select o.user_id, o.product_id, o.position, p.brand_name, u.country from offered o left join products p using (product_id) left join users u on u.user_id = o.user_id""",
+    """select o.user_id, o.product_id, o.position, p.brand_name, u.country from (
+      select o.* from offered o join users u on u.user_id = o.user_id where not u.is_active
+      union all select user_id, unnest([user_id + 1, user_id, user_id + 1]), unnest([1, 2, 3])::int from users where is_active) o
+    left join products p using (product_id) left join users u on u.user_id = o.user_id""",
     ONLINE,
 )
 def assembly(shop):
+    """Active users ask with three candidates of their own, one twice; the others take theirs from the pools."""
     built = pools(shop)
-    open_requests = shop.users.select("user_id", F.array().cast("array<bigint>").alias("candidates"))
+    given = F.array(F.col("user_id") + 1, F.col("user_id"), F.col("user_id") + 1)
+    requests = shop.users.select("user_id", F.when(F.col("is_active"), given).otherwise(F.array().cast("array<bigint>")).alias("candidates"))
     return online.online_features(
-        open_requests, built, personal(shop, built), shop.products.select("product_id", "brand_name"), shop.users.select("user_id", "country"), 2
+        requests, built, personal(shop, built), shop.products.select("product_id", "brand_name"), shop.users.select("user_id", "country"), 2
     )
 
 

@@ -104,12 +104,13 @@ def ratios(shop):
     "i24_window_metric_lines",
     """select window_start, '{"drop_late_events":true,"duplicate_event_count":'||duplicate_event_count||',"event_count":'||event_count||',"is_bursty":'||is_bursty||',"late_event_count":'||late_event_count||
       ',"late_events_dropped":'||late_events_dropped||',"side_output_late_events":'||side_output_late_events||',"status":"streaming_quality_window_metrics","topic":"cdc.behavior_events","window_end":"'||
-      strftime(window_end, '%Y-%m-%dT%H:%M:%SZ')||'","window_start":"'||strftime(window_start, '%Y-%m-%dT%H:%M:%SZ')||'"}' line from quality""",
+      strftime(window_end, '%Y-%m-%dT%H:%M:%SZ')||'","window_start":"'||strftime(window_start, '%Y-%m-%dT%H:%M:%SZ')||'"}' line, max_late_by_seconds::double max_late_by_seconds from quality""",
     QUALITY,
 )
 def metric_lines(shop):
     lines = lateness.metric_lines(stream_job(shop).current_quality_windows(), StreamConfig())
-    return lines.withColumn("line", F.regexp_replace("line", '"max_late_by_seconds":[0-9.E-]+,', ""))
+    latest = F.get_json_object("line", "$.max_late_by_seconds").cast("double")  # engines write numbers differently, so it is compared as one
+    return lines.withColumn("max_late_by_seconds", latest).withColumn("line", F.regexp_replace("line", '"max_late_by_seconds":[0-9.E-]+,', ""))
 
 
 @query(

@@ -568,3 +568,29 @@ def test_trailing_sketches_stay_near_the_exact_count(spark):
     for (k, day), estimate in got.items():
         exact = len({r["v"] for r in rows_ if r["k"] == k and 0 <= (dt.date.fromisoformat(day) - r["day"]).days < 3})
         assert abs(estimate - exact) <= 0.15 * exact
+
+
+def test_daily_sums_reach_back_before_the_period(spark):
+    from shopflow.operators import drift
+
+    at = "user_id long, event_type string, event_timestamp string"
+    days = [(1, "purchase", "2024-01-01"), (1, "view", "2024-01-05"), (1, "view", "2024-01-09"), (2, "view", "2024-01-09"), (1, "view", "2024-01-20")]
+    events = spark.createDataFrame(days, at).withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp"))
+    orders = spark.createDataFrame([(1, "2024-01-08")], "user_id long, order_timestamp string").withColumn("order_timestamp", F.col("order_timestamp").cast("timestamp"))
+    users = spark.createDataFrame([(1, True), (2, False), (3, True)], "user_id long, is_active boolean")
+    got = drift.user_daily_features(events, orders, users, "2024-01-10", 3, window=10).collect()
+    found = {(r.user_id, str(r.feature_date)[8:]): (r.f_user_interaction_count_90d, r.f_user_purchase_count_90d, r.f_user_total_orders_90d) for r in got}
+    assert found == {
+        (1, "10"): (3, 1, 1), (1, "11"): (2, 0, 1), (1, "12"): (2, 0, 1), (3, "10"): (0, 0, 0), (3, "11"): (0, 0, 0), (3, "12"): (0, 0, 0),
+    }
+
+
+def test_rows_of_the_later_run_count(spark):
+    when = lambda frame, *names: frame.withColumns({n: F.col(n).cast("timestamp") for n in names})
+    asked = when(spark.createDataFrame([("i", 1, 5, "2024-01-02")], "impression_id string, user_id int, candidate_product_id int, prediction_timestamp string"), "prediction_timestamp")
+    kind = "event_id string, feature_timestamp string, created_timestamp string, n int"
+    runs = [("z", "2024-01-01", "2024-03-01", 1), ("a", "2024-01-01", "2024-03-02", 2), ("b", "2024-01-01", "2024-03-02", 3)]
+    users = when(spark.createDataFrame([(1, *r) for r in runs], f"user_id int, {kind}"), "feature_timestamp", "created_timestamp")
+    items = when(spark.createDataFrame([(5, *r) for r in runs[:2]], f"product_id int, {kind}"), "feature_timestamp", "created_timestamp")
+    got = labels.join_feature_views(asked, users, users.drop("created_timestamp"), items).first()
+    assert (got.seq_n, got.agg_n, got.item_n) == (3, 1, 2)

@@ -214,3 +214,11 @@ def test_ties_compare_in_their_own_types(spark):
     view = spark.createDataFrame(rows_, "k int, feature_timestamp timestamp, created_timestamp timestamp, n int")
     joined = asof.asof_join(left, "at", {"k": "k"}, [asof.FeatureView(view, "f", tie_break=("created_timestamp", "n"))])
     assert joined.first()["f_n"] == 10
+
+
+def test_equal_rows_of_a_hot_key_are_spread(spark):
+    left = spark.createDataFrame([(1, "same")] * 60 + [(2, "x"), (3, "y"), (None, "z")], "k int, v string")
+    right = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "k int, w string")
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        got = joins.salted_join(left, right, ["k"], how, rows_per_task=7)
+        assert rows(got) == rows(left.join(right, "k", how))
