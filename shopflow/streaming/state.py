@@ -2,6 +2,7 @@
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -68,8 +69,13 @@ def mark_seen(events: DataFrame, config: StreamConfig) -> DataFrame:
     return judged.drop("_bucket", "_route")
 
 
-PANE_TOTALS = "views int, carts int, purchases int, viewed_cents bigint, categories array<bigint>"
-PANE_EVENTS = "at array<bigint>, kind array<int>"
+# Seconds of a span and of its slots: seconds of a minute, minutes of an hour, hours of a day.
+SPANS = ((60, 1), (3600, 60), (86400, 3600))
+SLOTS = (
+    "slot array<int>, views array<bigint>, carts array<bigint>, purchases array<bigint>, viewed_cents array<bigint>,"
+    " category_slot array<int>, category array<bigint>"
+)
+INSTANTS = "at array<bigint>, views array<bigint>, carts array<bigint>, purchases array<bigint>"
 TAIL = (
     "at array<bigint>, event_id array<string>, item array<bigint>, kind array<int>, category array<bigint>,"
     " brand array<bigint>, bucket array<int>, request array<string>, impression array<string>"
@@ -91,12 +97,25 @@ ITEM_OUTPUT = (
 )
 
 
+class Totals:
+    """Counts by kind, cents of viewed prices and categories of a stretch of time."""
+
+    def __init__(self, counts=(0, 0, 0, 0), categories=()):
+        self.counts, self.categories = np.array(counts, "int64"), set(categories)
+
+    def add(self, other: "Totals") -> None:
+        self.counts += other.counts
+        self.categories |= other.categories
+
+
 class _RollingPanes(StatefulProcessor):
-    """Panes of an entity kept for the retention, as totals plus the event times a short horizon may cut.
+    """Panes of an entity at four levels: instants of a second, seconds of a minute, minutes of an hour, hours of a day.
 
-    A batch folds its rows into their panes (an accepted late row revises its old pane), drops panes
-    beyond the retention, and yields one row: the features as of the entity's newest event. A horizon is
-    the sum of whole panes and of the times inside the one pane its lower end falls into.
+    Input rows are totals made before the shuffle. Each adds to one pane of every level (an accepted late row revises old
+    panes), and days beyond the retention go with all that lies below them. A horizon is the sum of what follows its lower
+    end in the one second, minute, hour and day the end falls into, and of whole days after that, so it reads as many panes
+    as there are levels and days, however many events the entity has. A batch yields one row per entity: the features as of
+    its newest event.
     """
 
     def __init__(self, config: StreamConfig):
@@ -106,35 +125,36 @@ class _RollingPanes(StatefulProcessor):
         self.ttl = config.state_ttl_seconds * 1000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.totals = handle.getMapState("totals", "start bigint", PANE_TOTALS, self.ttl)
-        self.events = handle.getMapState("events", "start bigint", PANE_EVENTS, self.ttl)
+        self.instants = handle.getMapState("instants", "second bigint", INSTANTS, self.ttl)
+        self.slots = handle.getMapState("slots", "span int, start bigint", SLOTS, self.ttl)
+        self.days = handle.getValueState("days", "start array<bigint>", self.ttl)
         self.tail = handle.getValueState("tail", TAIL, self.ttl)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         tail = dict(zip(_TAIL_FIELDS, map(list, self.tail.get()))) if self.tail.exists() else {f: [] for f in _TAIL_FIELDS}
         newest_before = (tail["at"][-1], tail["event_id"][-1]) if tail["at"] else None
+        days = {int(d) for d in self.days.get()[0]} if self.days.exists() else set()
         late = False
         for batch in rows:
             late = bool(batch["is_late"].any()) or late
-            self._fold(batch)
+            days |= self._fold(batch)
             tail = self._extend(tail, batch)
         if not tail["at"]:
             return
         at = tail["at"][-1]
         last_pane = at - at % self.pane
-        panes = {}
-        for (start,), total in list(self.totals.iterator()):
-            if start + self.pane <= last_pane + self.pane - self.retention:
-                self.totals.removeKey((start,))
-                self.events.removeKey((start,))
-            else:
-                panes[start] = total
         oldest = last_pane + self.pane - self.retention
+        for day in [d for d in days if d + SPANS[-1][0] * MICROS <= oldest]:
+            self._drop(len(SPANS) - 1, day)
+            days.remove(day)
+        self.days.update((sorted(days),))
         first = next(i for i, t in enumerate(tail["at"]) if t >= oldest)
         tail = {f: values[first:] for f, values in tail.items()}
         self.tail.update(tuple(tail[f] for f in _TAIL_FIELDS))
         revised = newest_before is not None and (tail["at"][-1], tail["event_id"][-1]) == newest_before
-        frame = self.payload(key[0], at, panes, tail)
+        retained = self.since(oldest, days)
+        within = lambda seconds: [int(n) for n in self.since(at - seconds * MICROS + 1, days).counts[:3]]
+        frame = self.payload(key[0], retained, within, tail)
         stamp = lambda micros: pd.Timestamp(micros, unit="us")
         frame.update(
             feature_timestamp=stamp(at), event_id=tail["event_id"][-1], window_start=stamp(last_pane),
@@ -142,45 +162,91 @@ class _RollingPanes(StatefulProcessor):
         )
         yield pd.DataFrame({name: [value] for name, value in frame.items()})[self.columns]
 
-    def _fold(self, batch: pd.DataFrame) -> None:
-        starts = batch["at"] - batch["at"] % self.pane
-        for start, part in batch.groupby(starts):
-            start = int(start)
-            kind = part["event_type_id"]
-            views = kind == VIEW
-            add = (
-                int(views.sum()), int((kind == CART).sum()), int((kind == PURCHASE).sum()),
-                int(part.loc[views, "cents"].sum()), sorted({int(c) for c in part["category_id"]}),
-            )
-            at, kinds = [int(t) for t in part["at"]], [int(k) for k in kind]
-            if self.totals.containsKey((start,)):
-                old = self.totals.getValue((start,))
-                add = (*(int(a) + int(b) for a, b in zip(old[:4], add[:4])), sorted({*map(int, old[4]), *add[4]}))
-                seen = self.events.getValue((start,))
-                at, kinds = [*map(int, seen[0]), *at], [*map(int, seen[1]), *kinds]
-            self.totals.updateValue((start,), add)
-            self.events.updateValue((start,), (at, kinds))
+    def _fold(self, batch: pd.DataFrame) -> set[int]:
+        """Add rows of totals to every level; returns the days they fall into."""
+        added: dict[int, Totals] = {}
+        for second, part in batch.groupby("second"):
+            at = [np.concatenate(part["times"].to_list())]
+            counts = [np.stack([np.concatenate(part[c].to_list()) for c in ("views", "carts", "purchases")])]
+            fresh = Totals((*counts[0].sum(axis=1), part["cents"].sum()), np.concatenate(part["categories"].to_list()).tolist())
+            if self.instants.containsKey((int(second),)):
+                known = [np.array(values, "int64") for values in self.instants.getValue((int(second),))]
+                at.append(known[0])
+                counts.append(np.stack(known[1:]))
+            distinct, place = np.unique(np.concatenate(at), return_inverse=True)
+            merged = np.zeros((3, len(distinct)), "int64")
+            np.add.at(merged, (slice(None), place), np.concatenate(counts, axis=1))
+            self.instants.updateValue((int(second),), (distinct.tolist(), *merged.tolist()))
+            added[int(second)] = fresh
+        for span, step in SPANS:
+            wider: dict[int, Totals] = {}
+            spans: dict[int, dict[int, Totals]] = {}
+            for start, fresh in added.items():
+                whole = start - start % (span * MICROS)
+                if whole not in spans:
+                    spans[whole] = self._read(span, whole)
+                spans[whole].setdefault((start - whole) // (step * MICROS), Totals()).add(fresh)
+                wider.setdefault(whole, Totals()).add(fresh)
+            for whole, slots in spans.items():
+                self._write(span, whole, slots)
+            added = wider
+        return set(added)
+
+    def _read(self, span: int, start: int) -> dict[int, Totals]:
+        if not self.slots.containsKey((span, start)):
+            return {}
+        slot, *counts, category_slot, category = self.slots.getValue((span, start))
+        out = {int(s): Totals(c) for s, *c in zip(slot, *counts)}
+        for s, c in zip(category_slot, category):
+            out[int(s)].categories.add(int(c))
+        return out
+
+    def _write(self, span: int, start: int, slots: dict[int, Totals]) -> None:
+        counts = np.stack([t.counts for t in slots.values()], axis=1)
+        listed = [(slot, c) for slot, t in slots.items() for c in sorted(t.categories)]
+        self.slots.updateValue((span, start), (list(slots), *counts.tolist(), [s for s, _ in listed], [c for _, c in listed]))
+
+    def _drop(self, level: int, start: int) -> None:
+        if level < 0:
+            self.instants.removeKey((start,))
+            return
+        span, step = SPANS[level]
+        for slot in self._read(span, start):
+            self._drop(level - 1, start + slot * step * MICROS)
+        self.slots.removeKey((span, start))
+
+    def since(self, start: int, days: set[int]) -> Totals:
+        """Totals of the events at start or later; cents and categories only if start is a whole second."""
+        out = Totals()
+        second = start - start % MICROS
+        if start > second:
+            if self.instants.containsKey((second,)):
+                at, *kinds = (np.array(values, "int64") for values in self.instants.getValue((second,)))
+                out.counts[:3] += np.stack(kinds)[:, at >= start].sum(axis=1)
+            start = second + MICROS
+        for span, step in SPANS:
+            whole = start - start % (span * MICROS)
+            if start > whole:
+                self._sum(out, span, step, whole, start)
+                start = whole + span * MICROS
+        for day in days:
+            if day >= start:
+                self._sum(out, *SPANS[-1], day, day)
+        return out
+
+    def _sum(self, out: Totals, span: int, step: int, whole: int, start: int) -> None:
+        for slot, totals in self._read(span, whole).items():
+            if whole + slot * step * MICROS >= start:
+                out.add(totals)
 
     def _extend(self, tail: dict, batch: pd.DataFrame) -> dict:
-        new = batch.nlargest(self.keep, ["at"], keep="all")
-        rows = list(zip(*[tail[f] for f in _TAIL_FIELDS])) + [
-            (int(r.at_), r.event_id, int(r.product_id), int(r.event_type_id), int(r.category_id), int(r.brand_id), int(r.price_bucket),
-             r.request_id or "", r.impression_id or "")
-            for r in new.rename(columns={"at": "at_"}).itertuples(index=False)
-        ]
+        listed = batch[batch["tail_at"].map(len) > 0]
+        rows = list(zip(*[tail[f] for f in _TAIL_FIELDS]))
+        for part in listed[[f"tail_{f}" for f in _TAIL_FIELDS]].itertuples(index=False):
+            rows += zip(*[values.tolist() for values in part])
         rows = sorted(rows, key=lambda r: (r[0], r[1]))[-self.keep :]
         return {f: [r[i] for r in rows] for i, f in enumerate(_TAIL_FIELDS)}
 
-    def count(self, panes: dict, at: int, seconds: int, kind: int) -> int:
-        """Events of a kind in (at - seconds, at]."""
-        low = at - seconds * MICROS
-        cut = low - low % self.pane
-        whole = sum(total[kind - 1] for start, total in panes.items() if start > cut)
-        if cut in panes:
-            times, kinds = self.events.getValue((cut,))
-            whole += sum(1 for t, k in zip(times, kinds) if t > low and k == kind)
-        return int(whole)
-
     def close(self) -> None:
         pass
 
@@ -188,15 +254,15 @@ class _RollingPanes(StatefulProcessor):
 class UserRolling(_RollingPanes):
     columns = [part.split()[0] for part in USER_OUTPUT.split(", ")]
 
-    def payload(self, user: int, at: int, panes: dict, tail: dict) -> dict:
-        views, carts, purchases = (sum(int(p[i]) for p in panes.values()) for i in range(3))
-        cents = sum(int(p[3]) for p in panes.values())
+    def payload(self, user: int, retained: Totals, within, tail: dict) -> dict:
+        views, carts, purchases, cents = map(int, retained.counts)
+        short = within(1800)
         return {
             "user_id": user,
-            "views_30m": self.count(panes, at, 1800, VIEW),
-            "carts_30m": self.count(panes, at, 1800, CART),
-            "purchases_24h": self.count(panes, at, 86400, PURCHASE),
-            "distinct_categories_7d": len({int(c) for p in panes.values() for c in p[4]}),
+            "views_30m": short[0],
+            "carts_30m": short[1],
+            "purchases_24h": within(86400)[2],
+            "distinct_categories_7d": len(retained.categories),
             "avg_viewed_price_7d": cents / 100 / views if views else 0.0,
             "cart_to_purchase_ratio_7d": purchases / carts if carts else 0.0,
             "hist_item_ids": tail["item"], "hist_event_type_ids": tail["kind"], "hist_category_ids": tail["category"],
@@ -208,33 +274,74 @@ class UserRolling(_RollingPanes):
 class ItemRolling(_RollingPanes):
     columns = [part.split()[0] for part in ITEM_OUTPUT.split(", ")]
 
-    def payload(self, item: int, at: int, panes: dict, tail: dict) -> dict:
-        week_views, week_purchases = (sum(int(p[i]) for p in panes.values()) for i in (0, 2))
-        views, carts, purchases = (self.count(panes, at, 86400, k) for k in (VIEW, CART, PURCHASE))
+    def payload(self, item: int, retained: Totals, within, tail: dict) -> dict:
+        week_views, week_purchases = int(retained.counts[0]), int(retained.counts[2])
+        (views_1h, carts_1h, _), (views, carts, purchases) = within(3600), within(86400)
         return {
             "product_id": item, "category_id": tail["category"][-1], "brand_id": tail["brand"][-1], "price_bucket": tail["bucket"][-1],
-            "is_active": True, "views_1h": self.count(panes, at, 3600, VIEW), "views_24h": views,
-            "carts_1h": self.count(panes, at, 3600, CART), "carts_24h": carts, "purchases_24h": purchases,
-            "purchases_7d": week_purchases, "conversion_rate_7d": (week_purchases + 1.0) / (week_views + 10.0),
+            "is_active": True, "views_1h": views_1h, "views_24h": views, "carts_1h": carts_1h, "carts_24h": carts,
+            "purchases_24h": purchases, "purchases_7d": week_purchases,
+            "conversion_rate_7d": (week_purchases + 1.0) / (week_views + 10.0),
             "popularity_score": float(views + 3 * carts + 10 * purchases),
         }
 
 
-def rolling_input(events: DataFrame) -> DataFrame:
-    """The columns the rolling state reads; prices as whole cents so sums are exact."""
-    return events.select(
+_TAIL_COLUMNS = dict(
+    zip(_TAIL_FIELDS, ("at", "event_id", "product_id", "event_type_id", "category_id", "brand_id", "price_bucket", "request_id", "impression_id"))
+)
+PRE_TOTALS = (
+    "second bigint, times array<bigint>, views array<bigint>, carts array<bigint>, purchases array<bigint>, cents bigint,"
+    " categories array<bigint>, is_late boolean, " + ", ".join(f"tail_{part.strip()}" for part in TAIL.split(", "))
+)
+
+
+def _pre_totals(key: str, keep: int):
+    """Totals per entity and second of each batch of rows; the newest `keep` events ride on the entity's newest second."""
+
+    def combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            if rows.empty:
+                continue
+            kind = rows["event_type_id"]
+            rows = rows.assign(
+                second=rows["at"] - rows["at"] % MICROS, views=(kind == VIEW).astype("int64"), carts=(kind == CART).astype("int64"),
+                purchases=(kind == PURCHASE).astype("int64"), cents=rows["cents"].where(kind == VIEW, 0),
+                request_id=rows["request_id"].fillna(""), impression_id=rows["impression_id"].fillna(""),
+            )
+            place = [key, "second"]
+            instants = rows.groupby([*place, "at"], as_index=False)[["views", "carts", "purchases"]].sum()
+            lists = instants.rename(columns={"at": "times"}).groupby(place)[["times", "views", "carts", "purchases"]].agg(list)
+            sums = rows.groupby(place).agg(cents=("cents", "sum"), categories=("category_id", lambda c: c.unique().tolist()), is_late=("is_late", "max"))
+            newest = rows.sort_values([key, "at", "event_id"]).groupby(key).tail(keep)
+            tails = newest.groupby(key)[list(_TAIL_COLUMNS.values())].agg(list)
+            tails.columns = [f"tail_{f}" for f in _TAIL_COLUMNS]
+            out = lists.join(sums).reset_index()
+            out = out.join(tails, on=key)
+            older = out[key].duplicated(keep="last")  # groups come in the order of entity and second
+            for name in tails.columns:
+                out[name] = [[] if skip else values for skip, values in zip(older, out[name])]
+            yield out
+
+    return combine
+
+
+def rolling_input(events: DataFrame, key: str, config: StreamConfig) -> DataFrame:
+    """Totals per entity and second, summed in the tasks that read the events, so that a hot entity crosses the shuffle as
+    totals; prices as whole cents so sums are exact."""
+    rows = events.select(
         "event_id", "user_id", "product_id", "event_type_id", "category_id", "brand_id", "price_bucket", "request_id", "impression_id",
         "is_late", F.unix_micros("event_timestamp").alias("at"), F.round(F.col("price") * 100).cast("bigint").alias("cents"),
     )
+    return rows.mapInPandas(_pre_totals(key, max(1, config.max_history_length)), f"{key} bigint, {PRE_TOTALS}")
 
 
 def rolling_user_features(events: DataFrame, config: StreamConfig) -> DataFrame:
-    return rolling_input(events).groupBy("user_id").transformWithStateInPandas(
+    return rolling_input(events, "user_id", config).groupBy("user_id").transformWithStateInPandas(
         UserRolling(config), USER_OUTPUT, "Update", "ProcessingTime"
     )
 
 
 def rolling_item_features(events: DataFrame, config: StreamConfig) -> DataFrame:
-    return rolling_input(events).groupBy("product_id").transformWithStateInPandas(
+    return rolling_input(events, "product_id", config).groupBy("product_id").transformWithStateInPandas(
         ItemRolling(config), ITEM_OUTPUT, "Update", "ProcessingTime"
     )

@@ -3,12 +3,14 @@
 import datetime as dt
 import json
 
+import numpy as np
+import pandas as pd
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from shopflow.session import streaming_session
-from shopflow.streaming import firings, injection, jobs, lateness, sinks
+from shopflow.streaming import firings, injection, jobs, lateness, sinks, state
 from shopflow.streaming.config import StreamConfig, trigger
 
 START = dt.datetime(2024, 1, 1)
@@ -237,3 +239,97 @@ def test_firings_of_a_hot_pane_are_sums_of_parts(spark):
     facts = lambda f: tuple(f.groupBy("after_close").agg(F.sum("event_count"), F.sum("views"), F.max("last_us")).orderBy("after_close").collect())
     assert facts(summed) == facts(frame)
     assert summed.filter("not after_close").count() <= 4 and summed.filter("after_close").count() == 30
+
+
+class FakeMap(dict):
+    reads = writes = 0
+
+    def containsKey(self, key):
+        return key in self
+
+    def getValue(self, key):
+        self.reads += 1
+        return self[key]
+
+    def updateValue(self, key, value):
+        self.writes += 1
+        self[key] = value
+
+    def removeKey(self, key):
+        self.pop(key, None)
+
+
+class FakeValue:
+    value = None
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+
+class FakeHandle:
+    def __init__(self):
+        self.parts = {}
+
+    def getMapState(self, name, *_):
+        return self.parts.setdefault(name, FakeMap())
+
+    def getValueState(self, name, *_):
+        return self.parts.setdefault(name, FakeValue())
+
+
+def hot_events(rng, n, begin, end, dense):
+    at = rng.integers(begin, end, n) if not dense else begin + rng.integers(0, 50, n) * 1000
+    return pd.DataFrame({
+        "event_id": [f"{begin}-{i:06d}" for i in range(n)], "user_id": 7, "product_id": rng.integers(1, 9, n), "event_type_id": rng.integers(1, 4, n),
+        "category_id": rng.integers(1, 40, n), "brand_id": 1, "price_bucket": 2, "request_id": None, "impression_id": "i", "is_late": False,
+        "at": at, "cents": rng.integers(1, 5000, n),
+    })
+
+
+def test_pane_hierarchy_of_a_hot_entity():
+    """Days of events of one entity, late and dense ones among them, against sums over all of them."""
+    rng, day, config = np.random.default_rng(5), 86_400_000_000, StreamConfig()
+    handle, processor = FakeHandle(), state.UserRolling(config)
+    processor.init(handle)
+    begin = 19_723 * day + 12_345
+    batches = [hot_events(rng, 900, begin + i * day // 2, begin + (i + 1) * day // 2, False) for i in range(20)]
+    batches.append(hot_events(rng, 30_000, begin + 10 * day, 0, True))  # 50 instants with 30,000 events
+    batches.append(hot_events(rng, 300, begin + 4 * day, begin + 10 * day, False))  # all late
+    known = []
+    for number, batch in enumerate(batches):
+        known.append(batch)
+        every = pd.concat(known)
+        parts = np.array_split(np.arange(len(batch)), 3)
+        totals = pd.concat(state._pre_totals("user_id", config.max_history_length)(batch.iloc[p] for p in parts))
+        for column in totals.columns:
+            if isinstance(totals[column].iloc[0], list):
+                totals[column] = totals[column].map(np.array)
+        if number == 20:
+            assert len(totals) <= 3  # a row per second and batch of rows, however many events
+            for part in handle.parts.values():
+                part.reads = part.writes = 0
+        (row,) = (f.iloc[0] for f in processor.handleInputRows((7,), iter([totals]), None))
+        if number == 20:
+            assert sum(handle.parts[n].writes for n in ("instants", "slots")) == 4
+            assert sum(handle.parts[n].reads for n in ("instants", "slots")) <= 4 + 3 * (4 + 9)
+        at = int(every["at"].max())
+        oldest = at - at % 60_000_000 + 60_000_000 - 7 * day
+        week = every[every["at"] >= oldest]
+        kind = lambda k, seconds: int(((every["event_type_id"] == k) & (every["at"] > at - seconds * 1_000_000)).sum())
+        of = lambda k: week[week["event_type_id"] == k]
+        assert (row["views_30m"], row["carts_30m"], row["purchases_24h"]) == (kind(state.VIEW, 1800), kind(state.CART, 1800), kind(state.PURCHASE, 86400))
+        assert row["distinct_categories_7d"] == week["category_id"].nunique()
+        views = of(state.VIEW)
+        assert row["avg_viewed_price_7d"] == pytest.approx(views["cents"].sum() / 100 / len(views))
+        assert row["cart_to_purchase_ratio_7d"] == pytest.approx(len(of(state.PURCHASE)) / len(of(state.CART)))
+        newest = week.sort_values(["at", "event_id"]).tail(50)
+        assert row["hist_item_ids"] == newest["product_id"].to_list() and row["event_id"] == newest["event_id"].iloc[-1]
+        assert row["late_revision"] == (number == 21)
+    seconds = {key[0] for key in handle.parts["instants"]}
+    assert min(seconds) >= oldest - day and len(handle.parts["days"].get()[0]) <= 9
