@@ -344,6 +344,36 @@ def clustered(shop):
     return shop.spark.read.parquet(target)
 
 
+BOX = {c: f"{c} between min_{c} + (max_{c} - min_{c}) // 5 and min_{c} + (max_{c} - min_{c}) // 4" for c in ("l_orderkey", "l_partkey")}
+
+
+@query(
+    "k21_range_pruning",
+    f"""select phase, matching_rows, phase = 'after' as most_files_skipped from (values ('before'), ('after')) p(phase),
+      (select count(*) as matching_rows from lineitem, ends where {BOX["l_orderkey"]} and {BOX["l_partkey"]})""",
+    {"ends": "select min(l_orderkey) min_l_orderkey, max(l_orderkey) max_l_orderkey, min(l_partkey) min_l_partkey, max(l_partkey) max_l_partkey from lineitem"},
+)
+def range_pruning(shop):
+    """What a range of two columns reads before and after clustering: its rows, and whether most files are ruled out."""
+    source, target = scratch_path(shop.spark, "plain"), scratch_path(shop.spark, "zorder")
+    columns = ["l_orderkey", "l_partkey"]
+    shop.table("lineitem").repartition(16).write.parquet(source)
+    stored = shop.spark.read.parquet(source)
+    total = layout.file_metrics(stored).first()["total_size_bytes"]
+    layout.compact(shop.spark, source, target, target_bytes=max(total // 16, 1), cluster_by=columns)
+    ends = stored.agg(*[f(c).alias(f"{n}_{c}") for c in columns for n, f in (("min", F.min), ("max", F.max))]).first()
+    spans = {c: (ends[f"min_{c}"], ends[f"max_{c}"] - ends[f"min_{c}"]) for c in columns}
+    box = {c: (low + span // 5, low + span // 4) for c, (low, span) in spans.items()}
+    parts = []
+    for phase, frame in (("before", stored), ("after", shop.spark.read.parquet(target))):
+        files = layout.pruned_files(frame, box)
+        inside = frame.filter(F.col(columns[0]).between(*box[columns[0]]) & F.col(columns[1]).between(*box[columns[1]]))
+        facts = files.crossJoin(inside.agg(F.count(F.lit(1)).alias("matching_rows")))  # one row each
+        most = F.col("skipped_files") * 2 > F.col("files")
+        parts.append(facts.select(F.lit(phase).alias("phase"), "matching_rows", most.alias("most_files_skipped")))
+    return parts[0].unionByName(parts[1])
+
+
 @query("k34_salted_counts", "select product_id, count(*) as rows from behavior_events group by 1")
 def salted(shop):
     return layout.salted_counts(shop.behavior_events.select("event_id", "product_id"), "product_id")

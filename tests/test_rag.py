@@ -1,8 +1,10 @@
 """Chunking, embedding, retrieval, index upkeep, file layout."""
 
+import pathlib
 import sys
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from conftest import rows
 from hypothesis import given, settings
@@ -233,6 +235,36 @@ def test_compaction(spark, tmp_path):
         layout.compact(spark, source, str(tmp_path / "no"), target_bytes=0)
 
 
+def test_pruned_files_against_footers(spark, tmp_path):
+    source, target = str(tmp_path / "many"), str(tmp_path / "z")
+    spark.range(6000).selectExpr("if(id % 50 = 0, null, id) as a", "(id * 7919) % 6000 as b", "cast(id % 3 as string) as c").repartition(12).write.parquet(source)
+    size = layout.file_metrics(spark.read.parquet(source)).first()["total_size_bytes"]
+    layout.compact(spark, source, target, target_bytes=size // 20, cluster_by=["a", "b"])
+    box = {"a": (1500, 1900), "b": (700, 1100)}
+    shares = {}
+    for path in (source, target):
+        files = skipped = 0
+        for file in pathlib.Path(path).glob("*.parquet"):
+            meta = pq.ParquetFile(file).metadata
+            index = {meta.schema.column(i).name: i for i in range(meta.num_columns)}
+            files += 1
+            ends = {c: [meta.row_group(g).column(index[c]).statistics for g in range(meta.num_row_groups)] for c in box}
+            known = {c: [s for s in ends[c] if s is not None and s.has_min_max] for c in box}
+            skipped += any(not known[c] or min(s.min for s in known[c]) > high or max(s.max for s in known[c]) < low for c, (low, high) in box.items())
+        assert rows(layout.pruned_files(spark.read.parquet(path), box)) == [(files, skipped)]
+        shares[path] = skipped / files
+    assert shares[source] == 0 and shares[target] > 0.5
+
+
+def test_curve_follows_the_number_of_files(spark):
+    assert [layout.curve_bits(n, 2) for n in (1, 16, 1000, 800_000)] == [2, 4, 7, 12] and layout.curve_bits(800_000, 1) == layout.MOST_BITS
+    frame = spark.range(1000).selectExpr("id as a", "if(id < 500, 7, id) as b", "cast(null as int) as n")
+    z = frame.select(layout.z_value(frame, ["a"], 5).alias("a"), layout.z_value(frame, ["b", "n"], 3).alias("b")).collect()
+    assert sorted({r["a"] for r in z}) == list(range(32)) and max(abs(sum(r["a"] == i for r in z) - 31) for i in range(32)) <= 2
+    # The first four edges of b are all 7, so its rows lie in ranges 4 to 7; a column of nulls has no ranges.
+    assert sorted({r["b"] for r in z}) == [16, 17, 20, 21]
+
+
 def test_salting_flattens_the_load(spark):
     skewed = spark.range(9000).selectExpr("id", "if(id % 3 = 0, 0, id) as k")
     assert rows(layout.salted_counts(skewed, "k").filter("k = 0")) == [(0, 3000)]
