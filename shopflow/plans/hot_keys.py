@@ -2,7 +2,8 @@
 
 A key with more rows than one task should hold is cut into time blocks; all other keys stay whole
 in block 0. Blocks are cut at quantiles of the key's own rows, so a stray time or a dense day leaves
-them even; only rows of one and the same instant stay together. What a block needs from earlier blocks
+them even; only rows of one and the same instant stay together. A key that needs more blocks than there
+are quantiles has its blocks cut again in the same way, so blocks stay bounded at any size of a key. What a block needs from earlier blocks
 (a latest value, a running total, a tail of rows) is carried in from one summary row per block.
 """
 
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from shopflow.plans.storage import materialize
 
 ROWS_PER_TASK = 1_000_000
-QUANTILES = 1024  # a key's blocks have edges at some of these; their rank error is a tenth of a step at most
+QUANTILES = 1024  # a key's blocks have edges at some of these, round by round; their rank error is a tenth of a step at most
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
@@ -61,14 +62,33 @@ def with_blocks(
     block = F.lit(0).cast("bigint")
     split = frame
     if hot is not None:
-        edges = block_edges(known, hot, keys, timestamp, rows_per_task)
-        split = null_safe_join(frame, edges, keys, "left").withColumn("_hot", F.col("_edges").isNotNull())
-        passed = F.size(F.filter("_edges", lambda e: e < F.unix_micros(timestamp)))
-        block = F.when(F.col("_hot"), passed).otherwise(block)
+        split = _cut(frame.withColumn("_block", block), known, hot, keys, timestamp, rows_per_task)
+        split = split.withColumn("_hot", F.col("_passed").isNotNull())
+        most = hot.agg(F.max("_n")).first()[0] / rows_per_task / QUANTILES
+        while most > 1:  # one round per factor of QUANTILES, whatever the data
+            split = split.withColumn("_block", _numbered()).drop("_passed")
+            parts, rows = [*keys, "_block"], split.filter("_hot")
+            heavy = hot_keys(rows, parts, rows_per_task)
+            split = split.withColumn("_passed", F.lit(0)) if heavy is None else _cut(split, rows, heavy, parts, timestamp, rows_per_task)
+            most /= QUANTILES
+        split = split.withColumn("_block", F.when(F.col("_hot"), _numbered()).otherwise(block))
+        block = F.col("_block")
     if not null_keys_match:
         has_key = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
         block = F.when(has_key, block).otherwise(F.spark_partition_id())
-    return split.withColumn("_block", block.cast("bigint")).drop("_edges"), hot is not None
+    return split.withColumn("_block", block.cast("bigint")).drop("_passed"), hot is not None
+
+
+def _cut(frame: DataFrame, rows: DataFrame, hot: DataFrame, keys: list[str], timestamp: str, rows_per_task: int) -> DataFrame:
+    """Add _passed, the number of edges of the key (or of its block) before the row; null where it is not cut."""
+    cut = null_safe_join(frame, block_edges(rows, hot, keys, timestamp, rows_per_task), keys, "left")
+    passed = F.when(F.col("_edges").isNotNull(), F.size(F.filter("_edges", lambda e: e < F.unix_micros(timestamp))))
+    return cut.withColumn("_passed", passed).drop("_edges")
+
+
+def _numbered() -> Column:
+    """Block numbers after a cut, in the order of time."""
+    return F.col("_block") * QUANTILES + F.coalesce("_passed", F.lit(0))
 
 
 def top_k(frame: DataFrame, keys: list[str], order: list, k: int, name: str = "rank") -> DataFrame:

@@ -222,3 +222,19 @@ def test_equal_rows_of_a_hot_key_are_spread(spark):
     for how in ("inner", "left", "left_semi", "left_anti"):
         got = joins.salted_join(left, right, ["k"], how, rows_per_task=7)
         assert rows(got) == rows(left.join(right, "k", how))
+
+
+def test_blocks_are_cut_again_where_quantiles_run_out(spark, skewed, monkeypatch):
+    """More blocks than quantiles: rounds of cuts keep blocks small, in the order of time, and answers the same."""
+    view = asof.FeatureView(skewed.filter("event_type = 'view'").select("user_id", "event_timestamp", "price"), "v", "event_timestamp", "price")
+    left = skewed.select("event_id", "user_id", "event_timestamp")
+    whole = rows(asof.asof_join(left, "event_timestamp", {"user_id": "user_id"}, [view]))
+    monkeypatch.setattr(hot_keys, "QUANTILES", 4)
+    frame = spark.range(6000).selectExpr("if(id % 3 < 2, 1, id) as k", "timestamp_micros(if(id % 10 = 0, 50, id * id)) as t")
+    blocked, split = hot_keys.with_blocks(frame.repartition(8), ["k"], "t", 50)
+    parts = blocked.filter("k = 1").groupBy("_block").agg(F.count(F.lit(1)).alias("n"), F.min("t").alias("a"), F.max("t").alias("b"), F.count_distinct("t").alias("d")).orderBy("_block").collect()
+    assert split and len(parts) > 60 and sum(p["n"] for p in parts) == 4000
+    assert all(p["n"] <= 100 or p["d"] < 30 for p in parts)  # only the rows of one instant, a tenth, stay together
+    assert all(x["b"] < y["a"] for x, y in zip(parts, parts[1:]))
+    assert blocked.filter("k <> 1 and _block <> 0").isEmpty() and not blocked.filter("k <> 1 and _hot").count()
+    assert rows(asof.asof_join(left, "event_timestamp", {"user_id": "user_id"}, [view], rows_per_task=5)) == whole
