@@ -14,7 +14,7 @@ from shopflow.plans.storage import scratch_path
 
 
 def in_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with letters, half of them or more in scripts of learned languages, in however many of these; others go.
+    """Documents with letters, half of them or more in labelled spans that read like their language; others go.
 
     Languages are learned from the labelled documents at hand, outside the fold that is held out.
     """

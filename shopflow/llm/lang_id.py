@@ -18,6 +18,7 @@ from shopflow.llm.common import bounded_batches
 
 CELLS = 1 << 16
 PENALTY = 20.0
+CHANCE = 6.0  # twice the spread of a trigram's log-probability
 UNKNOWN = "und"
 # First code points of script ranges and the script's number.
 # 0 Latin, 1 Greek, 2 Cyrillic, 3 Armenian, 4 Hebrew, 5 Arabic, 6 Indic, 7 Thai and Lao, 8 Georgian, 9 Hangul, 10 Kana, 11 Han, 12 other
@@ -63,10 +64,19 @@ class Words:
         self.scripts = NUMBERS[np.searchsorted(STARTS, points[self.begin], side="right") - 1]
 
 
-def learn(docs: DataFrame, text: str, lang: str) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Languages, log-probabilities (language x cell) and scripts of each (language x script), from all rows given.
+def shuffled(text: str, letters: np.ndarray) -> str:
+    """The text with the letters of all its words in another order, the same one for the same number of letters."""
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).copy()
+    at = np.flatnonzero(letters[np.minimum(points, LETTERS_TO - 1)] & (points < LETTERS_TO))
+    points[at] = points[at[np.random.default_rng(len(at)).permutation(len(at))]]
+    return points.tobytes().decode("utf-32-le", "surrogatepass")
 
-    Rows without text or language teach nothing. What comes to the driver is at most one number per language and cell.
+
+def learn(docs: DataFrame, text: str, lang: str) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """Languages, log-probabilities (language x cell), scripts of each (language x script) and what the log-probability of
+    a trigram is on average in its texts, and in the same texts with shuffled letters (language x 2), from all rows given.
+
+    Rows without text or language teach nothing. What comes to the driver is at most two numbers per language and cell.
     """
     bounded_batches(docs.sparkSession)
 
@@ -76,9 +86,10 @@ def learn(docs: DataFrame, text: str, lang: str) -> tuple[list[str], np.ndarray,
             for value, name in zip(batch.column("_text").to_pylist(), batch.column("_lang").to_pylist(), strict=True):
                 words = Words(value, letters)
                 if words.count:
-                    cells = found.setdefault(name, np.zeros(CELLS + SCRIPTS, dtype=np.int64))
+                    cells = found.setdefault(name, np.zeros(2 * CELLS + SCRIPTS, dtype=np.int64))
                     cells[:CELLS] += np.bincount(words.cells, minlength=CELLS)
-                    cells[CELLS:] += np.bincount(words.scripts, weights=words.sizes, minlength=SCRIPTS).astype(np.int64)
+                    cells[CELLS + SCRIPTS :] += np.bincount(Words(shuffled(value, letters), letters).cells, minlength=CELLS)
+                    cells[CELLS : CELLS + SCRIPTS] += np.bincount(words.scripts, weights=words.sizes, minlength=SCRIPTS).astype(np.int64)
         for name, cells in found.items():
             seen = np.flatnonzero(cells)
             yield pa.RecordBatch.from_arrays(
@@ -88,13 +99,14 @@ def learn(docs: DataFrame, text: str, lang: str) -> tuple[list[str], np.ndarray,
     rows = docs.select(F.col(text).alias("_text"), F.col(lang).alias("_lang")).filter("_text is not null and _lang is not null")
     counted = rows.mapInArrow(count, "lang string, cell int, n long").groupBy("lang", "cell").agg(F.sum("n").alias("n")).toPandas()
     names = sorted(counted["lang"].unique())
-    table = np.zeros((len(names), CELLS + SCRIPTS))
+    table = np.zeros((len(names), 2 * CELLS + SCRIPTS))
     place = {n: i for i, n in enumerate(names)}
     table[counted["lang"].map(place).to_numpy(dtype=int), counted["cell"].to_numpy()] = counted["n"].to_numpy()
-    grams, scripts = table[:, :CELLS], table[:, CELLS:]
+    grams, scripts, mixed = table[:, :CELLS], table[:, CELLS : CELLS + SCRIPTS], table[:, CELLS + SCRIPTS :]
     logs = np.log((grams + 0.5) / (grams.sum(axis=1, keepdims=True) + 0.5 * CELLS))
     writes = scripts >= 0.001 * scripts.sum(axis=1, keepdims=True)
-    return names, logs.astype(np.float32), writes
+    average = lambda counts: (counts * logs).sum(axis=1) / counts.sum(axis=1)
+    return names, logs.astype(np.float32), writes, np.stack([average(grams), average(mixed)], axis=1)
 
 
 def viterbi(scores: np.ndarray, penalty: float) -> np.ndarray:
@@ -127,8 +139,9 @@ def viterbi(scores: np.ndarray, penalty: float) -> np.ndarray:
 
 
 class Labeller:
-    def __init__(self, names: list[str], logs: np.ndarray, writes: np.ndarray, penalty: float = PENALTY):
+    def __init__(self, names: list[str], logs: np.ndarray, writes: np.ndarray, averages: np.ndarray, penalty: float = PENALTY):
         self.names, self.logs, self.writes, self.penalty = names, logs.T.astype(np.float64), writes, penalty
+        self.floors = averages.mean(axis=1)  # half way between the language and shuffled letters
         self.letters = letter_table()
 
     def __call__(self, text: str | None) -> tuple[str, float, list[tuple[int, int, str]]]:
@@ -136,11 +149,7 @@ class Labeller:
         words = Words(text or "", self.letters)
         if not words.count or not self.names:
             return UNKNOWN, 0.0, []
-        scores = np.add.reduceat(self.logs[words.cells], words.first, axis=0)
-        allowed = self.writes[:, words.scripts].T
-        allowed |= ~allowed.any(axis=1, keepdims=True)  # a script no language writes rules none out
-        scores = np.where(allowed, scores, scores.min() - 10 * self.penalty)
-        labels = viterbi(scores, self.penalty)
+        scores, labels = self.labels(words)
         letters = np.bincount(labels, weights=words.sizes, minlength=len(self.names))
         main = int(letters.argmax())
         total = scores[labels == main].sum(axis=0)
@@ -151,12 +160,30 @@ class Labeller:
         spans = [(int(words.begin[a]), int(stop[b]), self.names[labels[a]]) for a, b in zip(starts, ends, strict=True)]
         return self.names[main], float(letters[main] / words.count * sure), spans
 
-    def learned_part(self, text: str | None) -> float | None:
-        """Part of the letters in scripts that some learned language writes; None without letters or languages."""
+    def labels(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
+        """Scores of the words (words x languages) and the numbers of their languages."""
+        scores = np.add.reduceat(self.logs[words.cells], words.first, axis=0)
+        allowed = self.writes[:, words.scripts].T
+        allowed |= ~allowed.any(axis=1, keepdims=True)  # a script no language writes rules none out
+        scores = np.where(allowed, scores, scores.min() - 10 * self.penalty)
+        return scores, viterbi(scores, self.penalty)
+
+    def known_part(self, text: str | None) -> float | None:
+        """Part of the letters in spans that read like their language; None without letters or languages.
+
+        A span does if its trigrams are, on average, likelier than half way down to those of shuffled letters, give or take
+        what chance does to a span of its length. Words in a script that the span's language does not write do not count.
+        """
         words = Words(text or "", self.letters)
         if not words.count or not self.names:
             return None
-        return float(words.sizes[self.writes.any(axis=0)[words.scripts]].sum() / words.count)
+        _, labels = self.labels(words)
+        written = self.writes[labels, words.scripts]
+        begin = np.flatnonzero(np.diff(labels, prepend=-1))
+        logs = self.logs[words.cells, np.repeat(labels, words.sizes)] * np.repeat(written, words.sizes)
+        sums, letters = np.add.reduceat(logs, words.first[begin]), np.add.reduceat(words.sizes * written, begin)
+        reads = sums / np.maximum(letters, 1) + CHANCE / np.sqrt(np.maximum(letters, 1)) >= self.floors[labels[begin]]
+        return float(letters[reads].sum() / words.count)
 
 
 def label_languages(docs: DataFrame, model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -187,9 +214,10 @@ def label_languages(docs: DataFrame, model, doc_id: str = "doc_id", text: str =
 
 
 def accepted(docs: DataFrame, model, text: str = "text", least: float = 0.5) -> DataFrame:
-    """Rows with at least this part of their letters in scripts that a learned language writes; all columns as they were.
+    """Rows with at least this part of their letters in spans that read like a learned language; all columns as they were.
 
-    How the letters divide among the learned languages does not matter, nor how sure the choice between them is.
+    The words are scored and labelled as for label_languages, and a span counts by its trigrams, so a text in a language that
+    was not learned goes though its script is known. How the letters divide among the learned languages does not matter.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
@@ -198,7 +226,7 @@ def accepted(docs: DataFrame, model, text: str = "text", least: float = 0.5) ->
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labeller = Labeller(*shared.value)
         for batch in batches:
-            found = [labeller.learned_part(t) for t in batch.column(text).to_pylist()]
+            found = [labeller.known_part(t) for t in batch.column(text).to_pylist()]
             yield batch.filter(pa.array([part is not None and part >= least for part in found], pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)
