@@ -74,7 +74,8 @@ LIMITS = chunking.ChunkLimits()
 @query("k26_document_chunks")
 def chunks(shop):
     rows = chunking.chunk_units(document_units(shop).filter("reject_reason is null").drop("reject_reason"), limits=LIMITS)
-    rows = chunking.with_lineage(rows, "run-1", "2024-06-01 00:00:00")
+    rows = rows.select("chunk_id", "item_id", "chunk_type", "source_key", "section_hash", "chunk_index", "token_count", "content_hash")
+    rows = chunking.with_lineage(materialize(rows, "chunks"), "run-1", "2024-06-01 00:00:00")
     return rows.select(
         "chunk_id", "item_id", "chunk_type", "chunk_index", "token_count", "content_hash", "item_content_hash", "source_run_id", "event_timestamp"
     )
@@ -100,8 +101,9 @@ UNITS = {
 def chunked_sections(shop):
     """Every section that is not rejected: whether its chunks hold its first and last word, the item's hash, repeated chunk ids."""
     units = document_units(shop).filter("reject_reason is null").drop("reject_reason")
-    chunks = materialize(chunking.with_lineage(chunking.chunk_units(units, limits=LIMITS), "run-1", "2024-06-01 00:00:00"), "chunks")
     keys = ["item_id", "chunk_type", "source_key"]
+    chunks = chunking.chunk_units(units, limits=LIMITS).select(*keys, "section_hash", "chunk_index", "chunk_id", "text")
+    chunks = chunking.with_lineage(materialize(chunks, "chunks"), "run-1", "2024-06-01 00:00:00")
     one = F.struct("chunk_index", "text")
     ends = chunks.groupBy(*keys).agg(
         F.min(one).alias("low"), F.max(one).alias("high"), F.first("item_content_hash").alias("item_content_hash"),
