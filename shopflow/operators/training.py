@@ -105,7 +105,10 @@ def history_before(prediction: Column, stamps: Column, columns: dict[str, Column
 
 
 def historical_training_rows(joined: DataFrame, max_length: int = 50) -> DataFrame:
-    """Point-in-time joined features as model rows: earlier history only, five-minute recency, zero defaults."""
+    """Point-in-time joined features as model rows: earlier history only, five-minute recency, zero defaults.
+
+    The times of the history are text or timestamps.
+    """
     names = {
         "hist_item_id": "seq_hist_item_ids", "hist_event_type": "seq_hist_event_type_ids", "hist_category": "seq_hist_category_ids",
         "hist_brand": "seq_hist_brand_ids", "hist_price_bucket": "seq_hist_price_bucket_ids",

@@ -260,13 +260,13 @@ def latest_earlier_item(shop):
 ID_ARRAYS = ["hist_item_ids", "hist_event_type_ids", "hist_category_ids", "hist_brand_ids", "hist_price_bucket_ids"]
 
 
-def training_inputs(shop, arrays=ID_ARRAYS):
+def training_inputs(shop, arrays=ID_ARRAYS, times_as_text=True):
     """Labels and feature tables, each computed once and stored before the joins read them twice.
 
     Storing ends Catalyst's pruning, so the wide history arrays are cut to those the caller reads.
     """
     events = shop.behavior_events
-    sequences = features.user_sequence_features(events).select("user_id", "event_id", "feature_timestamp", *arrays)
+    sequences = features.user_sequence_features(events, times_as_text=times_as_text).select("user_id", "event_id", "feature_timestamp", *arrays)
     tables = (
         labels.ranking_labels(shop.impressions, events),
         sequences,

@@ -121,7 +121,8 @@ def folded(shop):
     HISTORICAL,
 )
 def historical(shop):
-    joined = labels.join_feature_views(*training_inputs(shop, [*ID_ARRAYS, "hist_event_timestamps"]), ttl_days={"seq": 1, "agg": 1, "item": 7})
+    inputs = training_inputs(shop, [*ID_ARRAYS, "hist_event_timestamps"], times_as_text=False)
+    joined = labels.join_feature_views(*inputs, ttl_days={"seq": 1, "agg": 1, "item": 7})
     rows = training.historical_training_rows(joined)
     return rows.select("impression_id", "user_id", text("hist_item_id"), text("hist_time"), "target_category", "label", "views_30m")
 
