@@ -9,6 +9,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from shopflow import session
 from shopflow.session import streaming_session
 from shopflow.streaming import firings, injection, jobs, lateness, sinks, state
 from shopflow.streaming.config import StreamConfig, trigger
@@ -333,3 +334,42 @@ def test_pane_hierarchy_of_a_hot_entity():
         assert row["late_revision"] == (number == 21)
     seconds = {key[0] for key in handle.parts["instants"]}
     assert min(seconds) >= oldest - day and len(handle.parts["days"].get()[0]) <= 9
+
+
+class Cluster:
+    """A session on a cluster, as far as its settings go."""
+
+    def __init__(self, parts, master="spark://somewhere", cores=2):
+        self.parts, self.sparkContext = parts, type("Context", (), {"master": master, "defaultParallelism": cores})
+        self.conf = self
+
+    def get(self, name):
+        assert name == "spark.sql.shuffle.partitions"
+        return str(self.parts)
+
+
+def test_state_partitions_follow_the_records_of_a_replay():
+    """Each partition costs a worker, a store and a commit per batch and hop, which 200 of them paid for a few records too."""
+    assert [session.state_partitions(Cluster(200), n) for n in (0, 100_000, 6_000_000, 60_000_000)] == [12, 12, 120, 200]
+    assert session.state_partitions(Cluster(200)) == 200 and session.state_partitions(Cluster(6), 10**9) == 6
+    assert session.state_partitions(Cluster(200, "local[8]", 8), 10**9) == 8
+
+
+def test_hops_run_beside_each_other(spark, tmp_path):
+    """Every hop behind the flagged events is under way before the first is waited for."""
+    feed, begun, waited = Feed(spark, tmp_path), [], []
+
+    class Under:
+        def __init__(self, hop):
+            self.hop = hop
+            begun.append(hop)
+
+        def awaitTermination(self):
+            waited.append((self.hop, len(begun)))
+
+    feed.job._start = lambda stream, hop, *_: Under(hop)
+    feed.session.createDataFrame([], jobs.RECORD_SCHEMA).write.parquet(feed.landing)
+    feed.session.createDataFrame([], jobs.EVENT_SCHEMA).write.parquet(feed.job.path("stream_behavior_events"))
+    records = feed.session.readStream.schema(jobs.RECORD_SCHEMA).parquet(feed.landing)
+    feed.job.run_all(records, lambda: feed.job.firings("user_id"), feed.job.user_panes)
+    assert waited == [("events", 1), *((hop, 6) for hop in ("quality", "users", "items", "firings_user_id", "panes"))]
