@@ -141,3 +141,64 @@ def test_firings_of_a_bucket_of_panes():
     late = fired(processor.handleInputRows((0,), iter([pane_rows(live[:2], 101 * minute, after_close=True)]), Clock(due)))
     assert late == [(p[0], stamp(p), "late", 3) for p in live[:2]]
     assert not list(processor.handleExpiredTimer((0,), Clock(handle.timers.pop()), None)) and not handle.parts["panes"] and not handle.timers
+
+
+def test_panes_of_a_full_entity_come_by_the_hour():
+    """An entity with more panes than one entry takes: an entry per hour, and only those of crowded hours are their own."""
+    config, handle = StreamConfig(), Handle()
+    buckets, single = state.RollingBuckets(state.UserRolling(config), "user_id"), state.UserRolling(config)
+    buckets.SMALL = 100
+    buckets.init(handle)
+    single.init(Handle())
+    rng, crowded = np.random.default_rng(4), 19_726 * DAY + 7_200_000_000
+    for i in range(14):
+        begin = 19_723 * DAY + i * DAY
+        frames = totals(rng, [7] * 30, begin, begin + DAY)
+        if i in (3, 5):  # the second of these is late
+            frames += totals(rng, [7] * 30, crowded, crowded + 3_600_000_000)
+        before = handle.calls()
+        (got,) = buckets.handleInputRows((0,), iter(frames), None)
+        if i not in (3, 5, 10, 11):
+            assert handle.calls() - before <= 200  # 360 events, which made about 1,000 panes
+        (want,) = single.handleInputRows((7,), iter(frames), None)
+        pd.testing.assert_frame_equal(got, want)
+        own = {second for _, second in handle.parts["instants"]}
+        assert bool(own) == (3 <= i <= 10) and all(crowded <= s < crowded + 3_600_000_000 for s in own)
+    assert len(handle.parts["pages"]) <= 9 * 24
+
+
+class Now:
+    def __init__(self, now):
+        self.now = now
+
+    def getCurrentProcessingTimeInMs(self):
+        return self.now
+
+
+@pytest.mark.parametrize(("most", "held"), [(256, 200_000), (4, 200_000), (4, 30)])
+def test_seen_ids_are_asked_by_leaves(monkeypatch, most, held):
+    """Flags as from a plain dictionary of first sights, with few questions to the state."""
+    monkeypatch.setattr(state._IdTree, "MOST", most)
+    monkeypatch.setattr(state._IdTree, "HELD", held)
+    rng, handle, processor, first = np.random.default_rng(8), Handle(), state._SeenIds(100), {}
+    processor.init(handle)
+    for now in (0, 40_000, 99_999, 100_000, 170_000, 250_000):
+        names = [f"id{i}" for i in rng.integers(0, 3000, 2000)]
+        frames = [pd.DataFrame({"event_id": part, "seen_before": False}) for part in (names[:900], names[900:])]
+        before = handle.calls()
+        got = pd.concat(processor.handleInputRows((3, -1), iter(frames), Now(now)))
+        if (most, held) == (256, 200_000):
+            assert handle.calls() - before <= 80
+        known = {n for n, at in first.items() if at + 100_000 > now}
+        assert got["seen_before"].tolist() == [n in known for n in names] and set(got["_route"]) == {-1}
+        first |= {n: now for n in names if n not in known}
+    (passed,) = processor.handleInputRows((3, 2), iter(frames[:1]), Now(300_000))
+    assert not passed["seen_before"].any()
+
+
+def test_a_bucket_without_panes_is_not_asked_for_them():
+    handle, processor = Handle(), firings.PaneFirings("user_id", StreamConfig())
+    processor.init(handle)
+    old = [(e, m * 60_000) for e in range(50) for m in range(4)]
+    assert len(pd.concat(processor.handleInputRows((0,), iter([pane_rows(old, 10**9)]), Clock(0)))) == len(old)
+    assert handle.calls() == 0 and not handle.parts["panes"]

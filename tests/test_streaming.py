@@ -353,6 +353,8 @@ def test_state_partitions_follow_the_records_of_a_replay():
     assert [session.state_partitions(Cluster(200), n) for n in (0, 100_000, 6_000_000, 60_000_000)] == [12, 12, 120, 200]
     assert session.state_partitions(Cluster(200)) == 200 and session.state_partitions(Cluster(6), 10**9) == 6
     assert session.state_partitions(Cluster(200, "local[8]", 8), 10**9) == 8
+    buckets = [(c.dedup_buckets, c.state_buckets) for c in (StreamConfig().for_partitions(n) for n in (12, 200))]
+    assert buckets == [(48, 192), (800, 1024)]
 
 
 def test_hops_run_beside_each_other(spark, tmp_path):
