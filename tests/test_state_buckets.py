@@ -202,3 +202,45 @@ def test_a_bucket_without_panes_is_not_asked_for_them():
     old = [(e, m * 60_000) for e in range(50) for m in range(4)]
     assert len(pd.concat(processor.handleInputRows((0,), iter([pane_rows(old, 10**9)]), Clock(0)))) == len(old)
     assert handle.calls() == 0 and not handle.parts["panes"]
+
+
+def test_an_hour_of_few_panes_shares_the_entry_of_its_day():
+    """A full entity whose days are thin is asked by day, and a day with more panes than one entry takes parts into hours."""
+    config, handle = StreamConfig(), Handle()
+    buckets, single = state.RollingBuckets(state.UserRolling(config), "user_id"), state.UserRolling(config)
+    buckets.init(handle)
+    single.init(Handle())
+    rng = np.random.default_rng(5)
+    for i in range(12):
+        begin = 19_723 * DAY + i * 3 * DAY
+        frames = totals(rng, [7] * (60 if i == 5 else 12), begin, begin + (DAY if i == 5 else 3 * DAY))
+        before = handle.calls()
+        (got,) = buckets.handleInputRows((0,), iter(frames), None)
+        if i not in (5, 6, 7):
+            assert handle.calls() - before <= 60  # 144 events in 72 hours
+        (want,) = single.handleInputRows((7,), iter(frames), None)
+        pd.testing.assert_frame_equal(got, want)
+        assert (len(handle.parts["pages"]) > 20) == (5 <= i <= 6)
+    assert not handle.parts["instants"]
+
+
+def test_totals_before_the_shuffle_are_those_of_pandas_groups():
+    """Per entity and second, whatever the order of the rows, with events of one instant and missing texts."""
+    rng, n = np.random.default_rng(6), 3000
+    rows = pd.DataFrame({
+        "event_id": [f"e{i}" for i in rng.permutation(n)], "user_id": rng.integers(1, 40, n), "product_id": rng.integers(1, 9, n), "event_type_id": rng.integers(0, 4, n),
+        "category_id": rng.integers(1, 5, n), "brand_id": 1, "price_bucket": 2, "request_id": [None if i % 3 else "r" for i in range(n)], "impression_id": "i",
+        "is_late": rng.random(n) < 0.1, "at": rng.integers(0, 40, n) * 250_000, "cents": rng.integers(1, 5000, n),
+    })
+    (out,) = state._pre_totals("user_id", 5)(iter([rows, rows.iloc[:0]]))
+    assert out[["user_id", "second"]].apply(tuple, axis=1).is_monotonic_increasing
+    for (user, second), own in rows.groupby(["user_id", rows["at"] // 1_000_000 * 1_000_000]):
+        (line,) = out[(out["user_id"] == user) & (out["second"] == second)].to_dict("records")
+        times = sorted(own["at"].unique())
+        assert line["times"] == times and line["is_late"] == own["is_late"].any() and line["cents"] == own["cents"][own["event_type_id"] == 1].sum()
+        for name, kind in (("views", 1), ("carts", 2), ("purchases", 3)):
+            assert line[name] == [int(((own["at"] == t) & (own["event_type_id"] == kind)).sum()) for t in times]
+        assert sorted(line["categories"]) == sorted(own["category_id"].unique())
+        whole = rows[rows["user_id"] == user].sort_values(["at", "event_id"]).tail(5)
+        last = second == whole["at"].max() // 1_000_000 * 1_000_000
+        assert line["tail_event_id"] == (whole["event_id"].tolist() if last else []) and line["tail_request"] == (whole["request_id"].fillna("").tolist() if last else [])

@@ -375,3 +375,22 @@ def test_hops_run_beside_each_other(spark, tmp_path):
     records = feed.session.readStream.schema(jobs.RECORD_SCHEMA).parquet(feed.landing)
     feed.job.run_all(records, lambda: feed.job.firings("user_id"), feed.job.user_panes)
     assert waited == [("events", 1), *((hop, 6) for hop in ("quality", "users", "items", "firings_user_id", "panes"))]
+
+
+def test_events_flagged_while_the_hops_run_wait_for_the_next_replay(spark, tmp_path):
+    """A hop that has listed its input takes none of the events that are flagged before it ends."""
+    feed, minute = Feed(spark, tmp_path), dt.timedelta(minutes=1)
+
+    def flag(*records):
+        feed.session.createDataFrame(list(records), jobs.RECORD_SCHEMA).coalesce(1).write.mode("append").parquet(feed.landing)
+        return feed.job.flag_events(feed.session.readStream.schema(jobs.RECORD_SCHEMA).parquet(feed.landing))
+
+    jobs.finish([flag(record("a", START, "view"))])
+    behind = feed.job.start_behind(lambda: feed.job.firings("user_id"), feed.job.user_panes)
+    jobs.input_listed(behind)
+    jobs.finish([flag(record("b", START + minute, "view", user=2)), *behind])
+    tables = ("streaming_quality_windows", "stream_user_features", "stream_item_features", "stream_firings_user_id", "stream_user_panes")
+    assert [feed.job.table(name).count() for name in tables] == [1] * 5
+    jobs.finish(feed.job.start_behind(lambda: feed.job.firings("user_id"), feed.job.user_panes))
+    assert [feed.job.table(name).count() for name in tables] == [2] * 5
+    assert feed.job.contract_table("stream_user_aggregate_features").count() == 2
