@@ -11,8 +11,11 @@ Equal texts form one node first. In a bucket of nodes with the same sketch, each
 largest node, which are the same ones in most buckets of a large class, so few pairs are left to align. Where a bucket then
 still has members of several classes, as where many texts share a passage, its members part by the next sketch, and again by
 the one after, until no bucket holds two classes; in each of the smaller buckets they meet the smallest and the largest
-node of another class. So the work grows with the members of a bucket and not with its pairs. Classes are the connected
-components of the verified links, found by star contraction.
+node of another class. Where a bucket holds several classes even then, every two of its members of different classes are
+compared by counts of their words, block against block, and aligned where those leave the similarity open. So no link
+between two classes of a bucket is missed: the classes are those that all pairs of all buckets would give. Only that last
+step grows with pairs, of one bucket and different classes. Classes are the connected components of the verified links,
+found by star contraction.
 """
 
 import hashlib
@@ -31,6 +34,8 @@ from shopflow.plans.storage import materialize
 
 REMEMBERED = 500_000
 LONG = 1000  # words above which a text's k-mers are spread over bins
+LANES = 256  # cells that the words of a text are counted in, each up to 255
+BLOCK = 512  # members of a bucket that meet others as one matrix
 BEFORE, AFTER = np.uint64(0x8CB92BA72F3D8DD7), np.uint64(0xF1357AEA2E62A9C5)  # marks around the words
 
 
@@ -57,7 +62,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 class OrderMinHash:
-    """Sketches of word sequences, and the parities of the words.
+    """Sketches of word sequences, and the parities (`whole`: and counts) of the words by cells of their hashes.
 
     Each of the `sketches` takes the `keep` k-mers of the smallest hashes, in text order. k - 1 marks stand before and after
     the words, so that an edit at an end changes fewer k-mers and every text has some. Texts of up to LONG words are ranked
@@ -75,11 +80,15 @@ class OrderMinHash:
         self.places = np.uint64((1 << (int(self.both_to) + k).bit_length()) - 1)  # low bits of a rank that hold the place
 
     def __call__(self, words: list[str]) -> tuple[list[list[int]], list[int]]:
+        return self.whole(words)[:2]
+
+    def whole(self, words: list[str]) -> tuple[list[list[int]], list[int], bytes]:
         if not words:
-            return [[], []], [0] * 4
+            return [[], []], [0] * 4, bytes(LANES)
         h = np.array(list(map(self.hashes.__getitem__, words)), dtype=np.uint64)
-        odd = np.bincount((h >> np.uint64(56)).astype(np.int64), minlength=256) & 1
-        parities = np.packbits(odd.astype(bool)).view(np.int64).tolist()
+        held = np.bincount((h >> np.uint64(56)).astype(np.int64), minlength=LANES)
+        parities = np.packbits((held & 1).astype(bool)).view(np.int64).tolist()
+        counts = np.minimum(held, 255).astype(np.uint8).tobytes()
         edge = self.k - 1
         h = np.concatenate([np.full(edge, BEFORE), h, np.full(edge, AFTER)])
         n = len(h) - edge
@@ -101,7 +110,7 @@ class OrderMinHash:
             held = at < begins[1:, None]
             at = np.sort(np.where(held, order[np.minimum(at, n - 1)], n), axis=1)
             binned = self._joined(np.append(grams, np.uint64(0))[at], self.seeds[self.sketches :, 0])
-        return [ranked, binned], parities
+        return [ranked, binned], parities, counts
 
     @staticmethod
     def _joined(lowest: np.ndarray, seeds: np.ndarray) -> list[int]:
@@ -191,25 +200,25 @@ def edit_similarity(x: list[str], y: list[str], least: float) -> float | None:
 
 
 def sketch_rows(docs: DataFrame, doc_id: str, text: str, k: int, sketches: int, keep: int, least: float) -> DataFrame:
-    """One stored row per document: _row, _id, _digest (of the text), node, words, sketches, parities."""
+    """One stored row per document: _row, _id, _digest (of the text), node, words, sketches, parities, counts."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketcher = OrderMinHash(k, sketches, keep, least)
         for batch in batches:
             split = [words_of(t) for t in batch.column("_text").to_pylist()]
-            made = [sketcher(w) for w in split]
+            made = [sketcher.whole(w) for w in split]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("_row"), batch.column("_id"), batch.column("_digest"), pa.array([node_of(w) for w in split], pa.binary()),
                  pa.array([len(w) for w in split], pa.int32()), pa.array([m[0] for m in made], pa.list_(pa.list_(pa.int64()))),
-                 pa.array([m[1] for m in made], pa.list_(pa.int64()))],
-                ["_row", "_id", "_digest", "node", "words", "sketches", "parities"],
+                 pa.array([m[1] for m in made], pa.list_(pa.int64())), pa.array([m[2] for m in made], pa.binary())],
+                ["_row", "_id", "_digest", "node", "words", "sketches", "parities", "counts"],
             )
 
     bounded_batches(docs.sparkSession)
     digest = F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("")), 256))
     rows = docs.select(F.monotonically_increasing_id().alias("_row"), F.col(doc_id).alias("_id"), digest.alias("_digest"), F.col(text).alias("_text"))
     kind = rows.schema["_id"].dataType.simpleString()
-    return materialize(rows.mapInArrow(sketch, f"_row long, _id {kind}, _digest binary, node binary, words int, sketches array<array<long>>, parities array<long>"), "sketches")
+    return materialize(rows.mapInArrow(sketch, f"_row long, _id {kind}, _digest binary, node binary, words int, sketches array<array<long>>, parities array<long>, counts binary"), "sketches")
 
 
 def shared_buckets(nodes: DataFrame) -> DataFrame:
@@ -268,6 +277,51 @@ def parted_pairs(buckets: DataFrame, nodes: DataFrame, tops: DataFrame, least: f
     return reduce(DataFrame.unionByName, found).distinct()
 
 
+def crossing_pairs(buckets: DataFrame, nodes: DataFrame, tops: DataFrame, least: float) -> DataFrame | None:
+    """a, b: every two nodes of different classes (tops: node, top) of one bucket whose words do not exclude the similarity.
+
+    The members of a bucket are dealt into blocks, and every two blocks meet in a cell, so neither a task nor a row holds a
+    bucket. An edit takes one word of a text away at most and adds one at most, so a text has no more words in cells of
+    LANES that the other lacks than there are edits. Buckets of two are left out, as their nodes are each other's ends.
+    """
+    members = buckets.filter("size > 2").select("sketch", "num").join(tops.withColumnRenamed("node", "num"), "num", "left")
+    members = members.select("sketch", "num", F.coalesce("top", "num").alias("top"))
+    mixed = members.groupBy("sketch").agg(F.min("top").alias("t0"), F.max("top").alias("t1"), F.count(F.lit(1)).alias("n")).filter("t0 < t1")
+    members = members.join(mixed.select("sketch", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "sketch")
+    members = materialize(members.withColumn("block", F.pmod(F.xxhash64("num"), "blocks").cast("int")), "crossing")
+    if members.isEmpty():
+        return None
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, j, cell in zip(batch.column("i").to_pylist(), batch.column("j").to_pylist(), batch.column("cell"), strict=True):
+                of = cell.values
+                block, num, top, words = (of.field(name).to_numpy() for name in ("block", "num", "top", "words"))
+                counts = np.frombuffer(b"".join(of.field("counts").to_pylist()), dtype=np.uint8).reshape(-1, LANES).astype(np.int16)
+                left, right, low, high = np.flatnonzero(block == i), np.flatnonzero(block == j), [], []
+                for place, at in enumerate(left):
+                    near = right[place + 1 :] if i == j else right
+                    near = near[top[near] != top[at]]
+                    limit = (np.maximum(words[near], words[at]) * (1 - least) + 1e-9).astype(np.int64)
+                    apart = np.abs(words[near].astype(np.int64) - int(words[at]))
+                    able = apart <= limit
+                    near, limit, apart = near[able], limit[able], apart[able]
+                    differing = np.abs(counts[near] - counts[at]).sum(axis=1, dtype=np.int64)
+                    met = num[near[differing + apart <= 2 * limit]]
+                    low.append(np.minimum(met, num[at]))
+                    high.append(np.maximum(met, num[at]))
+                if low:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(low)), pa.array(np.concatenate(high))], ["a", "b"])
+
+    bounded_batches(nodes.sparkSession)
+    members = members.join(nodes.select("num", "words", "counts"), "num")
+    blocks = members.groupBy("sketch", "blocks", "block").agg(F.collect_list(F.struct("block", "num", "top", "words", "counts")).alias("of"))
+    meeting = blocks.select("sketch", "block", "of", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    cells = meeting.groupBy("sketch", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    cells = cells.agg(F.flatten(F.collect_list("of")).alias("cell")).select("i", "j", "cell")
+    return cells.mapInArrow(compare, "a long, b long").distinct()
+
+
 def able_pairs(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
     """The pairs whose words do not exclude the similarity: an edit changes two of the 256 parities of the words at most."""
     facts = nodes.select("num", "words", "parities")
@@ -352,7 +406,7 @@ def near_classes(
 
     Texts are compared as words in lower case between white space; texts with the same words are equal, and so are all
     texts without words and null texts. Other texts are linked when their edit similarity (1 - edits / words of the longer)
-    is at least `least` and they met in a bucket. A class is named by its smallest id (null last), whose row stays; of rows
+    is at least `least` and they share a bucket; classes are what all such links connect. A class is named by its smallest id (null last), whose row stays; of rows
     that repeat an id and words one stays. n_links counts the other texts of the class that the row's text was aligned
     with and linked to; copies need no link and not all links of a class are sought.
     """
@@ -361,26 +415,33 @@ def near_classes(
     nodes = materialize(
         rows.groupBy("node").agg(
             F.min(first).alias("first"), F.count(F.lit(1)).alias("size"), F.first("words").alias("words"),
-            F.first("sketches").alias("sketches"), F.first("parities").alias("parities"),
+            F.first("sketches").alias("sketches"), F.first("parities").alias("parities"), F.first("counts").alias("counts"),
         ).withColumn("num", F.monotonically_increasing_id()),
         "nodes",
     )
     buckets = shared_buckets(nodes)
 
     def links_of(pairs: DataFrame) -> DataFrame:
-        pairs = materialize(able_pairs(pairs, nodes, least), "able-pairs")
         ends = pairs.select(F.col("a").alias("num")).unionByName(pairs.select(F.col("b").alias("num"))).distinct()
         wanted = ends.join(nodes, "num").select("num", "node", F.col("first.id").alias("_of"))
         return verified(pairs, materialize(texts_of(docs, doc_id, text, wanted), "candidate-texts"), least)
 
     pairs = materialize(end_pairs(buckets, least), "pairs")
-    links = materialize(links_of(pairs), "first-links")
+    links = materialize(links_of(materialize(able_pairs(pairs, nodes, least), "able-pairs")), "first-links")
     tops = materialize(components(links), "first-classes")
     more = parted_pairs(buckets, nodes, tops, least)
     if more is not None:
         more = materialize(more.join(pairs, ["a", "b"], "left_anti"), "more-pairs")
-        links = materialize(links.unionByName(links_of(more)), "links")
+        links = materialize(links.unionByName(links_of(materialize(able_pairs(more, nodes, least), "able-pairs"))), "links")
         tops = materialize(components(links), "classes")
+        pairs = pairs.unionByName(more)
+    rest = crossing_pairs(buckets, nodes, tops, least)
+    if rest is not None:
+        rest = materialize(rest.join(pairs, ["a", "b"], "left_anti"), "crossing-pairs")
+        found = materialize(links_of(rest), "crossing-links")
+        if not found.isEmpty():
+            links = materialize(links.unionByName(found), "all-links")
+            tops = materialize(components(links), "all-classes")
     counted = links.select(F.explode(F.array("a", "b")).alias("num")).groupBy("num").agg(F.count(F.lit(1)).alias("n_links"))
     tops = tops.withColumnRenamed("node", "num")
     named = nodes.select("num", "node", "first", "size").join(tops, "num", "left").join(counted, "num", "left")

@@ -571,6 +571,23 @@ def test_near_classes_within_a_shared_passage(spark, sketches):
     assert singles <= set(map(frozenset, classes(rows)))
 
 
+@pytest.mark.parametrize("block", [512, 40])
+def test_near_classes_lose_no_link_of_a_bucket(spark, monkeypatch, block):
+    """All pairs that share any of a few sketches and are alike enough are linked, also where parting tells them apart."""
+    monkeypatch.setattr(near_dedup, "BLOCK", block, raising=False)
+    rows = shared_passage_rows(300)
+    words = [near_dedup.words_of(r[1]) for r in rows]
+    sketcher = near_dedup.OrderMinHash(2, 3, 3, 0.8)
+    sketches = [set(sum(sketcher(w)[0], [])) for w in words]
+    top = list(range(len(rows)))
+    for i, j in itertools.combinations(range(len(rows)), 2):
+        if sketches[i] & sketches[j] and near_dedup.edit_similarity(words[i], words[j], 0.8) is not None:
+            top = [min(top[i], top[j]) if t in (top[i], top[j]) else t for t in top]
+    assert len(set(top)) < len(rows) - 15
+    found = {r._id: r.class_id for r in near_dedup.near_classes(table(spark, rows), sketches=3).collect()}
+    assert found == {r[0]: rows[t][0] for r, t in zip(rows, top, strict=True)}
+
+
 def test_pairs_of_a_shared_passage_grow_with_the_rows(spark):
     """Twice the strangers in a bucket make about twice the pairs, not four times as many."""
     made = []
